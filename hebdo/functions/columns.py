@@ -74,6 +74,17 @@ def lag_std(c: str, k: int, w: WindowSpec) -> Column:
     return F.sqrt(reduce(add, sq) / float(k - 1))
 
 
+def mean_of(cols: list[Column]) -> Column:
+    """(c1 + ... + ck) / k, added left to right."""
+    return reduce(add, cols) / float(len(cols))
+
+
+def sample_std_of(cols: list[Column]) -> Column:
+    """Two-pass sample standard deviation (ddof=1) of k columns."""
+    m = mean_of(cols)
+    return F.sqrt(reduce(add, [(x - m) * (x - m) for x in cols]) / float(len(cols) - 1))
+
+
 def ema_alpha(span: int) -> float:
     return 2.0 / (span + 1)
 

@@ -118,3 +118,127 @@ SELECT segment, count(week) AS weeks, min(week) AS first_week, max(week) AS last
        {rnd('avg(invoice_count)', 6)} AS mean_invoice_count,
        {rnd('avg(payment_count)', 6)} AS mean_payment_count
 FROM weekly GROUP BY segment"""))
+
+
+# ---------------------------------------------------------------- features
+import math as _math  # noqa: E402
+
+_W = "OVER (PARTITION BY segment ORDER BY week)"
+_HIST = ("list(weekly_revenue) OVER (PARTITION BY segment ORDER BY week "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+
+
+def lag(c: str, k: int) -> str:
+    return f"lag({c}, {k}) {_W}"
+
+
+def lag_sum(c: str, k: int) -> str:
+    return "(" + " + ".join(lag(c, i) for i in range(1, k + 1)) + ")"
+
+
+def lag_mean(c: str, k: int) -> str:
+    return f"({lag_sum(c, k)} / {dbl(k)})"
+
+
+def lag_std(c: str, k: int) -> str:
+    m = lag_mean(c, k)
+    terms = [f"({lag(c, i)} - {m}) * ({lag(c, i)} - {m})" for i in range(1, k + 1)]
+    return f"sqrt(({' + '.join(terms)}) / {dbl(k - 1)})"
+
+
+def div(a: str, b: str) -> str:
+    return f"(({a}) / nullif({b}, 0))"
+
+
+def ema(hist: str, span: int) -> str:
+    a = 2.0 / (span + 1)
+    return (f"CASE WHEN len({hist}) > 0 THEN list_reduce(list_slice({hist}, 2, len({hist})), "
+            f"lambda acc, x: acc * {dbl(1.0 - a)} + x * {dbl(a)}, {hist}[1]) END")
+
+
+def feature_sql() -> dict[str, str]:
+    y = "weekly_revenue"
+    f: dict[str, str] = {}
+    for k in (1, 2, 4, 8, 12, 26):
+        f[f"lag_{k}"] = lag(y, k)
+    for k in (4, 8, 12):
+        f[f"rolling_mean_{k}"] = lag_mean(y, k)
+        f[f"rolling_std_{k}"] = lag_std(y, k)
+    f["ema_4"] = ema("_hist", 4)
+    f["ema_12"] = ema("_hist", 12)
+    f["revenue_vs_4w_avg"] = div(f["lag_1"], f["rolling_mean_4"])
+    f["revenue_vs_8w_avg"] = div(f["lag_1"], f["rolling_mean_8"])
+    f["revenue_growth_4w"] = f"({div(f['lag_1'], f['lag_4'])} - 1)"
+    f["revenue_acceleration"] = f"({f['lag_1']} - {f['lag_2']})"
+    f["revenue_deviation"] = f"({f['lag_1']} - {f['rolling_mean_12']})"
+    f["rolling_cv_4"] = div(f["rolling_std_4"], f["rolling_mean_4"])
+    f["active_customers_lag_1"] = lag("active_customers", 1)
+    f["customer_trend_4"] = lag_mean("active_customers", 4)
+    f["revenue_per_customer_lag_1"] = div(lag(y, 1), lag("active_customers", 1))
+    f["new_customers_lag_1"] = lag("new_customers", 1)
+    f["invoice_count_lag_1"] = lag("invoice_count", 1)
+    f["average_invoice_lag_1"] = lag("average_invoice", 1)
+    f["invoice_trend_4"] = lag_mean("invoice_count", 4)
+    f["invoice_growth"] = f"({div(lag('invoice_count', 1), lag('invoice_count', 4))} - 1)"
+    f["payment_lag_1"] = lag("weekly_payments", 1)
+    f["average_payment_lag_1"] = lag("average_payment", 1)
+    f["payment_trend_4"] = lag_mean("weekly_payments", 4)
+    f["collection_rate_lag_1"] = div(lag("weekly_payments", 1), lag(y, 1))
+    f["outstanding_lag_1"] = f"({lag(y, 1)} - {lag('weekly_payments', 1)})"
+    f["payment_count_lag_1"] = lag("payment_count", 1)
+    two_pi = dbl(2 * _math.pi)
+    m = f"({two_pi} * month(week) / {dbl(12.0)})"
+    wk = f"({two_pi} * weekofyear(week) / {dbl(52.0)})"
+    f["month_sin"], f["month_cos"] = f"sin({m})", f"cos({m})"
+    f["week_sin"], f["week_cos"] = f"sin({wk})", f"cos({wk})"
+    return {k: f"CAST({v} AS DOUBLE)" for k, v in f.items()}
+
+
+TRIG = ("month_sin", "month_cos", "week_sin", "week_cos")
+TRIG_DIGITS = 9
+
+
+def feature_ctes() -> str:
+    from hebdo.operators.features import FEATURES
+    fs = feature_sql()
+    cols = ",\n  ".join(f"{fs[n]} AS {n}" for n in FEATURES)
+    return f"""
+wh AS (SELECT *, {_HIST} AS _hist FROM weekly),
+feat AS (SELECT segment, week, weekly_revenue, active_customers, invoice_count, average_invoice,
+  weekly_payments, average_payment, payment_count, new_customers,
+  {cols}
+  FROM wh),
+ready AS (SELECT segment, week, weekly_revenue, {', '.join(FEATURES)} FROM feat
+  WHERE {' AND '.join(f'{n} IS NOT NULL' for n in ['weekly_revenue'] + FEATURES)})
+"""
+
+
+def out_cols(names) -> str:
+    return ", ".join(rnd(n, TRIG_DIGITS) + f" AS {n}" if n in TRIG else n for n in names)
+
+
+def _register_features():
+    from hebdo.operators import features as fe
+    groups = {
+        "features_revenue": [c for c in fe.REVENUE_FEATURES if c not in fe.EMA_SPANS],
+        "features_ema": list(fe.EMA_SPANS),
+        "features_customer": fe.CUSTOMER_FEATURES,
+        "features_invoice": fe.INVOICE_FEATURES,
+        "features_payment": fe.PAYMENT_FEATURES,
+        "features_calendar": fe.CALENDAR_FEATURES,
+    }
+    for name, cols in groups.items():
+        register(name, with_ledger(f"SELECT segment, week, {out_cols(cols)} FROM feat",
+                                   feature_ctes()))
+    register("model_ready", with_ledger(
+        f"SELECT segment, week, weekly_revenue, {out_cols(fe.FEATURES)} FROM ready", feature_ctes()))
+    register("feature_summary", with_ledger(f"""
+SELECT segment, count(*) AS rows, CAST(40 AS BIGINT) AS columns, CAST(38 AS BIGINT) AS features,
+       {rnd('avg(weekly_revenue)', 4)} AS mean_revenue,
+       {rnd('stddev_samp(weekly_revenue)', 4)} AS std_revenue,
+       min(week) AS first_week, max(week) AS last_week
+FROM ready GROUP BY segment""", feature_ctes()))
+    return groups
+
+
+FEATURE_GROUPS = _register_features()

@@ -85,3 +85,50 @@ def weekly_summary(spark, sf_dir):
         rnd("mean_invoice_count", 6).alias("mean_invoice_count"),
         rnd("mean_payment_count", 6).alias("mean_payment_count"),
     )
+
+
+# ---------------------------------------------------------------- features
+from hebdo.operators import features as fe  # noqa: E402
+
+TRIG_DIGITS = 9
+
+
+def _present(df: DataFrame, names) -> DataFrame:
+    """Round the four trig features (JVM vs C libm may differ in the last
+    ulp); everything else is computed bit-identically to the SQL twin."""
+    return df.select(*[rnd(n, TRIG_DIGITS).alias(n) if n in fe.CALENDAR_FEATURES else F.col(n)
+                       for n in names])
+
+
+def _feature_query(name, cols):
+    def q(spark, sf_dir):
+        weekly = Ledger(spark, sf_dir).weekly()
+        return _present(fe.add_features(weekly, KEYS, cols), KEYS + ["week"] + cols)
+    q.__name__ = name
+    query(q)
+
+
+def _register_feature_queries():
+    from hebdo.plans.oracle import FEATURE_GROUPS
+    for name, cols in FEATURE_GROUPS.items():
+        _feature_query(name, list(cols))
+
+
+_register_feature_queries()
+
+
+def ready_table(spark, sf_dir):
+    return fe.model_ready(Ledger(spark, sf_dir).weekly(), KEYS)
+
+
+@query
+def model_ready(spark, sf_dir):
+    return _present(ready_table(spark, sf_dir), KEYS + ["week", fe.TARGET] + fe.FEATURES)
+
+
+@query
+def feature_summary(spark, sf_dir):
+    s = fe.feature_summary(ready_table(spark, sf_dir), KEYS)
+    return s.select(*KEYS, "rows", "columns", "features",
+                    rnd("mean_revenue", 4).alias("mean_revenue"),
+                    rnd("std_revenue", 4).alias("std_revenue"), "first_week", "last_week")
