@@ -242,3 +242,66 @@ FROM ready GROUP BY segment""", feature_ctes()))
 
 
 FEATURE_GROUPS = _register_features()
+
+
+# ---------------------------------------------------------------- checks, ledger
+def _checks(table: str, unique: list[str], non_negative=(), not_null=(), finite=(),
+            numeric=(), extra: dict[str, str] | None = None) -> str:
+    parts = [f"SELECT 'non_empty' AS rule, CAST(count(*) = 0 AS BIGINT) AS violations FROM {table}"]
+    for c in non_negative:
+        parts.append(f"SELECT 'non_negative:{c}', CAST(count_if({c} < 0) AS BIGINT) FROM {table}")
+    for c in not_null:
+        cond = f"{c} IS NULL" + (f" OR isnan({c})" if c in numeric else "")
+        parts.append(f"SELECT 'not_null:{c}', CAST(count_if({cond}) AS BIGINT) FROM {table}")
+    for c in finite:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT 'finite:{c}', CAST(count_if(isnan({x}) OR abs({x}) = "
+                     f"CAST('inf' AS DOUBLE)) AS BIGINT) FROM {table}")
+    for name, cond in (extra or {}).items():
+        parts.append(f"SELECT '{name}', CAST(count_if({cond}) AS BIGINT) FROM {table}")
+    u = ", ".join(unique)
+    parts.append(f"SELECT 'unique:{','.join(unique)}', CAST(coalesce(sum(n - 1), 0) AS BIGINT) "
+                 f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {u} HAVING count(*) > 1)")
+    return "\nUNION ALL ".join(parts)
+
+
+def _register_checks():
+    from hebdo.operators.features import FEATURES
+    inv = _checks("inv", ["invoice_id"], extra={"positive_total": "total <= 0"})
+    pay = _checks("pay", ["payment_id"])
+    cus = _checks("cust", ["customer_id"])
+    register("checks_ledger", with_ledger(
+        f"SELECT 'invoices' AS \"table\", * FROM ({inv})\n"
+        f"UNION ALL SELECT 'payments', * FROM ({pay})\n"
+        f"UNION ALL SELECT 'customers', * FROM ({cus})"))
+    register("checks_weekly", with_ledger(_checks("weekly", ["segment", "week"], non_negative=(
+        "weekly_revenue", "weekly_payments", "invoice_count", "payment_count",
+        "new_customers", "active_customers"))))
+    cols = ["week", "weekly_revenue"] + FEATURES
+    num = cols[1:]
+    register("checks_features", with_ledger(
+        _checks("ready", ["segment", "week"], not_null=cols, finite=num, numeric=num),
+        feature_ctes()))
+
+
+_register_checks()
+
+register("invoice_settlement", with_ledger(f"""
+SELECT i.invoice_id, i.customer_id, i.date, i.due_date, i.total, i.segment,
+       CAST(least(coalesce(p.pc, 0), {cents('i.total')}) AS DOUBLE) / 100 AS amount_paid,
+       coalesce(p.pc, 0) >= {cents('i.total')} AS paid_in_full,
+       CASE WHEN coalesce(p.pc, 0) >= {cents('i.total')} THEN 'Paid'
+            WHEN coalesce(p.pc, 0) > 0 THEN 'Partially Paid'
+            WHEN i.due_date < (SELECT max(date) FROM pay) THEN 'Overdue'
+            ELSE 'Open' END AS status
+FROM inv i LEFT JOIN (SELECT invoice_id, sum({cents('amount')}) AS pc FROM pay GROUP BY 1) p
+  ON p.invoice_id = i.invoice_id"""))
+
+register("ledger_summary", with_ledger(f"""
+SELECT 'customers' AS metric, {rnd('CAST(count(*) AS DOUBLE)', 6)} AS value FROM cust
+UNION ALL SELECT 'active_customers', {rnd("CAST(count_if(status = 'active') AS DOUBLE)", 6)} FROM cust
+UNION ALL SELECT 'inactive_customers', {rnd("CAST(count_if(status = 'inactive') AS DOUBLE)", 6)} FROM cust
+UNION ALL SELECT 'invoices', {rnd('CAST(count(*) AS DOUBLE)', 6)} FROM inv
+UNION ALL SELECT 'mean_invoice', {rnd(f"CAST(sum({cents('total')}) AS DOUBLE) / 100 / count(total)", 6)} FROM inv
+UNION ALL SELECT 'payments', {rnd('CAST(count(*) AS DOUBLE)', 6)} FROM pay
+UNION ALL SELECT 'mean_payment', {rnd(f"CAST(sum({cents('amount')}) AS DOUBLE) / 100 / count(amount)", 6)} FROM pay"""))

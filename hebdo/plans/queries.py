@@ -132,3 +132,37 @@ def feature_summary(spark, sf_dir):
     return s.select(*KEYS, "rows", "columns", "features",
                     rnd("mean_revenue", 4).alias("mean_revenue"),
                     rnd("std_revenue", 4).alias("std_revenue"), "first_week", "last_week")
+
+
+# ---------------------------------------------------------------- checks, ledger
+from hebdo.operators import checks as ck  # noqa: E402
+from hebdo.operators import ledger as lg  # noqa: E402
+
+
+@query
+def checks_ledger(spark, sf_dir):
+    led = Ledger(spark, sf_dir)
+    return ck.check_ledger(led.invoices, led.payments, led.customers)
+
+
+@query
+def checks_weekly(spark, sf_dir):
+    return ck.check_weekly(Ledger(spark, sf_dir).weekly(), KEYS)
+
+
+@query
+def checks_features(spark, sf_dir):
+    return ck.check_features(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def invoice_settlement(spark, sf_dir):
+    led = Ledger(spark, sf_dir)
+    return lg.invoice_settlement(led.invoices, led.payments)
+
+
+@query
+def ledger_summary(spark, sf_dir):
+    led = Ledger(spark, sf_dir)
+    s = lg.ledger_summary(led.invoices, led.payments, led.customers)
+    return s.select("metric", rnd("value", 6).alias("value"))
