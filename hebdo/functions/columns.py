@@ -44,8 +44,13 @@ def from_cents(c: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d. Past 2^52 at that scale the value is
+    rounded to 10 significant digits instead (exact powers of ten)."""
     scale = float(10 ** digits)
-    return F.floor(col(c) * scale + 0.5) / scale
+    x = col(c)
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 9)
+    return (F.when(F.abs(x * scale) < float(2 ** 52), F.floor(x * scale + 0.5) / scale)
+            .otherwise(F.floor(x / p + 0.5) * p))
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -24,7 +24,10 @@ def dbl(x: float) -> str:
 
 def rnd(expr: str, digits: int) -> str:
     s = float(10 ** digits)
-    return f"(floor(({expr}) * {dbl(s)} + 0.5) / {dbl(s)})"
+    p = f"pow({dbl(10.0)}, floor(log10(abs({expr}))) - 9)"
+    return (f"(CASE WHEN abs(({expr}) * {dbl(s)}) < {dbl(2.0 ** 52)} "
+            f"THEN floor(({expr}) * {dbl(s)} + 0.5) / {dbl(s)} "
+            f"ELSE floor(({expr}) / {p} + 0.5) * {p} END)")
 
 
 def cents(expr: str) -> str:
@@ -305,3 +308,155 @@ UNION ALL SELECT 'invoices', {rnd('CAST(count(*) AS DOUBLE)', 6)} FROM inv
 UNION ALL SELECT 'mean_invoice', {rnd(f"CAST(sum({cents('total')}) AS DOUBLE) / 100 / count(total)", 6)} FROM inv
 UNION ALL SELECT 'payments', {rnd('CAST(count(*) AS DOUBLE)', 6)} FROM pay
 UNION ALL SELECT 'mean_payment', {rnd(f"CAST(sum({cents('amount')}) AS DOUBLE) / 100 / count(amount)", 6)} FROM pay"""))
+
+
+# ---------------------------------------------------------------- folds, models, evaluation
+_P = "PARTITION BY segment"
+_CONF = dbl(0.95)
+_EPS = dbl(2.220446049250313e-16)
+
+MODEL_CTES = f"""
+split AS (SELECT *, CASE WHEN row_number() OVER ({_P} ORDER BY week DESC) <= 12
+                     THEN 'test' ELSE 'train' END AS role FROM ready),
+coef AS (SELECT segment, regr_slope(weekly_revenue, lag_1) AS slope,
+                regr_intercept(weekly_revenue, lag_1) AS intercept
+         FROM split WHERE role = 'train' GROUP BY segment),
+ar1 AS (SELECT s.segment, s.week, s.role, s.weekly_revenue AS actual,
+               c.intercept + c.slope * s.lag_1 AS predicted
+        FROM split s JOIN coef c ON c.segment = s.segment),
+test AS (SELECT segment, week, actual, predicted FROM ar1 WHERE role = 'test'),
+wfbase AS (SELECT segment, week, weekly_revenue, lag_1,
+        row_number() OVER ({_P} ORDER BY week) - 1 AS idx,
+        regr_slope(weekly_revenue, lag_1) OVER ({_P} ORDER BY week
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS slope,
+        regr_intercept(weekly_revenue, lag_1) OVER ({_P} ORDER BY week
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS intercept
+        FROM ready),
+wf AS (SELECT segment, week, weekly_revenue AS actual, intercept + slope * lag_1 AS predicted
+       FROM wfbase WHERE idx >= 104)
+"""
+
+
+def quantile_of(table: str) -> str:
+    return f"""(SELECT segment, n, abs_error AS quantile FROM (
+    SELECT segment, abs(actual - predicted) AS abs_error,
+           row_number() OVER ({_P} ORDER BY abs(actual - predicted)) - 1 AS pos,
+           count(*) OVER ({_P}) AS n FROM {table})
+  WHERE pos = ceil({_CONF} * (n - 1)))"""
+
+
+def metric_cols() -> str:
+    e = "(actual - predicted)"
+    return (f"count(*) AS n, {rnd(f'avg(abs({e}))', 2)} AS mae, "
+            f"{rnd(f'sqrt(avg({e} * {e}))', 2)} AS rmse, "
+            f"{rnd(f'avg(abs({e}) / greatest(abs(actual), {_EPS})) * 100', 6)} AS mape")
+
+
+def _model(body: str) -> str:
+    return with_ledger(body, feature_ctes() + "," + MODEL_CTES)
+
+
+def clip(x: str) -> str:
+    return f"least(greatest({x}, 0.0), 100.0)"
+
+
+def stability_sql(table: str) -> str:
+    ae = "abs(actual - predicted)"
+    stab = rnd(clip(f"100 / (1 + stddev_pop({ae}) / greatest(avg({ae}), 1.0))"), 2)
+    return f"SELECT segment, {stab} AS model_stability, {stab} < 75 AS drift_detected FROM {table} GROUP BY segment"
+
+
+def confidence_sql(q: str, mean: str) -> str:
+    return rnd(clip(f"(1 - {q} / greatest({mean}, 1.0)) * 100"), 2)
+
+
+register("holdout_split", _model("SELECT segment, week, role FROM split"))
+register("expanding_folds", _model(f"""
+SELECT segment, week, fold, role FROM (
+  SELECT segment, week, fold,
+         CASE WHEN idx < n - (5 - fold) * (n // 6) THEN 'train'
+              WHEN idx < n - (5 - fold) * (n // 6) + n // 6 THEN 'test' END AS role
+  FROM (SELECT segment, week, row_number() OVER ({_P} ORDER BY week) - 1 AS idx,
+               count(*) OVER ({_P}) AS n FROM split WHERE role = 'train') t,
+       range(5) f(fold))
+WHERE role IS NOT NULL"""))
+register("walk_forward_origins", _model(
+    f"SELECT segment, week, idx AS train_size FROM wfbase WHERE idx >= 104"))
+register("calibration_tail", _model(f"""
+SELECT segment, week, CASE WHEN row_number() OVER ({_P} ORDER BY week DESC) <= 20
+                      THEN 'calibration' ELSE 'fit' END AS role
+FROM split WHERE role = 'train'"""))
+register("ar1_holdout", _model(f"SELECT segment, week, role, actual, {rnd('predicted', 2)} AS predicted FROM ar1"))
+register("ar1_walk_forward", _model(f"SELECT segment, week, actual, {rnd('predicted', 2)} AS predicted FROM wf"))
+register("metrics", _model(f"SELECT segment, {metric_cols()} FROM test GROUP BY segment"))
+register("train_test_metrics", _model(f"SELECT segment, role, {metric_cols()} FROM ar1 GROUP BY segment, role"))
+register("residuals", _model(f"SELECT segment, week, {rnd('abs(actual - predicted)', 2)} AS abs_error FROM test"))
+register("signed_error", _model(f"SELECT segment, week, {rnd('actual - predicted', 2)} AS error FROM test"))
+register("conformal_quantile", _model(f"SELECT segment, n, {rnd('quantile', 2)} AS quantile FROM {quantile_of('test')}"))
+register("interval_constant", _model(f"""
+SELECT t.segment, t.week, {rnd('t.predicted', 2)} AS predicted,
+       {rnd('t.predicted - q.quantile', 2)} AS lower_bound, {rnd('t.predicted + q.quantile', 2)} AS upper_bound
+FROM test t JOIN {quantile_of('test')} q ON q.segment = t.segment"""))
+register("interval_horizon", _model(f"""
+SELECT segment, week, step, {rnd('predicted - quantile * sqrt(CAST(step AS DOUBLE))', 2)} AS lower_bound,
+       {rnd('predicted + quantile * sqrt(CAST(step AS DOUBLE))', 2)} AS upper_bound
+FROM (SELECT t.*, q.quantile, row_number() OVER (PARTITION BY t.segment ORDER BY t.week) AS step
+      FROM test t JOIN {quantile_of('test')} q ON q.segment = t.segment)"""))
+register("interval_coverage", _model(f"""
+SELECT t.segment, count_if(t.actual >= t.predicted - q.quantile AND t.actual <= t.predicted + q.quantile) AS covered,
+       count(*) AS n
+FROM test t JOIN {quantile_of('test')} q ON q.segment = t.segment GROUP BY t.segment"""))
+register("forecast_confidence", _model(f"""
+SELECT m.segment, {confidence_sql('q.quantile', 'm.mp')} AS forecast_confidence
+FROM (SELECT segment, avg(predicted) AS mp FROM test GROUP BY segment) m
+JOIN {quantile_of('test')} q ON q.segment = m.segment"""))
+register("model_stability", _model(stability_sql("test")))
+register("drift_flag", _model(f"SELECT segment, drift_detected FROM ({stability_sql('wf')})"))
+register("health_summary", _model(f"""
+SELECT l.segment, l.week, {rnd('l.forecast', 2)} AS forecast,
+       {rnd('l.forecast - q.quantile', 2)} AS lower_bound, {rnd('l.forecast + q.quantile', 2)} AS upper_bound,
+       {confidence_sql('q.quantile', 'l.mp')} AS forecast_confidence, s.model_stability, s.drift_detected
+FROM (SELECT segment, max_by(predicted, week) AS forecast, max(week) AS week, avg(predicted) AS mp
+      FROM wf GROUP BY segment) l
+JOIN {quantile_of('wf')} q ON q.segment = l.segment
+JOIN ({stability_sql('wf')}) s ON s.segment = l.segment"""))
+register("rolling_rmse_band", _model(f"""
+SELECT segment, week, {rnd('r', 2)} AS rolling_rmse, {rnd('predicted - r', 2)} AS lower_bound,
+       {rnd('predicted + r', 2)} AS upper_bound
+FROM (SELECT *, first_value(r0 IGNORE NULLS) OVER ({_P} ORDER BY week
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r
+      FROM (SELECT *, CASE WHEN count(e2) OVER pw >= 4 THEN sqrt(avg(e2) OVER pw) END AS r0
+            FROM (SELECT *, (actual - predicted) * (actual - predicted) AS e2 FROM wf)
+            WINDOW pw AS ({_P} ORDER BY week ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)))"""))
+register("walk_forward_summary", _model(
+    f"SELECT segment, min(week) AS first_week, max(week) AS last_week, {metric_cols()} FROM wf GROUP BY segment"))
+
+_GRID = "[" + ", ".join(dbl(round(0.05 * i, 2)) for i in range(1, 20)) + "]"
+SES_CTES = f"""
+sesv AS (SELECT segment, max(week) AS last_week, list(weekly_revenue ORDER BY week) AS v
+         FROM split WHERE role = 'train' GROUP BY segment),
+sesg AS (SELECT segment, last_week, len(v) AS n, alpha,
+           list_reduce(list_slice(v, 2, len(v)),
+             lambda acc, x: {{'level': acc.level * (1 - alpha) + x * alpha,
+                              'sse': acc.sse + (x - acc.level) * (x - acc.level)}},
+             {{'level': v[1], 'sse': CAST(0.0 AS DOUBLE)}}) AS f
+         FROM sesv, unnest({_GRID}) g(alpha)),
+ses AS (SELECT segment, first(n) AS n, first(last_week) AS last_week,
+               min_by(alpha, f.sse) AS alpha, min_by(f.level, f.sse) AS level, min(f.sse) AS sse
+        FROM sesg GROUP BY segment)
+"""
+register("ses_forecast", with_ledger("SELECT segment, n, last_week, alpha, level, sse FROM ses",
+                                     feature_ctes() + "," + MODEL_CTES + "," + SES_CTES))
+register("ses_holdout", with_ledger("""
+SELECT s.segment, s.week, s.weekly_revenue AS actual, e.level AS predicted
+FROM split s JOIN ses e ON e.segment = s.segment WHERE s.role = 'test'""",
+                                    feature_ctes() + "," + MODEL_CTES + "," + SES_CTES))
+register("df_test", _model(f"""
+SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
+       {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary
+FROM (SELECT *, gamma / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM (
+  SELECT segment, regr_count(dy, ylag) AS n, regr_slope(dy, ylag) AS gamma, regr_sxx(dy, ylag) AS sxx,
+         regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy
+  FROM (SELECT segment, weekly_revenue - lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS dy,
+               lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS ylag FROM ready)
+  GROUP BY segment))"""))

@@ -166,3 +166,200 @@ def ledger_summary(spark, sf_dir):
     led = Ledger(spark, sf_dir)
     s = lg.ledger_summary(led.invoices, led.payments, led.customers)
     return s.select("metric", rnd("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------- folds, models, evaluation
+from hebdo.operators import evaluate as ev  # noqa: E402
+from hebdo.operators import folds as fo  # noqa: E402
+from hebdo.operators import linear as li  # noqa: E402
+
+
+def _money(df: DataFrame, cols, digits: int = 2) -> DataFrame:
+    """Round money columns computed by order-dependent aggregates."""
+    return df.withColumns({c: rnd(c, digits) for c in cols})
+
+
+def _ready_split(spark, sf_dir):
+    return fo.holdout_split(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def holdout_split(spark, sf_dir):
+    return _ready_split(spark, sf_dir).select(*KEYS, "week", "role")
+
+
+@query
+def expanding_folds(spark, sf_dir):
+    train = _ready_split(spark, sf_dir).where("role = 'train'")
+    return fo.expanding_folds(train, KEYS)
+
+
+@query
+def walk_forward_origins(spark, sf_dir):
+    return fo.walk_forward_origins(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def calibration_tail(spark, sf_dir):
+    train = _ready_split(spark, sf_dir).where("role = 'train'").drop("role")
+    return fo.calibration_tail(train, KEYS).select(*KEYS, "week", "role")
+
+
+def _ar1(spark, sf_dir):
+    return li.ar1_holdout(ready_table(spark, sf_dir), KEYS)
+
+
+def _ar1_test(spark, sf_dir):
+    return _ar1(spark, sf_dir).where("role = 'test'").drop("role")
+
+
+def _wf(spark, sf_dir):
+    return li.ar1_walk_forward(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def ar1_holdout(spark, sf_dir):
+    return _money(_ar1(spark, sf_dir), ["predicted"])
+
+
+@query
+def ar1_walk_forward(spark, sf_dir):
+    return _money(_wf(spark, sf_dir), ["predicted"])
+
+
+def _metrics_out(df):
+    return df.withColumns({"mae": rnd("mae", 2), "rmse": rnd("rmse", 2), "mape": rnd("mape", 6)})
+
+
+@query
+def metrics(spark, sf_dir):
+    return _metrics_out(ev.metrics(_ar1_test(spark, sf_dir), KEYS))
+
+
+@query
+def train_test_metrics(spark, sf_dir):
+    return _metrics_out(ev.train_test_metrics(_ar1(spark, sf_dir), KEYS))
+
+
+@query
+def residuals(spark, sf_dir):
+    return _money(ev.with_errors(_ar1_test(spark, sf_dir)).select(*KEYS, "week", "abs_error"),
+                  ["abs_error"])
+
+
+@query
+def signed_error(spark, sf_dir):
+    return _money(ev.with_errors(_ar1_test(spark, sf_dir)).select(*KEYS, "week", "error"),
+                  ["error"])
+
+
+def _q(test):
+    return ev.conformal_quantile(ev.with_errors(test), KEYS)
+
+
+@query
+def conformal_quantile(spark, sf_dir):
+    return _money(_q(_ar1_test(spark, sf_dir)), ["quantile"])
+
+
+@query
+def interval_constant(spark, sf_dir):
+    test = _ar1_test(spark, sf_dir)
+    out = ev.interval_constant(test, _q(test), KEYS)
+    return _money(out.select(*KEYS, "week", "predicted", "lower_bound", "upper_bound"),
+                  ["predicted", "lower_bound", "upper_bound"])
+
+
+@query
+def interval_horizon(spark, sf_dir):
+    test = _ar1_test(spark, sf_dir)
+    out = ev.interval_horizon(test, _q(test), KEYS)
+    return _money(out.select(*KEYS, "week", "step", "lower_bound", "upper_bound"),
+                  ["lower_bound", "upper_bound"])
+
+
+@query
+def interval_coverage(spark, sf_dir):
+    test = _ar1_test(spark, sf_dir)
+    return ev.coverage(ev.interval_constant(test, _q(test), KEYS), KEYS)
+
+
+@query
+def forecast_confidence(spark, sf_dir):
+    test = _ar1_test(spark, sf_dir)
+    return ev.forecast_confidence(test, _q(test), KEYS)
+
+
+@query
+def model_stability(spark, sf_dir):
+    return ev.model_stability(_ar1_test(spark, sf_dir), KEYS)
+
+
+@query
+def drift_flag(spark, sf_dir):
+    return ev.model_stability(_wf(spark, sf_dir), KEYS).select(*KEYS, "drift_detected")
+
+
+@query
+def health_summary(spark, sf_dir):
+    wf = _wf(spark, sf_dir)
+    out = ev.health_summary(wf, _q(wf), KEYS)
+    return _money(out, ["forecast", "lower_bound", "upper_bound"])
+
+
+@query
+def rolling_rmse_band(spark, sf_dir):
+    out = ev.rolling_rmse_band(_wf(spark, sf_dir), KEYS)
+    return _money(out.select(*KEYS, "week", "rolling_rmse", "lower_bound", "upper_bound"),
+                  ["rolling_rmse", "lower_bound", "upper_bound"])
+
+
+@query
+def walk_forward_summary(spark, sf_dir):
+    return _metrics_out(ev.walk_forward_summary(_wf(spark, sf_dir), KEYS))
+
+
+def _ses_train(spark, sf_dir):
+    return _ready_split(spark, sf_dir).where("role = 'train'")
+
+
+@query
+def ses_forecast(spark, sf_dir):
+    return li.ses_fit(_ses_train(spark, sf_dir), KEYS)
+
+
+@query
+def ses_holdout(spark, sf_dir):
+    return li.ses_holdout(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def df_test(spark, sf_dir):
+    out = li.df_test(ready_table(spark, sf_dir), KEYS)
+    return out.withColumns({"gamma": rnd("gamma", 9), "t_stat": rnd("t_stat", 6)})
+
+
+@query
+def ar_order_selection(spark, sf_dir):
+    """rows only: numpy solve of grouped normal equations"""
+    return li.ar_order_selection(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def fourier_trend(spark, sf_dir):
+    """rows only: ridge trend + yearly Fourier terms"""
+    return li.fourier_trend(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def model_leaderboard(spark, sf_dir):
+    """rows only: holdout metrics of the per-series models side by side"""
+    ready = ready_table(spark, sf_dir)
+    ar1 = li.ar1_holdout(ready, KEYS).where("role = 'test'").drop("role") \
+        .withColumn("model", F.lit("ar1"))
+    ses = li.ses_holdout(ready, KEYS).withColumn("model", F.lit("ses"))
+    ft = (li.fourier_trend(ready, KEYS).where("role = 'test'")
+          .select(*KEYS, F.col("ds").alias("week"), F.col("y").alias("actual"),
+                  F.col("yhat").alias("predicted"), F.lit("fourier_trend").alias("model")))
+    allp = ar1.unionByName(ses).unionByName(ft)
+    return _metrics_out(ev.metrics(allp, KEYS + ["model"]))
