@@ -460,3 +460,170 @@ FROM (SELECT *, gamma / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM
   FROM (SELECT segment, weekly_revenue - lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS dy,
                lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS ylag FROM ready)
   GROUP BY segment))"""))
+
+
+# ---------------------------------------------------------------- forecasting, reporting
+def _business():
+    from hebdo.operators.forecast import BUSINESS
+    return BUSINESS
+
+
+_ZERO = "CAST(0.0 AS DOUBLE)"
+
+
+def l_tail(h: str, k: int) -> str:
+    return f"list_slice({h}, greatest(len({h}) - {k} + 1, 1), len({h}))"
+
+
+def l_sum(t: str) -> str:
+    return f"list_reduce({t}, lambda acc, x: acc + x, {_ZERO})"
+
+
+def l_mean(h: str, k: int) -> str:
+    t = l_tail(h, k)
+    return f"(CASE WHEN len({t}) > 0 THEN {l_sum(t)} / len({t}) END)"
+
+
+def l_std(h: str, k: int) -> str:
+    t = l_tail(h, k)
+    m = f"({l_sum(t)} / len({t}))"
+    ss = f"list_reduce({t}, lambda acc, x: acc + (x - {m}) * (x - {m}), {_ZERO})"
+    return f"(CASE WHEN len({t}) > 1 THEN sqrt({ss} / (len({t}) - 1)) END)"
+
+
+def l_safe_lag(h: str, k: int) -> str:
+    return f"{h}[len({h}) - least({k}, len({h})) + 1]"
+
+
+def l_wavg(h: str, window: int = 8) -> str:
+    t = l_tail(h, window)
+    num = (f"list_reduce(list_transform(range(1, len({t}) + 1), lambda i: {t}[i] * CAST(i AS DOUBLE)), "
+           f"lambda acc, v: acc + v, {_ZERO})")
+    return f"(CASE WHEN len({t}) > 0 THEN {num} / (len({t}) * (len({t}) + 1) / 2) ELSE {_ZERO} END)"
+
+
+def state_cte() -> str:
+    hs = ", ".join(f"list({c} ORDER BY week) AS h_{c}" for c in ["weekly_revenue"] + _business())
+    return f"st AS (SELECT segment, max(week) AS week, {hs} FROM ready GROUP BY segment)"
+
+
+def step_feature_sql() -> dict[str, str]:
+    h = "h_weekly_revenue"
+    f: dict[str, str] = {}
+    for k in (1, 2, 4, 8, 12, 26):
+        f[f"lag_{k}"] = l_safe_lag(h, k)
+    for k in (4, 8, 12):
+        f[f"rolling_mean_{k}"] = l_mean(h, k)
+        f[f"rolling_std_{k}"] = l_std(h, k)
+    f["ema_4"], f["ema_12"] = ema(h, 4), ema(h, 12)
+    f["revenue_vs_4w_avg"] = div(f["lag_1"], f["rolling_mean_4"])
+    f["revenue_vs_8w_avg"] = div(f["lag_1"], f["rolling_mean_8"])
+    f["revenue_growth_4w"] = f"({div(f['lag_1'], f['lag_4'])} - 1)"
+    f["revenue_acceleration"] = f"({f['lag_1']} - {f['lag_2']})"
+    f["revenue_deviation"] = f"({f['lag_1']} - {f['rolling_mean_12']})"
+    f["rolling_cv_4"] = div(f["rolling_std_4"], f["rolling_mean_4"])
+    for c in _business():
+        f[c] = l_wavg(f"h_{c}")
+    nw = "CAST(week + INTERVAL 7 DAY AS DATE)"
+    two_pi = dbl(2 * _math.pi)
+    m = f"({two_pi} * month({nw}) / {dbl(12.0)})"
+    wk = f"({two_pi} * weekofyear({nw}) / {dbl(52.0)})"
+    f["month_sin"], f["month_cos"] = f"sin({m})", f"cos({m})"
+    f["week_sin"], f["week_cos"] = f"sin({wk})", f"cos({wk})"
+    return {k: f"CAST({v} AS DOUBLE)" for k, v in f.items()}
+
+
+def _fc(body: str, extra: str = "") -> str:
+    ctes = feature_ctes() + "," + MODEL_CTES + "," + SES_CTES + "," + state_cte()
+    if extra:
+        ctes += "," + extra
+    return with_ledger(body, ctes)
+
+
+register("next_week", _fc("SELECT segment, week AS last_week, CAST(week + INTERVAL 7 DAY AS DATE) AS next_week FROM st"))
+_TD = "CAST(week + INTERVAL 2 MONTH AS DATE)"
+register("target_month", _fc(f"""
+SELECT segment, week AS last_week, {_TD} AS target_date, CAST(month({_TD}) AS INTEGER) AS target_month,
+       CAST(year({_TD}) AS INTEGER) AS target_year FROM st"""))
+register("forecast_horizon", _fc(f"""
+SELECT segment, week AS last_week, 26 AS horizon_weeks,
+       greatest(1, CAST(floor(date_diff('day', week, last_day(make_date(year({_TD}), month({_TD}), 1))) / 7)
+                        AS INTEGER)) AS horizon_to_month FROM st"""))
+register("weighted_recent_avg", _fc(
+    "SELECT segment, " + ", ".join(f"{l_wavg('h_' + c)} AS {c}" for c in _business()) + " FROM st"))
+register("safe_lag", _fc(
+    "SELECT segment, " + ", ".join(f"{l_safe_lag('h_weekly_revenue', k)} AS lag_{k}"
+                                   for k in (1, 2, 4, 8, 12, 26)) + " FROM st"))
+
+
+def _register_next_week_features():
+    from hebdo.operators.features import FEATURES
+    fs = step_feature_sql()
+    inner = ", ".join(f"{fs[n]} AS {n}" for n in FEATURES)
+    register("next_week_features", _fc(
+        f"SELECT segment, week, {out_cols(FEATURES)} FROM "
+        f"(SELECT segment, CAST(week + INTERVAL 7 DAY AS DATE) AS week, {inner} FROM st)"))
+
+
+_register_next_week_features()
+
+SES_FORECAST_CTES = f"""
+sesva AS (SELECT segment, max(week) AS last_week, list(weekly_revenue ORDER BY week) AS v
+          FROM ready GROUP BY segment),
+sesga AS (SELECT segment, last_week, alpha,
+           list_reduce(list_slice(v, 2, len(v)),
+             lambda acc, x: {{'level': acc.level * (1 - alpha) + x * alpha,
+                              'sse': acc.sse + (x - acc.level) * (x - acc.level)}},
+             {{'level': v[1], 'sse': CAST(0.0 AS DOUBLE)}}) AS f
+         FROM sesva, unnest({_GRID}) g(alpha)),
+sesa AS (SELECT segment, first(last_week) AS last_week, min_by(f.level, f.sse) AS level
+         FROM sesga GROUP BY segment),
+seshold AS (SELECT s.segment, s.week, s.weekly_revenue AS actual, e.level AS predicted
+            FROM split s JOIN ses e ON e.segment = s.segment WHERE s.role = 'test'),
+fcast AS (
+  SELECT a.segment, CAST(a.last_week + CAST(g.step * 7 AS INTEGER) AS DATE) AS week, g.step,
+         a.level AS predicted,
+         a.level - q.quantile * sqrt(CAST(g.step AS DOUBLE)) AS lower_bound,
+         a.level + q.quantile * sqrt(CAST(g.step AS DOUBLE)) AS upper_bound,
+         CAST(95.0 AS DOUBLE) AS confidence
+  FROM sesa a JOIN {quantile_of('seshold')} q ON q.segment = a.segment,
+       (SELECT unnest(range(1, 27)) AS step) g)
+"""
+_F2 = ", ".join(rnd(c, 2) + f" AS {c}" for c in ("predicted", "lower_bound", "upper_bound"))
+register("forecast_ses", _fc(f"""
+SELECT segment, week, step, {_F2}, confidence, {rnd('upper_bound', 2)} AS best_case,
+       {rnd('lower_bound', 2)} AS worst_case FROM fcast""", SES_FORECAST_CTES))
+register("forecast_summary", _fc(f"""
+SELECT segment, count(*) AS weeks, min(week) AS start_week, max(week) AS end_week,
+       {rnd('max_by(predicted, week)', 2)} AS final_value, {rnd('max_by(lower_bound, week)', 2)} AS final_lower,
+       {rnd('max_by(upper_bound, week)', 2)} AS final_upper
+FROM fcast GROUP BY segment""", SES_FORECAST_CTES))
+_GROWTH = """(SELECT c.segment, c.current, f.future, (f.future - c.current) / nullif(c.current, 0) * 100 AS growth_pct
+  FROM (SELECT segment, max_by(weekly_revenue, week) AS current FROM ready GROUP BY segment) c
+  JOIN (SELECT segment, max_by(predicted, week) AS future FROM fcast GROUP BY segment) f
+    ON f.segment = c.segment)"""
+register("growth", _fc(f"""
+SELECT segment, {rnd('current', 6)} AS current, {rnd('future', 6)} AS future,
+       {rnd('growth_pct', 6)} AS growth_pct FROM {_GROWTH}""", SES_FORECAST_CTES))
+register("chart_series", _fc(f"""
+SELECT segment, week, {rnd('weekly_revenue', 2)} AS value, 'history' AS series,
+       CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound FROM ready
+UNION ALL
+SELECT segment, max(week), {rnd('max_by(weekly_revenue, week)', 2)}, 'forecast', NULL, NULL
+FROM ready GROUP BY segment
+UNION ALL
+SELECT segment, week, {rnd('predicted', 2)}, 'forecast', {rnd('lower_bound', 2)}, {rnd('upper_bound', 2)}
+FROM fcast""", SES_FORECAST_CTES))
+
+
+def money_label(x: str) -> str:
+    return f"('₹' || format('{{:,}}', CAST(round_even({x}, 0) AS BIGINT)))"
+
+
+register("display_table", _fc(f"""
+SELECT segment, week, strftime(week, '%d %b %Y') AS week_label, {money_label('predicted')} AS revenue_label
+FROM fcast""", SES_FORECAST_CTES))
+register("kpi_row", _fc(f"""
+SELECT segment, {money_label('current')} AS current_label, {money_label('future')} AS forecast_label,
+       printf('%.2f', growth_pct) || '%' AS growth_label, '95%' AS confidence_label
+FROM {_GROWTH}""", SES_FORECAST_CTES))

@@ -363,3 +363,165 @@ def model_leaderboard(spark, sf_dir):
                   F.col("yhat").alias("predicted"), F.lit("fourier_trend").alias("model")))
     allp = ar1.unionByName(ses).unionByName(ft)
     return _metrics_out(ev.metrics(allp, KEYS + ["model"]))
+
+
+# ---------------------------------------------------------------- forecasting, reporting
+from hebdo.operators import forecast as fc  # noqa: E402
+from hebdo.operators import report as rp  # noqa: E402
+
+HORIZON = 26
+MONTHS_AHEAD = 2
+
+
+def _state(spark, sf_dir):
+    return fc.forecast_state(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def next_week(spark, sf_dir):
+    st = _state(spark, sf_dir)
+    return st.select(*KEYS, F.col("week").alias("last_week"), fc.next_week(F.col("week")).alias("next_week"))
+
+
+@query
+def target_month(spark, sf_dir):
+    st = _state(spark, sf_dir)
+    t = fc.target_month(F.col("week"), MONTHS_AHEAD)
+    return st.select(*KEYS, F.col("week").alias("last_week"), t.alias("target_date"),
+                     F.month(t).alias("target_month"), F.year(t).alias("target_year"))
+
+
+@query
+def forecast_horizon(spark, sf_dir):
+    st = _state(spark, sf_dir)
+    t = fc.target_month(F.col("week"), MONTHS_AHEAD)
+    return st.select(*KEYS, F.col("week").alias("last_week"),
+                     fc.horizon_weeks(F.col("week"), weeks=HORIZON).alias("horizon_weeks"),
+                     fc.horizon_weeks(F.col("week"), None, F.month(t), F.year(t)).alias("horizon_to_month"))
+
+
+@query
+def weighted_recent_avg(spark, sf_dir):
+    from hebdo.functions.columns import weighted_recent_average
+    st = _state(spark, sf_dir)
+    return st.select(*KEYS, *[weighted_recent_average(F.col(f"h_{c}")).alias(c) for c in fc.BUSINESS])
+
+
+@query
+def safe_lag(spark, sf_dir):
+    from hebdo.functions.columns import safe_lag_of_array
+    st = _state(spark, sf_dir)
+    return st.select(*KEYS, *[safe_lag_of_array(F.col(f"h_{fe.TARGET}"), k).alias(f"lag_{k}")
+                              for k in fc.REVENUE_LAGS])
+
+
+@query
+def next_week_features(spark, sf_dir):
+    return _present(fc.next_week_features(_state(spark, sf_dir), KEYS), KEYS + ["week"] + fe.FEATURES)
+
+
+def _ses_forecast(spark, sf_dir):
+    ready = ready_table(spark, sf_dir)
+    fit = li.ses_fit(ready, KEYS)
+    hold = li.ses_holdout(ready, KEYS)
+    q = ev.conformal_quantile(ev.with_errors(hold), KEYS)
+    return ready, fc.with_confidence(fc.flat_forecast(fit, KEYS, HORIZON), q, KEYS)
+
+
+_BOUNDS = ["predicted", "lower_bound", "upper_bound", "best_case", "worst_case"]
+
+
+@query
+def forecast_ses(spark, sf_dir):
+    return _money(_ses_forecast(spark, sf_dir)[1], _BOUNDS)
+
+
+@query
+def forecast_summary(spark, sf_dir):
+    out = fc.forecast_summary(_ses_forecast(spark, sf_dir)[1], KEYS)
+    return _money(out, ["final_value", "final_lower", "final_upper"])
+
+
+@query
+def growth(spark, sf_dir):
+    ready, f = _ses_forecast(spark, sf_dir)
+    return _money(rp.growth(ready, f, KEYS), ["current", "future", "growth_pct"], 6)
+
+
+@query
+def chart_series(spark, sf_dir):
+    ready, f = _ses_forecast(spark, sf_dir)
+    return _money(rp.chart_series(ready, f, KEYS), ["value", "lower_bound", "upper_bound"])
+
+
+@query
+def display_table(spark, sf_dir):
+    return rp.display_table(_ses_forecast(spark, sf_dir)[1], KEYS)
+
+
+@query
+def kpi_row(spark, sf_dir):
+    ready, f = _ses_forecast(spark, sf_dir)
+    return rp.kpi_row(ready, f, KEYS)
+
+
+# ---------------------------------------------------------------- trees (rows-only checks)
+from hebdo.operators import trees as tr  # noqa: E402
+
+# Run-time budget of the registered tree queries: Spark's GBT pays a fixed
+# job cost per boosting round, so the registered queries use 50 rounds with
+# the learning rate scaled to keep rounds x rate of the tuned parameters.
+TREE_ROUNDS = 50
+TREE_PARAMS = {**tr.TUNED_PARAMS, "n_estimators": TREE_ROUNDS,
+               "learning_rate": tr.TUNED_PARAMS["learning_rate"]
+               * tr.TUNED_PARAMS["n_estimators"] / TREE_ROUNDS}
+_MODELS: dict = {}
+
+
+def _tree(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        ready = ready_table(spark, sf_dir).persist()
+        _MODELS[key] = (ready,) + tr.holdout(ready, KEYS, TREE_PARAMS)
+    return _MODELS[key]
+
+
+@query
+def tree_holdout(spark, sf_dir):
+    """rows only: pooled boosted trees, last 12 weeks held out per series"""
+    return _tree(spark, sf_dir)[2]
+
+
+@query
+def tree_metrics(spark, sf_dir):
+    """rows only: train / test metrics of the pooled trees"""
+    return ev.train_test_metrics(_tree(spark, sf_dir)[2], KEYS)
+
+
+@query
+def forecast_trees(spark, sf_dir):
+    """rows only: recursive 26-week forecast with the pooled trees"""
+    ready, model, pred = _tree(spark, sf_dir)
+    q = ev.conformal_quantile(ev.with_errors(pred.where("role = 'test'")), KEYS)
+    out = fc.recursive_forecast(model, fc.forecast_state(ready, KEYS), KEYS, HORIZON)
+    return fc.with_confidence(out, q, KEYS, value=fe.TARGET)
+
+
+@query
+def feature_importance(spark, sf_dir):
+    """rows only: top-20 split importances of the pooled trees"""
+    return tr.feature_importance(_tree(spark, sf_dir)[1])
+
+
+@query
+def permutation_importance(spark, sf_dir):
+    """rows only: MAE increase per permuted feature on the holdout weeks"""
+    ready, model, _ = _tree(spark, sf_dir)
+    test = fo.holdout_split(ready, KEYS).where("role = 'test'").drop("role")
+    return tr.permutation_importance(model, test, KEYS)
+
+
+@query
+def tuning_leaderboard(spark, sf_dir):
+    """rows only: random search over forward-only folds (small budget)"""
+    return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=2, n_splits=3, tree_budget=10)
