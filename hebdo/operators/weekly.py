@@ -27,19 +27,36 @@ def calendar_bounds(invoices: DataFrame, date_col: str = "date"):
     return row["lo"], row["hi"]
 
 
+def _explode_weeks(lo, hi):
+    return F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS")))
+
+
+def calendar_of(weekly_agg: DataFrame, keys: list[str] | None = None, bounds=None) -> DataFrame:
+    """A2 from an already-aggregated (keys, week) table: every Monday from
+    its first to its last week, for every series in it. The global bounds
+    enter as scalar subqueries over that small table (no driver round trip,
+    no join); Spark reuses the aggregate's exchange for them."""
+    keys = list(keys or [])
+    if not keys:
+        b = weekly_agg.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
+        lo, hi = (F.lit(bounds[0]), F.lit(bounds[1])) if bounds is not None else (F.col("lo"), F.col("hi"))
+        return b.select(_explode_weeks(lo, hi).alias("week"))
+    if bounds is not None:
+        lo, hi = F.lit(bounds[0]), F.lit(bounds[1])
+    else:
+        lo = weekly_agg.agg(F.min("week")).scalar()
+        hi = weekly_agg.agg(F.max("week")).scalar()
+    return weekly_agg.select(*keys).distinct().select(*keys, _explode_weeks(lo, hi).alias("week"))
+
+
 def week_calendar(invoices: DataFrame, keys: list[str] | None = None,
                   date_col: str = "date", bounds=None) -> DataFrame:
     """Every Monday from the first to the last invoice week (A2), for every
     series seen in ``invoices``. All series share the global bounds."""
     keys = list(keys or [])
-    weeks = lambda lo, hi: F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS")))
-    if not keys and bounds is None:
-        return (invoices.agg(F.min(week_start(date_col)).alias("lo"),
-                             F.max(week_start(date_col)).alias("hi"))
-                .select(weeks(F.col("lo"), F.col("hi")).alias("week")))
-    lo, hi = bounds if bounds is not None else calendar_bounds(invoices, date_col)
-    series = invoices.select(*keys).distinct() if keys else invoices.sparkSession.range(1)
-    return series.select(*keys, weeks(F.lit(lo), F.lit(hi)).alias("week"))
+    weeks = (invoices.where(F.col(date_col).isNotNull())
+             .select(*keys, week_start(date_col).alias("week")).distinct())
+    return calendar_of(weeks, keys, bounds)
 
 
 def _money_agg(df: DataFrame, keys, date_col, amount_col, id_col, names):
@@ -67,12 +84,25 @@ def weekly_payments(payments: DataFrame, keys: list[str] | None = None) -> DataF
                       ("weekly_payments", "payment_count", "average_payment"))
 
 
-def new_customers(customers: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """A5: customers by the week of their creation."""
+def customer_weeks(customers: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One pass over the customer table: counts by (series, creation week,
+    effective week, active?). The effective week is the first Monday at or
+    after created_time. Feeds both A5 and A7."""
     keys = list(keys or [])
+    ws = week_start("created_time")
+    effective = F.when(F.col("created_time") == ws.cast("timestamp"), ws).otherwise(F.date_add(ws, 7))
     return (customers.where(F.col("created_time").isNotNull())
-            .groupBy(*keys, week_start("created_time").alias("week"))
-            .agg(F.count("customer_id").alias("new_customers")))
+            .groupBy(*keys, ws.alias("week"), effective.alias("effective_week"),
+                     (F.col("status") == "active").alias("is_active"))
+            .agg(F.count("customer_id").alias("n")))
+
+
+def new_customers(customers: DataFrame, keys: list[str] | None = None,
+                  weeks: DataFrame | None = None) -> DataFrame:
+    """A5: customers by the week of their creation."""
+    keys = list(keys or [])
+    cw = weeks if weeks is not None else customer_weeks(customers, keys)
+    return cw.groupBy(*keys, "week").agg(F.sum("n").alias("new_customers"))
 
 
 def is_active_at(created: str = "created_time", week: str = "week",
@@ -82,7 +112,7 @@ def is_active_at(created: str = "created_time", week: str = "week",
 
 
 def active_customers(customers: DataFrame, calendar: DataFrame,
-                     keys: list[str] | None = None) -> DataFrame:
+                     keys: list[str] | None = None, weeks: DataFrame | None = None) -> DataFrame:
     """Number of currently-active customers created at or before each
     calendar Monday.
 
@@ -94,13 +124,10 @@ def active_customers(customers: DataFrame, calendar: DataFrame,
     reach a calendar row. One shuffle by series key, no join.
     """
     keys = list(keys or [])
-    ws = week_start("created_time")
-    effective = F.when(F.col("created_time") == ws.cast("timestamp"), ws) \
-        .otherwise(F.date_add(ws, 7))
-    counts = (customers
-              .where((F.col("status") == "active") & F.col("created_time").isNotNull())
-              .groupBy(*keys, effective.alias("week"))
-              .agg(F.count("customer_id").alias("_n"))
+    cw = weeks if weeks is not None else customer_weeks(customers, keys)
+    counts = (cw.where("is_active")
+              .groupBy(*keys, F.col("effective_week").alias("week"))
+              .agg(F.sum("n").alias("_n"))
               .withColumn("_cal", F.lit(False)))
     cal = calendar.select(*keys, "week", F.lit(0).cast("long").alias("_n"),
                           F.lit(True).alias("_cal"))
@@ -143,13 +170,19 @@ def build_weekly_metrics(invoices: DataFrame, payments: DataFrame, customers: Da
                          keys: list[str] | None = None, bounds=None) -> DataFrame:
     """E1 end to end: ledger -> gap-free weekly metrics per series."""
     keys = list(keys or [])
-    cal = week_calendar(invoices, keys, bounds=bounds)
+    # The (series x week) revenue aggregate is tiny next to the ledger; it is
+    # persisted so the calendar's series list and bounds read it instead of
+    # re-joining the invoices (Catalyst would otherwise prune it back to a
+    # separate scan + join for the distinct keys).
+    revenue = weekly_revenue(invoices, keys).persist()
+    cal = calendar_of(revenue, keys, bounds)
+    cw = customer_weeks(customers, keys)
     return weekly_dataset(
         cal,
-        weekly_revenue(invoices, keys),
+        revenue,
         weekly_payments(payments, keys),
-        new_customers(customers, keys),
-        active_customers(customers, cal, keys),
+        new_customers(customers, keys, cw),
+        active_customers(customers, cal, keys, cw),
         keys,
     )
 
