@@ -174,3 +174,27 @@ def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str
     out = model.transform(variants).groupBy("feature").agg(mae.alias("permuted_mae"))
     return (out.withColumn("base_mae", base.select("m").scalar())
             .withColumn("importance", F.col("permuted_mae") - F.col("base_mae")))
+
+
+def walk_forward(ready: DataFrame, keys: list[str] | None = None, params: dict | None = None,
+                 initial: int = 104, refit_every: int = 1) -> DataFrame:
+    """J5 for the pooled trees: origins are the weeks at position >=
+    ``initial`` of the shared calendar; the model is refitted on all rows
+    before an origin every ``refit_every`` origins (1 = the reference's
+    refit-per-origin) and predicts the following weeks one step ahead from
+    their actual features. The driver loops over refit points only (a list of
+    a few hundred dates); every fit and prediction is a Spark job."""
+    keys = list(keys or [])
+    weeks = [r.week for r in ready.select("week").distinct().orderBy("week").collect()]
+    origins = weeks[initial:]
+    out = None
+    for i in range(0, len(origins), refit_every):
+        start = origins[i]
+        stop = origins[i + refit_every] if i + refit_every < len(origins) else None
+        model = fit(ready.where(F.col("week") < F.lit(start)), params)
+        block = ready.where(F.col("week") >= F.lit(start))
+        if stop is not None:
+            block = block.where(F.col("week") < F.lit(stop))
+        pred = predict(model, block, keys)
+        out = pred if out is None else out.unionByName(pred)
+    return out

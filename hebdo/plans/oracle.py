@@ -100,8 +100,13 @@ weekly AS (
 """
 
 
-def with_ledger(body: str, extra_ctes: str = "") -> str:
+def with_ledger(body: str, extra_ctes: str = "", total: bool = False) -> str:
+    """WITH ledger CTEs [+ extra] body. ``total=True`` makes every row one
+    series (a constant series key the final SELECT leaves out), the twin of
+    running the Spark operators with ``keys=[]``."""
     ctes = LEDGER.strip()
+    if total:
+        ctes = ctes.replace("c.c_mktsegment AS segment", "'total' AS segment")
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
     return f"WITH {ctes}\n{body}"
@@ -627,3 +632,19 @@ register("kpi_row", _fc(f"""
 SELECT segment, {money_label('current')} AS current_label, {money_label('future')} AS forecast_label,
        printf('%.2f', growth_pct) || '%' AS growth_label, '95%' AS confidence_label
 FROM {_GROWTH}""", SES_FORECAST_CTES))
+
+
+# ---------------------------------------------------------------- single global series (keys=[])
+def _register_total():
+    from hebdo.operators.features import FEATURES
+    from hebdo.operators.weekly import METRIC_COLUMNS
+    register("weekly_metrics_total", with_ledger(
+        f"SELECT week, {', '.join(METRIC_COLUMNS)} FROM weekly", total=True))
+    register("model_ready_total", with_ledger(
+        f"SELECT week, weekly_revenue, {out_cols(FEATURES)} FROM ready", feature_ctes(), total=True))
+    register("ar1_walk_forward_total", with_ledger(
+        f"SELECT week, actual, {rnd('predicted', 2)} AS predicted FROM wf",
+        feature_ctes() + "," + MODEL_CTES, total=True))
+
+
+_register_total()

@@ -525,3 +525,30 @@ def permutation_importance(spark, sf_dir):
 def tuning_leaderboard(spark, sf_dir):
     """rows only: random search over forward-only folds (small budget)"""
     return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=2, n_splits=3, tree_budget=10)
+
+
+@query
+def tree_walk_forward(spark, sf_dir):
+    """rows only: pooled trees refitted every 52 origins from week 104"""
+    ready = _tree(spark, sf_dir)[0]
+    return tr.walk_forward(ready, KEYS, TREE_PARAMS, initial=104, refit_every=52)
+
+
+# ---------------------------------------------------------------- single global series (keys=[])
+def _total_ready(spark, sf_dir):
+    return fe.model_ready(Ledger(spark, sf_dir, keys=[]).weekly(), [])
+
+
+@query
+def weekly_metrics_total(spark, sf_dir):
+    return Ledger(spark, sf_dir, keys=[]).weekly()
+
+
+@query
+def model_ready_total(spark, sf_dir):
+    return _present(_total_ready(spark, sf_dir), ["week", fe.TARGET] + fe.FEATURES)
+
+
+@query
+def ar1_walk_forward_total(spark, sf_dir):
+    return _money(li.ar1_walk_forward(_total_ready(spark, sf_dir), []), ["predicted"])
