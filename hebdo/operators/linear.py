@@ -92,7 +92,7 @@ def ses_grid_fit(df: DataFrame, keys: list[str] | None = None, y: str = Y,
             (acc["level"] * (1 - a) + x * a).alias("level"),
             (acc["sse"] + (x - acc["level"]) * (x - acc["level"])).alias("sse")))
     return (vals.where(F.size("values") > 0)
-            .select(*keys, "last_week", F.size("values").alias("n"),
+            .select(*keys, "last_week", F.size("values").cast("long").alias("n"),
                     F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("alpha"), "values")
             .select(*keys, "last_week", "n", "alpha", fold.alias("_f"))
             .select(*keys, "last_week", "n", "alpha",

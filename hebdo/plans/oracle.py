@@ -408,7 +408,7 @@ SELECT segment, week, step, {rnd('predicted - quantile * sqrt(CAST(step AS DOUBL
 FROM (SELECT t.*, q.quantile, row_number() OVER (PARTITION BY t.segment ORDER BY t.week) AS step
       FROM test t JOIN {quantile_of('test')} q ON q.segment = t.segment)"""))
 register("interval_coverage", _model(f"""
-SELECT t.segment, count_if(t.actual >= t.predicted - q.quantile AND t.actual <= t.predicted + q.quantile) AS covered,
+SELECT t.segment, CAST(count_if(t.actual >= t.predicted - q.quantile AND t.actual <= t.predicted + q.quantile) AS BIGINT) AS covered,
        count(*) AS n
 FROM test t JOIN {quantile_of('test')} q ON q.segment = t.segment GROUP BY t.segment"""))
 register("forecast_confidence", _model(f"""
@@ -460,7 +460,7 @@ register("df_test", _model(f"""
 SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
        {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary
 FROM (SELECT *, gamma / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM (
-  SELECT segment, regr_count(dy, ylag) AS n, regr_slope(dy, ylag) AS gamma, regr_sxx(dy, ylag) AS sxx,
+  SELECT segment, CAST(regr_count(dy, ylag) AS BIGINT) AS n, regr_slope(dy, ylag) AS gamma, regr_sxx(dy, ylag) AS sxx,
          regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy
   FROM (SELECT segment, weekly_revenue - lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS dy,
                lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS ylag FROM ready)
