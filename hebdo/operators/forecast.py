@@ -200,3 +200,25 @@ def forecast_summary(forecast: DataFrame, keys: list[str] | None = None,
         F.max_by(value, "week").alias("final_value"),
         F.max_by("lower_bound", "week").alias("final_lower"),
         F.max_by("upper_bound", "week").alias("final_upper"))
+
+
+def run_forecast(ready: DataFrame, model: PipelineModel, residuals: DataFrame,
+                 keys: list[str] | None = None, forecast_type: str = "weeks",
+                 weeks: int = 26, months_ahead: int | None = None) -> DataFrame:
+    """End-to-end forecast. ``forecast_type='weeks'`` forecasts
+    ``weeks`` steps; ``'months'`` forecasts up to the end of the month that
+    lies ``months_ahead`` months after each series' last week (H2 + H1).
+    ``residuals`` (keys, abs_error) calibrate the interval (J6, H9)."""
+    from hebdo.operators.evaluate import conformal_quantile
+    keys = list(keys or [])
+    state = forecast_state(ready, keys)
+    if forecast_type == "weeks":
+        state = state.withColumn("_h", horizon_weeks(F.col("week"), weeks=weeks))
+    else:
+        t = target_month(F.col("week"), int(months_ahead or 1))
+        state = state.withColumn("_h", horizon_weeks(F.col("week"), None, F.month(t), F.year(t)))
+    longest = state.agg(F.max("_h")).first()[0]
+    out = recursive_forecast(model, state, keys, int(longest))
+    out = attach(out, state, keys, ["_h"]).where(F.col("step") <= F.col("_h")).drop("_h")
+    q = conformal_quantile(residuals, keys)
+    return with_confidence(out, q, keys, value=TARGET)

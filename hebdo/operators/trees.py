@@ -158,7 +158,8 @@ def feature_importance(model: PipelineModel, top: int = 20,
 def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str],
                            features: list[str] = FEATURES, seed: int = SEED) -> DataFrame:
     """Increase in MAE when one feature's values are permuted among the
-    weeks of the same series (random-rank self-join on series and rank).
+    weeks of the same series (random-rank self-join on series and rank);
+    ``features`` are the ones to permute, the model always sees all 38.
     All permuted copies are unioned and scored in one job."""
     part = Window.partitionBy(*keys) if keys else Window.partitionBy()
     ranked = test.withColumn("_r", F.row_number().over(part.orderBy("week")))
@@ -167,7 +168,7 @@ def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str
         donor = test.select(*keys, F.col(f).alias("_v"),
                             F.row_number().over(part.orderBy(F.rand(seed + i))).alias("_r"))
         v = (ranked.join(donor, keys + ["_r"]).withColumn(f, F.col("_v"))
-             .select(*keys, "week", TARGET, *features).withColumn("feature", F.lit(f)))
+             .select(*keys, "week", TARGET, *FEATURES).withColumn("feature", F.lit(f)))
         variants = v if variants is None else variants.unionByName(v)
     mae = F.avg(F.abs(F.col(TARGET) - F.col("predicted")))
     base = model.transform(test).agg(mae.alias("m"))
