@@ -117,8 +117,31 @@ def _register_feature_queries():
 _register_feature_queries()
 
 
+_CACHE: dict = {}
+
+
+def cached(spark, sf_dir, name, build):
+    """Persist an intermediate table that several branches of a query (and
+    later queries on the same data) read; keyed by application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _CACHE:
+        _CACHE[key] = build().persist()
+    return _CACHE[key]
+
+
+def clear_cache(spark) -> None:
+    """Drop every persisted intermediate (bench runs call this between
+    queries so each one pays its full cost)."""
+    _CACHE.clear()
+    _MODELS.clear()
+    spark.catalog.clearCache()
+
+
 def ready_table(spark, sf_dir):
-    return fe.model_ready(Ledger(spark, sf_dir).weekly(), KEYS)
+    """Model-ready table of the driver folder, series = segment (persisted:
+    it is small - series x weeks x 40 columns - and read by most queries)."""
+    return cached(spark, sf_dir, "ready",
+                  lambda: fe.model_ready(Ledger(spark, sf_dir).weekly(), KEYS))
 
 
 @query
