@@ -19,15 +19,12 @@ def invoice_settlement(invoices: DataFrame, payments: DataFrame, as_of=None) ->
     amount_paid = sum of payments (cents, exact); status: Paid when fully
     covered, Partially Paid when something but not all was paid, Overdue when
     nothing was paid and the due date is before ``as_of`` (default: the last
-    payment date in the data), else Open. Payments are pre-aggregated per
+    payment date in the data, as a scalar subquery), else Open. Payments are pre-aggregated per
     invoice before the join (partial aggregation collapses hot invoices).
     """
     paid = (payments.groupBy("invoice_id")
             .agg(F.sum(cents("amount")).alias("_paid_cents")))
-    if as_of is None:
-        as_of_col = F.lit(payments.agg(F.max("date")).first()[0])
-    else:
-        as_of_col = F.lit(as_of)
+    as_of_col = payments.agg(F.max("date")).scalar() if as_of is None else F.lit(as_of)
     inv = invoices.select("invoice_id", "customer_id", "date", "due_date", "total",
                           *[c for c in invoices.columns if c not in
                             ("invoice_id", "customer_id", "date", "due_date", "total",

@@ -167,8 +167,12 @@ def weekly_dataset(calendar: DataFrame, revenue: DataFrame, payments: DataFrame,
 
 
 def build_weekly_metrics(invoices: DataFrame, payments: DataFrame, customers: DataFrame,
-                         keys: list[str] | None = None, bounds=None) -> DataFrame:
-    """E1 end to end: ledger -> gap-free weekly metrics per series."""
+                         keys: list[str] | None = None, bounds=None,
+                         drop_partial_last: bool = False) -> DataFrame:
+    """E1 end to end: ledger -> gap-free weekly metrics per series. The last
+    week is kept even when the ledger ends mid-week, unless
+    ``drop_partial_last`` (then it is kept only if the last invoice falls on
+    its Sunday)."""
     keys = list(keys or [])
     # The (series x week) revenue aggregate is tiny next to the ledger; it is
     # persisted so the calendar's series list and bounds read it instead of
@@ -176,6 +180,9 @@ def build_weekly_metrics(invoices: DataFrame, payments: DataFrame, customers: Da
     # separate scan + join for the distinct keys).
     revenue = weekly_revenue(invoices, keys).persist()
     cal = calendar_of(revenue, keys, bounds)
+    if drop_partial_last:
+        last_day = invoices.agg(F.max(F.col("date").cast("date"))).scalar()
+        cal = cal.where(F.date_add("week", 6) <= last_day)
     cw = customer_weeks(customers, keys)
     return weekly_dataset(
         cal,

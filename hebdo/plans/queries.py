@@ -10,6 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions.columns import round_half_up as rnd
+from hebdo.operators import checks as ck
+from hebdo.operators import evaluate as ev
+from hebdo.operators import features as fe
+from hebdo.operators import folds as fo
+from hebdo.operators import forecast as fc
+from hebdo.operators import ledger as lg
+from hebdo.operators import linear as li
+from hebdo.operators import report as rp
+from hebdo.operators import trees as tr
 from hebdo.operators import weekly as wk
 from hebdo.session import configure
 from hebdo.sources import tpch
@@ -88,7 +97,6 @@ def weekly_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- features
-from hebdo.operators import features as fe  # noqa: E402
 
 TRIG_DIGITS = 9
 
@@ -158,8 +166,6 @@ def feature_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- checks, ledger
-from hebdo.operators import checks as ck  # noqa: E402
-from hebdo.operators import ledger as lg  # noqa: E402
 
 
 @query
@@ -192,9 +198,6 @@ def ledger_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- folds, models, evaluation
-from hebdo.operators import evaluate as ev  # noqa: E402
-from hebdo.operators import folds as fo  # noqa: E402
-from hebdo.operators import linear as li  # noqa: E402
 
 
 def _money(df: DataFrame, cols, digits: int = 2) -> DataFrame:
@@ -389,8 +392,6 @@ def model_leaderboard(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- forecasting, reporting
-from hebdo.operators import forecast as fc  # noqa: E402
-from hebdo.operators import report as rp  # noqa: E402
 
 HORIZON = 26
 MONTHS_AHEAD = 2
@@ -489,7 +490,6 @@ def kpi_row(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- trees (rows-only checks)
-from hebdo.operators import trees as tr  # noqa: E402
 
 # Run-time budget of the registered tree queries: Spark's GBT pays a fixed
 # job cost per boosting round, so the registered queries use 50 rounds with

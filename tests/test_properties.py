@@ -153,3 +153,19 @@ def test_ar1_walk_forward_equals_per_origin_least_squares(spark, weekly):
     x, y = one["lag_1"].to_numpy()[:i], one["weekly_revenue"].to_numpy()[:i]
     b, a = np.polyfit(x, y, 1)
     assert wf["predicted"].iloc[0] == pytest.approx(a + b * one["lag_1"].iloc[i], rel=1e-8)
+
+
+def test_drop_partial_last_week(spark):
+    cust = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), "active")],
+                                 "customer_id string, created_time timestamp_ntz, status string")
+    def ledger(last):
+        inv = spark.createDataFrame([("i1", dt.datetime(2024, 1, 1), 10.0), ("i2", last, 5.0)],
+                                    "invoice_id string, date timestamp_ntz, total double")
+        pay = spark.createDataFrame([], "payment_id string, date timestamp_ntz, amount double")
+        return inv, pay
+    inv, pay = ledger(dt.datetime(2024, 1, 10))          # Wednesday: partial week
+    kept = wk.build_weekly_metrics(inv, pay, cust, []).count()
+    dropped = wk.build_weekly_metrics(inv, pay, cust, [], drop_partial_last=True).count()
+    assert (kept, dropped) == (2, 1)
+    inv, pay = ledger(dt.datetime(2024, 1, 14, 12))      # Sunday: complete week
+    assert wk.build_weekly_metrics(inv, pay, cust, [], drop_partial_last=True).count() == 2
