@@ -126,3 +126,37 @@ def test_horizon_interval_widens_with_sqrt_step(spark):
     for i, r in enumerate(rows, start=1):
         assert r.upper_bound == pytest.approx(10 + 2 * math.sqrt(i))
         assert r.lower_bound == pytest.approx(10 - 2 * math.sqrt(i))
+
+
+# A published 12-week boosted-tree holdout (week, actual,
+# predicted) and the interval / confidence / stability it yields.
+HOLDOUT_12 = [
+    ("2025-10-06", 6208719.76, 6339416.5),
+    ("2025-10-13", 7160603.15, 6430697.0),
+    ("2025-10-20", 7112510.58, 6490568.5),
+    ("2025-10-27", 6864275.47, 6045760.0),
+    ("2025-11-03", 6137731.93, 6330638.5),
+    ("2025-11-10", 7219149.02, 6141251.0),
+    ("2025-11-17", 6761632.43, 6168629.0),
+    ("2025-11-24", 6343397.84, 6473685.0),
+    ("2025-12-01", 7256302.47, 6349226.5),
+    ("2025-12-08", 7790523.58, 7009562.5),
+    ("2025-12-15", 8146737.54, 6357588.5),
+    ("2025-12-22", 7879617.09, 6340619.5),
+]
+EXPECT_QUANTILE = 1789149.04
+EXPECT_CONFIDENCE = 71.93
+EXPECT_STABILITY = 61.01
+
+
+def test_published_holdout_health(spark):
+    pred = spark.createDataFrame(
+        [(dt.date.fromisoformat(w), a, p) for w, a, p in HOLDOUT_12],
+        "week date, actual double, predicted double")
+    q = ev.conformal_quantile(ev.with_errors(pred), [])
+    assert q.first()["quantile"] == pytest.approx(EXPECT_QUANTILE, abs=0.01)
+    assert ev.forecast_confidence(pred, q, []).first()[0] == EXPECT_CONFIDENCE
+    st = ev.model_stability(pred, []).first()
+    assert st.model_stability == EXPECT_STABILITY and st.drift_detected
+    cov = ev.coverage(ev.interval_constant(pred, q, []), []).first()
+    assert (cov.covered, cov.n) == (12, 12)
