@@ -158,21 +158,31 @@ def feature_importance(model: PipelineModel, top: int = 20,
 def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str],
                            features: list[str] = FEATURES, seed: int = SEED) -> DataFrame:
     """Increase in MAE when one feature's values are permuted among the
-    weeks of the same series (random-rank self-join on series and rank);
-    ``features`` are the ones to permute, the model always sees all 38.
-    All permuted copies are unioned and scored in one job."""
-    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    ranked = test.withColumn("_r", F.row_number().over(part.orderBy("week")))
-    variants = None
-    for i, f in enumerate(features):
-        donor = test.select(*keys, F.col(f).alias("_v"),
-                            F.row_number().over(part.orderBy(F.rand(seed + i))).alias("_r"))
-        v = (ranked.join(donor, keys + ["_r"]).withColumn(f, F.col("_v"))
-             .select(*keys, "week", TARGET, *FEATURES).withColumn("feature", F.lit(f)))
-        variants = v if variants is None else variants.unionByName(v)
+    weeks of the same series; ``features`` are the ones to permute, the
+    model always sees all 38.
+
+    One pass for all features: the test rows are copied once per permuted
+    feature, the feature values are unpivoted into (series, feature, value)
+    donors ranked at random within (series, feature), and one equi-join on
+    (series, feature, rank) swaps the donor value into the copy."""
+    part = Window.partitionBy(*keys, "feature") if keys else Window.partitionBy("feature")
+    names = F.array(*[F.lit(f) for f in features])
+    rows = (test.select(*keys, "week", TARGET, *FEATURES)
+            .withColumn("feature", F.explode(names))
+            .withColumn("_r", F.row_number().over(part.orderBy("week"))))
+    values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_v"))
+                       for f in features])
+    donors = (test.select(*keys, "week", F.explode(values).alias("d"))
+              .select(*keys, "week", "d.feature", "d._v")
+              .withColumn("_r", F.row_number().over(part.orderBy(F.rand(seed), "week")))
+              .drop("week"))
+    swapped = rows.join(donors, keys + ["feature", "_r"]).select(
+        *keys, "week", TARGET, "feature",
+        *[F.when(F.col("feature") == f, F.col("_v")).otherwise(F.col(f)).alias(f) if f in features
+          else F.col(f) for f in FEATURES])
     mae = F.avg(F.abs(F.col(TARGET) - F.col("predicted")))
     base = model.transform(test).agg(mae.alias("m"))
-    out = model.transform(variants).groupBy("feature").agg(mae.alias("permuted_mae"))
+    out = model.transform(swapped).groupBy("feature").agg(mae.alias("permuted_mae"))
     return (out.withColumn("base_mae", base.select("m").scalar())
             .withColumn("importance", F.col("permuted_mae") - F.col("base_mae")))
 
