@@ -132,22 +132,27 @@ def recursive_forecast(model: PipelineModel, state: DataFrame, keys: list[str] |
     out_type = F.struct(F.lit(None).cast("date").alias("week"), F.lit(None).cast("int").alias("step"),
                         F.lit(None).cast("double").alias(TARGET),
                         *[F.lit(None).cast("double").alias(n) for n in FEATURES])
-    st = state.withColumn("_out", F.filter(F.array(out_type), lambda x: F.lit(False)))
+    st = (state.withColumn("_out", F.filter(F.array(out_type), lambda x: F.lit(False)))
+          .withColumn("_step", F.lit(0)))
     hist_cols = [f"h_{c}" for c in [TARGET] + BUSINESS]
+    # Column expressions are built once and reused by every step; only the
+    # DataFrame they apply to changes.
+    nw = next_week(F.col("week"))
+    f = step_features(F.col(f"h_{TARGET}"), nw)
+    feature_cols = [nw.alias("_nw"), (F.col("_step") + 1).alias("_next_step"),
+                    *[f[n].cast("double").alias(n) for n in FEATURES]]
+    row = F.struct(F.col("_nw").alias("week"), F.col("_next_step").alias("step"),
+                   F.col("predicted").cast("double").alias(TARGET),
+                   *[F.col(n) for n in FEATURES])
+    new_hist = {f"h_{TARGET}": F.concat(F.col(f"h_{TARGET}"),
+                                        F.array(F.col("predicted").cast("double")))}
+    for c in BUSINESS:
+        new_hist[f"h_{c}"] = F.concat(F.col(f"h_{c}"), F.array(F.col(c)))
+    next_state = [*keys, F.col("_nw").alias("week"), *[new_hist[h].alias(h) for h in hist_cols],
+                  F.concat("_out", F.array(row)).alias("_out"), F.col("_next_step").alias("_step")]
     for step in range(1, horizon + 1):
-        nw = next_week(F.col("week"))
-        f = step_features(F.col(f"h_{TARGET}"), nw)
-        feats = st.select("*", nw.alias("_nw"), *[f[n].cast("double").alias(n) for n in FEATURES])
-        scored = model.transform(feats)
-        row = F.struct(F.col("_nw").alias("week"), F.lit(step).alias("step"),
-                       F.col("predicted").cast("double").alias(TARGET),
-                       *[F.col(n) for n in FEATURES])
-        new_hist = {f"h_{TARGET}": F.concat(F.col(f"h_{TARGET}"), F.array(F.col("predicted").cast("double")))}
-        for c in BUSINESS:
-            new_hist[f"h_{c}"] = F.concat(F.col(f"h_{c}"), F.array(F.col(c)))
-        st = scored.select(*keys, F.col("_nw").alias("week"),
-                           *[new_hist[h].alias(h) for h in hist_cols],
-                           F.concat("_out", F.array(row)).alias("_out"))
+        scored = model.transform(st.select("*", *feature_cols))
+        st = scored.select(*next_state)
         if step % checkpoint_every == 0 and step < horizon:
             st = st.checkpoint()
     return st.select(*keys, F.explode("_out").alias("o")).select(*keys, "o.*")
