@@ -162,3 +162,28 @@ def coverage(intervals: DataFrame, keys: list[str] | None = None) -> DataFrame:
     inside = (F.col("actual") >= F.col("lower_bound")) & (F.col("actual") <= F.col("upper_bound"))
     return intervals.groupBy(*keys).agg(F.count_if(inside).alias("covered"),
                                         F.count(F.lit(1)).alias("n"))
+
+
+def calibrated_intervals(test: DataFrame, keys: list[str] | None = None,
+                         calibration: str = "self", pool: DataFrame | None = None,
+                         confidence: float = CONFIDENCE) -> DataFrame:
+    """J6 + J7 with a choice of calibration residuals.
+
+    ``self``: the quantile of the test rows' own residuals (what the
+    reference does for its holdout: every interval then covers its own
+    actual). ``prior``: the quantile of ``pool`` residuals (e.g. walk-forward
+    predictions) strictly before each series' first test week, so no test
+    row calibrates its own interval."""
+    keys = list(keys or [])
+    if calibration == "self":
+        source = with_errors(test)
+    elif calibration == "prior":
+        if pool is None:
+            raise ValueError("calibration='prior' needs a residual pool")
+        first = test.groupBy(*keys).agg(F.min("week").alias("_first"))
+        source = with_errors(attach(pool, first, keys, ["_first"])
+                             .where(F.col("week") < F.col("_first")))
+    else:
+        raise ValueError(f"unknown calibration {calibration!r}")
+    q = conformal_quantile(source, keys, confidence)
+    return interval_constant(test, q, keys)

@@ -575,3 +575,11 @@ def model_ready_total(spark, sf_dir):
 @query
 def ar1_walk_forward_total(spark, sf_dir):
     return _money(li.ar1_walk_forward(_total_ready(spark, sf_dir), []), ["predicted"])
+
+
+@query
+def interval_prior(spark, sf_dir):
+    """J7 calibrated on walk-forward residuals before the holdout weeks"""
+    out = ev.calibrated_intervals(_ar1_test(spark, sf_dir), KEYS, "prior", pool=_wf(spark, sf_dir))
+    return _money(out.select(*KEYS, "week", "predicted", "lower_bound", "upper_bound"),
+                  ["predicted", "lower_bound", "upper_bound"])
