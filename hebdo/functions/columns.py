@@ -1,9 +1,9 @@
 """Column expressions shared by the operators.
 
-All of these are built-in Spark SQL expressions (whole-stage codegen, no
-Python at run time). Windowed sums over a handful of lags are written out as
-explicit left-to-right additions so that the arithmetic (and therefore the
-last bit of every double) is the same on every partitioning.
+All of these are built-in Spark SQL expressions (no Python at run time).
+Means over a handful of lags are written out as explicit left-to-right
+additions so that the arithmetic (and therefore the last bit of every
+double) is the same on every partitioning.
 """
 
 from __future__ import annotations
@@ -59,26 +59,6 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def lags(c: str, ks, w: WindowSpec) -> list[Column]:
-    return [F.lag(c, k).over(w) for k in ks]
-
-
-def lag_sum(c: str, k: int, w: WindowSpec) -> Column:
-    """y[t-1] + ... + y[t-k], NULL until k earlier rows exist."""
-    return reduce(add, lags(c, range(1, k + 1), w))
-
-
-def lag_mean(c: str, k: int, w: WindowSpec) -> Column:
-    return lag_sum(c, k, w) / float(k)
-
-
-def lag_std(c: str, k: int, w: WindowSpec) -> Column:
-    """Sample standard deviation (ddof=1) of the previous k values, two-pass."""
-    m = lag_mean(c, k, w)
-    sq = [(x - m) * (x - m) for x in lags(c, range(1, k + 1), w)]
-    return F.sqrt(reduce(add, sq) / float(k - 1))
-
-
 def mean_of(cols: list[Column]) -> Column:
     """(c1 + ... + ck) / k, added left to right."""
     return reduce(add, cols) / float(len(cols))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hebdo.functions.columns import cents, series_window, week_start
+from hebdo.functions.columns import cents, week_start
 
 METRIC_COLUMNS = [
     "weekly_revenue", "invoice_count", "average_invoice",
