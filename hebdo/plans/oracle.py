@@ -100,13 +100,19 @@ weekly AS (
 """
 
 
-def with_ledger(body: str, extra_ctes: str = "", total: bool = False) -> str:
+def with_ledger(body: str, extra_ctes: str = "", total: bool = False,
+                series: str | None = None) -> str:
     """WITH ledger CTEs [+ extra] body. ``total=True`` makes every row one
     series (a constant series key the final SELECT leaves out), the twin of
-    running the Spark operators with ``keys=[]``."""
+    running the Spark operators with ``keys=[]``; ``series='nation'`` keys
+    the series by the customer's nation name (the CTEs keep calling the key
+    column ``segment``; the final SELECT renames it)."""
     ctes = LEDGER.strip()
     if total:
         ctes = ctes.replace("c.c_mktsegment AS segment", "'total' AS segment")
+    elif series == "nation":
+        ctes = ctes.replace("c.c_mktsegment AS segment",
+                            "(SELECT n_name FROM nation WHERE n_nationkey = c.c_nationkey) AS segment")
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
     return f"WITH {ctes}\n{body}"
@@ -655,3 +661,17 @@ SELECT t.segment, t.week, {rnd('t.predicted', 2)} AS predicted,
 FROM test t JOIN {quantile_of('''(SELECT w.* FROM wf w JOIN (SELECT segment, min(week) AS first_week FROM test
                                   GROUP BY segment) f ON f.segment = w.segment WHERE w.week < f.first_week)''')} q
   ON q.segment = t.segment"""))
+
+
+# ---------------------------------------------------------------- 25 series keyed by nation
+def _register_nation():
+    from hebdo.operators.features import FEATURES
+    from hebdo.operators.weekly import METRIC_COLUMNS
+    register("weekly_metrics_by_nation", with_ledger(
+        f"SELECT segment AS nation, week, {', '.join(METRIC_COLUMNS)} FROM weekly", series="nation"))
+    register("model_ready_by_nation", with_ledger(
+        f"SELECT segment AS nation, week, weekly_revenue, {out_cols(FEATURES)} FROM ready",
+        feature_ctes(), series="nation"))
+
+
+_register_nation()

@@ -583,3 +583,18 @@ def interval_prior(spark, sf_dir):
     out = ev.calibrated_intervals(_ar1_test(spark, sf_dir), KEYS, "prior", pool=_wf(spark, sf_dir))
     return _money(out.select(*KEYS, "week", "predicted", "lower_bound", "upper_bound"),
                   ["predicted", "lower_bound", "upper_bound"])
+
+
+# ---------------------------------------------------------------- 25 series keyed by nation
+NATION = ["nation"]
+
+
+@query
+def weekly_metrics_by_nation(spark, sf_dir):
+    return Ledger(spark, sf_dir, keys=NATION).weekly()
+
+
+@query
+def model_ready_by_nation(spark, sf_dir):
+    ready = fe.model_ready(Ledger(spark, sf_dir, keys=NATION).weekly(), NATION)
+    return _present(ready, NATION + ["week", fe.TARGET] + fe.FEATURES)
