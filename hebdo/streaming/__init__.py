@@ -1,0 +1,3 @@
+"""Reserved for streaming variants. The reference has no streaming,
+watermark or state code (every entry point reads its inputs whole), so
+nothing is built here; batch jobs live in ``hebdo.plans.jobs``."""
