@@ -20,13 +20,6 @@ METRIC_COLUMNS = [
 ]
 
 
-def calendar_bounds(invoices: DataFrame, date_col: str = "date"):
-    """(first, last) invoice week as two driver-side scalars."""
-    row = invoices.agg(F.min(week_start(date_col)).alias("lo"),
-                       F.max(week_start(date_col)).alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
 def _explode_weeks(lo, hi):
     return F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS")))
 
@@ -35,7 +28,7 @@ def calendar_of(weekly_agg: DataFrame, keys: list[str] | None = None, bounds=Non
     """A2 from an already-aggregated (keys, week) table: every Monday from
     its first to its last week, for every series in it. The global bounds
     enter as scalar subqueries over that small table (no driver round trip,
-    no join); Spark reuses the aggregate's exchange for them."""
+    no join)."""
     keys = list(keys or [])
     if not keys:
         b = weekly_agg.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
