@@ -160,3 +160,18 @@ def test_published_holdout_health(spark):
     assert st.model_stability == EXPECT_STABILITY and st.drift_detected
     cov = ev.coverage(ev.interval_constant(pred, q, []), []).first()
     assert (cov.covered, cov.n) == (12, 12)
+
+
+def test_rolling_rmse_band_matches_pandas(spark):
+    rng = np.random.default_rng(7)
+    n = 30
+    actual = rng.normal(100, 10, n)
+    predicted = actual + rng.normal(0, 5, n)
+    weeks = [dt.date(2024, 1, 1) + dt.timedelta(weeks=i) for i in range(n)]
+    df = spark.createDataFrame([(w, float(a), float(p)) for w, a, p in zip(weeks, actual, predicted)],
+                               "week date, actual double, predicted double")
+    got = ev.rolling_rmse_band(df, []).orderBy("week").toPandas()
+    err = pd.Series(actual - predicted)
+    expect = err.shift(1).pow(2).rolling(window=12, min_periods=4).mean().pow(0.5).bfill()
+    np.testing.assert_allclose(got["rolling_rmse"], expect, rtol=1e-12)
+    np.testing.assert_allclose(got["upper_bound"], predicted + expect, rtol=1e-12)
