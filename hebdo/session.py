@@ -1,9 +1,10 @@
 """Spark session helpers.
 
 On a cluster the session comes from the platform; ``configure`` only sets the
-SQL options the library relies on (UTC session zone, AQE with skew-join
-splitting) and never overrides a checkpoint directory the cluster already
-names in ``spark.checkpoint.dir``.
+SQL options the library relies on (UTC session zone, AQE with partition
+coalescing - also of persisted intermediates - and skew-join splitting) and
+never overrides a checkpoint directory the cluster already names in
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # let AQE coalesce the partitions of persisted intermediates (the small
+    # series x week tables would otherwise keep spark.sql.shuffle.partitions)
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
