@@ -675,3 +675,20 @@ def _register_nation():
 
 
 _register_nation()
+
+register("forecast_ar1", _fc(f"""
+SELECT segment, week, step, {_F2}, confidence, {rnd('upper_bound', 2)} AS best_case,
+       {rnd('lower_bound', 2)} AS worst_case
+FROM (
+  SELECT l.segment, CAST(l.last_week + CAST(g.step * 7 AS INTEGER) AS DATE) AS week, g.step,
+         v.predicted,
+         v.predicted - q.quantile * sqrt(CAST(g.step AS DOUBLE)) AS lower_bound,
+         v.predicted + q.quantile * sqrt(CAST(g.step AS DOUBLE)) AS upper_bound,
+         CAST(95.0 AS DOUBLE) AS confidence
+  FROM (SELECT segment, max(week) AS last_week, max_by(weekly_revenue, week) AS last_value,
+               regr_slope(weekly_revenue, lag_1) AS slope, regr_intercept(weekly_revenue, lag_1) AS intercept
+        FROM ready GROUP BY segment) l
+  JOIN {quantile_of('test')} q ON q.segment = l.segment,
+  (SELECT unnest(range(1, 27)) AS step) g,
+  LATERAL (SELECT list_reduce(range(1, g.step + 1), lambda acc, i: l.intercept + l.slope * acc,
+                              l.last_value) AS predicted) v)"""))

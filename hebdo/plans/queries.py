@@ -598,3 +598,16 @@ def weekly_metrics_by_nation(spark, sf_dir):
 def model_ready_by_nation(spark, sf_dir):
     ready = fe.model_ready(Ledger(spark, sf_dir, keys=NATION).weekly(), NATION)
     return _present(ready, NATION + ["week", fe.TARGET] + fe.FEATURES)
+
+
+@query
+def forecast_ar1(spark, sf_dir):
+    """H8 closed form for AR(1): fit on the whole history, iterate 26 weeks
+    from the last actual; interval from the AR(1) holdout residuals."""
+    ready = ready_table(spark, sf_dir)
+    coef = li.ar1_fit(ready, KEYS)
+    last = ready.groupBy(*KEYS).agg(F.max("week").alias("last_week"),
+                                    F.max_by(fe.TARGET, "week").alias("last_value"))
+    path = fc.ar1_forecast(last.join(coef, KEYS), KEYS, HORIZON)
+    q = ev.conformal_quantile(ev.with_errors(_ar1_test(spark, sf_dir)), KEYS)
+    return _money(fc.with_confidence(path, q, KEYS), _BOUNDS)
