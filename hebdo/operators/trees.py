@@ -99,22 +99,26 @@ def sample_params(n_iter: int, seed: int = SEED) -> list[dict]:
     return out
 
 
-def cv_mape(ready_train: DataFrame, keys: list[str], params: dict, n_splits: int = 5,
-            parallelism: int = 4) -> float:
-    """Mean over folds of the fold MAPE (percent) of a pooled fit."""
-    from hebdo.operators.evaluate import EPS
+def _fold_table(ready_train: DataFrame, keys: list[str], n_splits: int) -> DataFrame:
     folds = expanding_folds(ready_train, keys, n_splits)
-    table = ready_train.join(folds, keys + ["week"]).persist()
+    return ready_train.join(folds, keys + ["week"]).persist()
+
+
+def _fold_mape(table: DataFrame, params: dict, fold: int) -> float:
+    from hebdo.operators.evaluate import EPS
+    part = table.where(F.col("fold") == fold)
+    m = fit(part.where("role = 'train'"), params)
+    p = m.transform(part.where("role = 'test'"))
+    e = F.abs(F.col(TARGET) - F.col("predicted")) / F.greatest(F.abs(TARGET), F.lit(EPS))
+    return p.agg(F.avg(e) * 100).first()[0]
 
-    def one(f):
-        part = table.where(F.col("fold") == f)
-        m = fit(part.where("role = 'train'"), params)
-        p = m.transform(part.where("role = 'test'"))
-        e = F.abs(F.col(TARGET) - F.col("predicted")) / F.greatest(F.abs(TARGET), F.lit(EPS))
-        return p.agg(F.avg(e) * 100).first()[0]
 
+def cv_mape(ready_train: DataFrame, keys: list[str], params: dict, n_splits: int = 5,
+            parallelism: int = 4) -> float:
+    """Mean over folds of the fold MAPE (percent) of a pooled fit."""
+    table = _fold_table(ready_train, keys, n_splits)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(one, range(n_splits)))
+        scores = list(pool.map(lambda f: _fold_mape(table, params, f), range(n_splits)))
     table.unpersist()
     return float(sum(scores) / len(scores))
 
@@ -130,17 +134,25 @@ def budgeted(params: dict, tree_budget: int | None) -> dict:
 
 
 def tune(ready: DataFrame, keys: list[str] | None = None, n_iter: int = 100, h: int = 12,
-         n_splits: int = 5, seed: int = SEED, tree_budget: int | None = None) -> DataFrame:
+         n_splits: int = 5, seed: int = SEED, tree_budget: int | None = None,
+         parallelism: int = 4) -> DataFrame:
     """Random search; returns the leaderboard (draw, cv_mape, params...)
     sorted by cv_mape. The holdout weeks are excluded from tuning."""
     keys = list(keys or [])
-    train = holdout_split(ready, keys, h).where("role = 'train'").drop("role").persist()
+    train = holdout_split(ready, keys, h).where("role = 'train'").drop("role")
+    table = _fold_table(train, keys, n_splits)
+    draws = sample_params(n_iter, seed)
+    tasks = [(i, f) for i in range(len(draws)) for f in range(n_splits)]
+    # every (draw, fold) fit is an independent Spark job; run several at once
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(pool.map(
+            lambda t: _fold_mape(table, budgeted(draws[t[0]], tree_budget), t[1]), tasks))
+    table.unpersist()
     rows = []
-    for i, params in enumerate(sample_params(n_iter, seed)):
-        fit_params = budgeted(params, tree_budget)
-        rows.append({"draw": i, "cv_mape": cv_mape(train, keys, fit_params, n_splits),
+    for i, params in enumerate(draws):
+        mine = scores[i * n_splits:(i + 1) * n_splits]
+        rows.append({"draw": i, "cv_mape": float(sum(mine) / len(mine)),
                      **{k: float(v) for k, v in params.items()}})
-    train.unpersist()
     spark = ready.sparkSession
     return spark.createDataFrame(rows).orderBy("cv_mape")
 
