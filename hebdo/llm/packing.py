@@ -35,12 +35,21 @@ class PackParams:
     windows: int = 8              # open windows per partition
     merge: int = 32               # partitions whose leftovers meet
     end_id: int = 1
-    words: int = 400_000          # encoded words a worker remembers
+    words: int = 1_000_000        # encoded words a worker remembers
+
+
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[48:58] = _ALNUM[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[33:48] = _MARK[58:65] = _MARK[91:97] = _MARK[123:127] = True
+_MARK[ord("'")] = False
 
 
 class Encoder:
-    """Token ids of texts. Words between ASCII white space are encoded once and
-    remembered: neither normaliser nor splitter of the tokenizer looks across it."""
+    """Token ids of texts, for tokenizers that lower-case, drop white space and split
+    letters, digits and other marks before they merge. Words, parted from marks that
+    follow an ASCII letter or digit (but not from apostrophes), are encoded once and
+    remembered: neither normaliser nor splitter looks across those borders."""
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
@@ -49,17 +58,26 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.limit, self.known = limit, {}
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode many words as one text; the offsets say which ids are whose."""
+        plain = [w.decode() for w in words]
+        coded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        ids = np.array(coded.ids, dtype="<u4")
+        starts = np.cumsum([0, *(len(w) + 1 for w in plain)])
+        first = np.searchsorted(np.array([a for a, _ in coded.offsets], dtype=np.int64), starts)
+        for i, w in enumerate(words):
+            self.known[w] = ids[first[i]:first[i + 1]].tobytes()
+
     def encode(self, texts: Texts) -> list[np.ndarray]:
-        raw = texts.data.tobytes()
-        split = [raw[a:b].split() for a, b in zip(texts.offsets[:-1], texts.offsets[1:])]
+        cut = np.flatnonzero(_ALNUM[texts.data[:-1]] & _MARK[texts.data[1:]]) + 1
+        raw = np.insert(texts.data, cut, 32).tobytes()
+        at = texts.offsets + np.searchsorted(cut, texts.offsets, side="left")
+        split = [raw[a:b].split() for a, b in zip(at[:-1], at[1:])]
         if len(self.known) > self.limit:
             self.known.clear()
-        new = list({w for words in split for w in words} - self.known.keys())
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for w, e in zip(some, coded):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        new = [w for w in {w for words in split for w in words} if w not in self.known]
+        for lo in range(0, len(new), 2048):
+            self._learn(new[lo:lo + 2048])
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4") for words in split]
 
 
@@ -146,7 +164,7 @@ def pack(docs: DataFrame, params: PackParams, id_col: str = "doc_id", text_col:
         enc, packer, made = encoder(params), Packer(params.length, params.windows), 0
         end = np.array([params.end_id], dtype="<u4")
         for rb in record_batches(batches, "text"):
-            for doc, ids in zip(rb.column("doc_id").to_pylist(), enc.encode(Texts(rb.column("text")))):
+            for doc, ids in zip(rb.column("doc_id").to_pylist(), enc.encode(Texts(rb.column("text"), lower=True))):
                 packer.add(doc, np.concatenate([ids, end]))
             rows = _rows(packer.done, (part << 32) + made)
             made += len(packer.done)
