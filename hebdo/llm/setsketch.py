@@ -104,8 +104,9 @@ def joint_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarra
 
 
 def sketches(docs: DataFrame, params: SketchParams, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, d1, d2, registers): set size, a 128-bit digest of the set, and its sketch."""
-    schema = "id long, n long, d1 long, d2 long, registers binary"
+    """(id, n, d1, d2, registers, bits): set size, a 128-bit digest of the set, its sketch, and
+    one bit of every register."""
+    schema = "id long, n long, d1 long, d2 long, registers binary, bits array<long>"
 
     def run(batches):
         for rb in record_batches(batches, "text"):
@@ -118,8 +119,8 @@ def sketches(docs: DataFrame, params: SketchParams, id_col: str, text_col: str)
             yield pa.RecordBatch.from_arrays(
                 [rb.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                 pa.array([r.tobytes() for r in regs], pa.binary())],
-                names=["id", "n", "d1", "d2", "registers"])
+                 pa.array([r.tobytes() for r in regs], pa.binary()), _bits(regs)],
+                names=["id", "n", "d1", "d2", "registers", "bits"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -128,8 +129,15 @@ def _registers(column: pa.Array, m: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), m)
 
 
+def _bits(regs: np.ndarray) -> pa.Array:
+    low = np.zeros((len(regs), -(-regs.shape[1] // 64) * 64), dtype=np.uint8)
+    low[:, :regs.shape[1]] = mix(regs.astype(_U)) & _U(1)
+    low = np.packbits(low, axis=1).view(np.int64)
+    return pa.ListArray.from_arrays(np.arange(0, len(regs) + 1, dtype=np.int32) * low.shape[1], pa.array(low.ravel()))
+
+
 def bands(reps: DataFrame, params: SketchParams) -> DataFrame:
-    """(key, id, n, bits): one row per band of each sketch; bits are the registers' lowest bits."""
+    """(key, id): one row per band of each sketch."""
     b, r, m = params.bands, params.rows, params.registers
 
     def run(batches):
@@ -137,23 +145,15 @@ def bands(reps: DataFrame, params: SketchParams) -> DataFrame:
         for rb in batches:
             if not rb.num_rows:
                 continue
-            flat = _registers(rb.column("registers"), m)
-            regs = flat.reshape(rb.num_rows, b, r).astype(_U)
+            regs = _registers(rb.column("registers"), m).reshape(rb.num_rows, b, r).astype(_U)
             word = regs[:, :, 0]
             for j in range(1, r):
                 word = mix(word * _U(0x9E3779B97F4A7C15) + regs[:, :, j])
-            low = np.zeros((rb.num_rows, -(-m // 64) * 64), dtype=np.uint8)
-            low[:, :m] = mix(flat.astype(_U)) & _U(1)
-            low = np.packbits(low, axis=1).view(np.int64)
-            bits = pa.ListArray.from_arrays(
-                np.arange(0, rb.num_rows + 1, dtype=np.int32) * low.shape[1], pa.array(low.ravel()))
             row = pa.array(np.repeat(np.arange(rb.num_rows), b))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(word ^ salt).ravel().view(np.int64)),
-                 rb.column("id").take(row), rb.column("n").take(row), bits.take(row)],
-                names=["key", "id", "n", "bits"])
+                [pa.array(mix(word ^ salt).ravel().view(np.int64)), rb.column("id").take(row)], names=["key", "id"])
 
-    return reps.select("id", "n", "registers").mapInArrow(run, "key long, id long, n long, bits array<long>")
+    return reps.select("id", "registers").mapInArrow(run, "key long, id long")
 
 
 def _limit(params: SketchParams) -> float:
@@ -162,7 +162,17 @@ def _limit(params: SketchParams) -> float:
     return limit - params.sigmas * (limit * (1 - limit) / params.registers) ** 0.5
 
 
+def _may_be_near(x: str, y: str, params: SketchParams) -> str:
+    """SQL condition on rows with n and bits: what set sizes and differing sketch bits allow."""
+    m, pct = params.registers, params.similarity_pct
+    apart = (1 - pct / 100) / 2
+    most = int(m * apart + params.sigmas * (m * apart * (1 - apart)) ** 0.5)
+    differ = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(-(-m // 64)))
+    return f"100 * least({x}.n, {y}.n) >= {pct} * greatest({x}.n, {y}.n) and {differ} <= {most}"
+
+
 def _likely(pairs: DataFrame, reps: DataFrame, params: SketchParams) -> DataFrame:
+    """The pairs that sizes, sketch bits and then the joint estimate leave."""
     limit, m = _limit(params), params.registers
 
     def run(batches):
@@ -174,11 +184,12 @@ def _likely(pairs: DataFrame, reps: DataFrame, params: SketchParams) -> DataFram
                                     *size, params.base) >= limit
             yield rb.select(["a", "b"]).filter(pa.array(keep))
 
+    slim = reps.select("id", "n", "bits")
+    pairs = stash(pairs.join(slim.alias("x"), F.expr("a = x.id")).join(
+        slim.alias("y"), F.expr("b = y.id and " + _may_be_near("x", "y", params))).select("a", "b"))
     one = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     two = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    # the sizes alone bound the similarity
-    near = "100 * least(na, nb) >= %d * greatest(na, nb)" % params.similarity_pct
-    return (pairs.join(one, "a").join(two, "b").filter(near).select("a", "b", "na", "nb", "ra", "rb")
+    return (pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ra", "rb")
             .mapInArrow(run, "a long, b long"))
 
 
@@ -187,14 +198,36 @@ def _linked(x: np.ndarray, y: np.ndarray, pct: int) -> bool:
     return 100 * both >= pct * (len(x) + len(y) - both)
 
 
+FILTER_BITS = 1 << 25
+
+
 def _sets(docs: DataFrame, ids: DataFrame, params: SketchParams) -> DataFrame:
+    """(id, shingles) of the named documents. A bitmap of fixed size over the hashed ids
+    (4 MB, whatever the number of ids) drops most other texts before anything is shuffled;
+    the join settles the rest."""
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    maps = (ids.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    width = 4096 * 8
+    marked = np.zeros(FILTER_BITS + width, dtype=bool)
+    for bucket, bits in maps:
+        lo = (bucket - 1) * width
+        marked[lo:lo + width] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little")
+    packed = np.packbits(marked)
+
     def run(batches):
         for rb in record_batches(batches, "text"):
-            sets = shingle_sets(Texts(rb.column("text"), lower=True), params.shingle)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
+            at = rb.column("place").to_numpy(zero_copy_only=False)
+            rb = rb.filter(pa.array((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            if rb.num_rows:
+                sets = shingle_sets(Texts(rb.column("text"), lower=True), params.shingle)
+                yield pa.RecordBatch.from_arrays(
+                    [rb.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
-    return docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+    # bitmap positions count from the place given by bitmap_bucket_number, which starts at 1
+    spot = (F.bitmap_bucket_number(place) - 1) * width + F.bitmap_bit_position(place)
+    return (docs.select("id", "text", spot.cast("long").alias("place")).mapInArrow(run, "id long, shingles binary")
+            .join(ids, "id", "left_semi"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, params: SketchParams) -> DataFrame:
@@ -275,7 +308,7 @@ def near_duplicates(docs: DataFrame, params: SketchParams | None = None, id_col:
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     every = stash(sketches(docs, params, id_col, text_col))
     reps = stash(every.filter("n > 0 and id is not null").groupBy("d1", "d2", "n")
-                 .agg(F.min("id").alias("id"), F.min("registers").alias("registers")))
+                 .agg(F.min("id").alias("id"), F.min("registers").alias("registers"), F.min("bits").alias("bits")))
 
     in_bucket = Window.partitionBy("key")
     buckets = stash(bands(reps, params)
@@ -287,18 +320,12 @@ def near_duplicates(docs: DataFrame, params: SketchParams | None = None, id_col:
     families = stash(connected_components(star).withColumnRenamed("component", "family"))
 
     # pairs of one bucket that lie in different families
-    rows = buckets.select("key", "id", "n", "bits").join(families, "id", "left").withColumn(
-        "family", F.coalesce("family", "id"))
+    rows = buckets.select("key", "id").join(families, "id", "left").withColumn("family", F.coalesce("family", "id"))
     split = (rows.groupBy("key").agg(F.min("family").alias("f0"), F.max("family").alias("f1"))
              .filter("f0 < f1").select("key"))
-    rows = stash(rows.join(split, "key"))
-    m, pct = params.registers, params.similarity_pct
-    apart = (1 - _limit(params)) / 2
-    most = int(m * apart + params.sigmas * (m * apart * (1 - apart)) ** 0.5)
-    differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(-(-m // 64)))
+    rows = stash(rows.join(split, "key").join(reps.select("id", "n", "bits"), "id"))
     across = (rows.alias("x").join(rows.alias("y"), F.expr(
-        f"x.key = y.key and x.family < y.family and 100 * least(x.n, y.n) >= {pct} * greatest(x.n, y.n)"
-        f" and {differ} <= {most}"))
+        "x.key = y.key and x.family < y.family and " + _may_be_near("x", "y", params)))
         .select(F.expr("least(x.id, y.id)").alias("a"), F.expr("greatest(x.id, y.id)").alias("b")).distinct())
     pairs = stash(star.union(_likely(across, reps, params)))
 
