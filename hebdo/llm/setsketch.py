@@ -291,6 +291,7 @@ def _within_families(members: DataFrame, params: SketchParams, block: int = 192)
                          "b": pa.array([o for _, o in out], pa.int64())})
 
     return (dealt.select("family", "p", "q", "own", "id", "comp", "n", "registers", "shingles")
+            .repartition("family", "p", "q")  # else a large family stays where the join by family put it
             .groupBy("family", "p", "q").applyInArrow(run, "a long, b long"))
 
 
