@@ -44,13 +44,20 @@ def from_cents(c: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d. Past 2^52 at that scale the value is
-    rounded to 10 significant digits instead (exact powers of ten)."""
+    """floor(x * 10^d + 0.5) / 10^d. From 2^52 at that scale a double has no
+    further digits, so x itself is its rounding."""
     scale = float(10 ** digits)
     x = col(c)
-    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 9)
     return (F.when(F.abs(x * scale) < float(2 ** 52), F.floor(x * scale + 0.5) / scale)
-            .otherwise(F.floor(x / p + 0.5) * p))
+            .otherwise(x))
+
+
+def round_significant(c: str | Column, digits: int = 10) -> Column:
+    """Round half up to ``digits`` significant digits, whatever the size: for
+    ratios whose denominator may be tiny."""
+    x = col(c)
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - (digits - 1))
+    return F.when(x == 0, x).otherwise(F.floor(x / p + 0.5) * p)
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -59,14 +59,16 @@ def check_table(df: DataFrame, unique: list[str] | None = None, **kw) -> DataFra
     return out
 
 
-def check_ledger(invoices: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
-    """V1, V2, V7 over the three ledger tables."""
+def check_ledger(invoices: DataFrame, payments: DataFrame, customers: DataFrame,
+                 payment_key: list[str] | None = None) -> DataFrame:
+    """V1, V2, V7 over the three ledger tables. ``invoices`` carries
+    ``amount_paid`` (L1) for the paid-at-most-total half of V7."""
     inv = check_table(invoices, ["invoice_id"], extra={
         "positive_total": F.count_if(F.col("total") <= 0),
         **({"paid_le_total": F.count_if(F.col("amount_paid") > F.col("total"))}
            if "amount_paid" in invoices.columns else {}),
     })
-    pay = check_table(payments, ["payment_id"])
+    pay = check_table(payments, payment_key or ["payment_id"])
     cus = check_table(customers, ["customer_id"])
     tag = lambda d, t: d.select(F.lit(t).alias("table"), "rule", "violations")
     return tag(inv, "invoices").unionByName(tag(pay, "payments")).unionByName(tag(cus, "customers"))

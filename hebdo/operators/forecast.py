@@ -209,10 +209,13 @@ def forecast_summary(forecast: DataFrame, keys: list[str] | None = None,
 
 def run_forecast(ready: DataFrame, model: PipelineModel, residuals: DataFrame,
                  keys: list[str] | None = None, forecast_type: str = "weeks",
-                 weeks: int = 26, months_ahead: int | None = None) -> DataFrame:
+                 weeks: int = 26, months_ahead: int | None = None,
+                 month: int | None = None, year: int | None = None) -> DataFrame:
     """End-to-end forecast. ``forecast_type='weeks'`` forecasts
-    ``weeks`` steps; ``'months'`` forecasts up to the end of the month that
-    lies ``months_ahead`` months after each series' last week (H2 + H1).
+    ``weeks`` steps; ``'months'`` forecasts up to the end of the given
+    ``month`` and ``year``, or of the month that lies ``months_ahead``
+    (default 1, 0 = the current one) months after each series' last week
+    (H2 + H1).
     ``residuals`` (keys, abs_error) calibrate the interval (J6, H9)."""
     from hebdo.operators.evaluate import conformal_quantile
     keys = list(keys or [])
@@ -220,8 +223,12 @@ def run_forecast(ready: DataFrame, model: PipelineModel, residuals: DataFrame,
     if forecast_type == "weeks":
         state = state.withColumn("_h", horizon_weeks(F.col("week"), weeks=weeks))
     else:
-        t = target_month(F.col("week"), int(months_ahead or 1))
-        state = state.withColumn("_h", horizon_weeks(F.col("week"), None, F.month(t), F.year(t)))
+        if month is not None and year is not None:
+            to = F.lit(int(month)), F.lit(int(year))
+        else:
+            t = target_month(F.col("week"), 1 if months_ahead is None else int(months_ahead))
+            to = F.month(t), F.year(t)
+        state = state.withColumn("_h", horizon_weeks(F.col("week"), None, *to))
     longest = state.agg(F.max("_h")).first()[0]
     out = recursive_forecast(model, state, keys, int(longest))
     out = attach(out, state, keys, ["_h"]).where(F.col("step") <= F.col("_h")).drop("_h")

@@ -16,7 +16,8 @@ def due_date(date_col: str = "date", days: int = 30):
 def invoice_settlement(invoices: DataFrame, payments: DataFrame, as_of=None) -> DataFrame:
     """L1: reconcile invoices with their payments.
 
-    amount_paid = sum of payments (cents, exact); status: Paid when fully
+    amount_paid = sum of all payments (cents, exact), overpaid = what exceeds
+    the total; status: Paid when fully
     covered, Partially Paid when something but not all was paid, Overdue when
     nothing was paid and the due date is before ``as_of`` (default: the last
     payment date in the data, as a scalar subquery), else Open. Payments are pre-aggregated per
@@ -36,7 +37,8 @@ def invoice_settlement(invoices: DataFrame, payments: DataFrame, as_of=None) ->
               .when(paid_c > 0, "Partially Paid")
               .when(F.col("due_date") < as_of_col, "Overdue")
               .otherwise("Open"))
-    return (j.withColumn("amount_paid", F.least(paid_c, total_c).cast("double") / 100)
+    return (j.withColumn("amount_paid", paid_c.cast("double") / 100)
+            .withColumn("overpaid", F.greatest(paid_c - total_c, F.lit(0)).cast("double") / 100)
             .withColumn("paid_in_full", paid_c >= total_c)
             .withColumn("status", status)
             .drop("_paid_cents"))

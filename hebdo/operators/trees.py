@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hebdo.operators.features import FEATURES, TARGET
-from hebdo.operators.folds import expanding_folds, holdout_split
+from hebdo.operators.folds import expanding_folds, holdout_split, walk_forward_origins
 
 # Tuned parameters of the reference run (fixed values).
 TUNED_PARAMS = {
@@ -113,31 +113,11 @@ def _fold_mape(table: DataFrame, params: dict, fold: int) -> float:
     return p.agg(F.avg(e) * 100).first()[0]
 
 
-def cv_mape(ready_train: DataFrame, keys: list[str], params: dict, n_splits: int = 5,
-            parallelism: int = 4) -> float:
-    """Mean over folds of the fold MAPE (percent) of a pooled fit."""
-    table = _fold_table(ready_train, keys, n_splits)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(lambda f: _fold_mape(table, params, f), range(n_splits)))
-    table.unpersist()
-    return float(sum(scores) / len(scores))
-
-
-def budgeted(params: dict, tree_budget: int | None) -> dict:
-    """Cap the number of boosting rounds, scaling the learning rate so that
-    rounds x rate stays the same."""
-    if not tree_budget or params["n_estimators"] <= tree_budget:
-        return dict(params)
-    scale = params["n_estimators"] / tree_budget
-    return {**params, "n_estimators": tree_budget,
-            "learning_rate": min(1.0, params["learning_rate"] * scale)}
-
-
 def tune(ready: DataFrame, keys: list[str] | None = None, n_iter: int = 100, h: int = 12,
-         n_splits: int = 5, seed: int = SEED, tree_budget: int | None = None,
-         parallelism: int = 4) -> DataFrame:
+         n_splits: int = 5, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Random search; returns the leaderboard (draw, cv_mape, params...)
-    sorted by cv_mape. The holdout weeks are excluded from tuning."""
+    sorted by cv_mape. Every draw is fitted with the settings its row lists;
+    ``n_iter`` is the only budget. The holdout weeks are excluded from tuning."""
     keys = list(keys or [])
     train = holdout_split(ready, keys, h).where("role = 'train'").drop("role")
     table = _fold_table(train, keys, n_splits)
@@ -146,7 +126,7 @@ def tune(ready: DataFrame, keys: list[str] | None = None, n_iter: int = 100, h:
     # every (draw, fold) fit is an independent Spark job; run several at once
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         scores = list(pool.map(
-            lambda t: _fold_mape(table, budgeted(draws[t[0]], tree_budget), t[1]), tasks))
+            lambda t: _fold_mape(table, draws[t[0]], t[1]), tasks))
     table.unpersist()
     rows = []
     for i, params in enumerate(draws):
@@ -201,23 +181,26 @@ def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str
 
 def walk_forward(ready: DataFrame, keys: list[str] | None = None, params: dict | None = None,
                  initial: int = 104, refit_every: int = 1) -> DataFrame:
-    """J5 for the pooled trees: origins are the weeks at position >=
-    ``initial`` of the shared calendar; the model is refitted on all rows
-    before an origin every ``refit_every`` origins (1 = the reference's
+    """J5 for the pooled trees: origins are each series' weeks at position >=
+    ``initial`` (P4); the model is refitted on all rows
+    before an origin every ``refit_every`` weeks (1 = the reference's
     refit-per-origin) and predicts the following weeks one step ahead from
     their actual features. The driver loops over refit points only (a list of
     a few hundred dates); every fit and prediction is a Spark job."""
     keys = list(keys or [])
-    weeks = [r.week for r in ready.select("week").distinct().orderBy("week").collect()]
-    origins = weeks[initial:]
+    due = walk_forward_origins(ready, keys, initial).select(*keys, "week")
+    rows = ready.join(due, [*keys, "week"], "left_semi")
+    origins = [r.week for r in due.select("week").distinct().orderBy("week").collect()]
     out = None
     for i in range(0, len(origins), refit_every):
         start = origins[i]
         stop = origins[i + refit_every] if i + refit_every < len(origins) else None
         model = fit(ready.where(F.col("week") < F.lit(start)), params)
-        block = ready.where(F.col("week") >= F.lit(start))
+        block = rows.where(F.col("week") >= F.lit(start))
         if stop is not None:
             block = block.where(F.col("week") < F.lit(stop))
         pred = predict(model, block, keys)
         out = pred if out is None else out.unionByName(pred)
+    if out is None:  # no series is long enough to have an origin
+        out = rows.select(*keys, "week", F.col(TARGET).alias("actual"), F.lit(0.0).alias("predicted"))
     return out

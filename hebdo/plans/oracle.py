@@ -24,10 +24,13 @@ def dbl(x: float) -> str:
 
 def rnd(expr: str, digits: int) -> str:
     s = float(10 ** digits)
-    p = f"pow({dbl(10.0)}, floor(log10(abs({expr}))) - 9)"
     return (f"(CASE WHEN abs(({expr}) * {dbl(s)}) < {dbl(2.0 ** 52)} "
-            f"THEN floor(({expr}) * {dbl(s)} + 0.5) / {dbl(s)} "
-            f"ELSE floor(({expr}) / {p} + 0.5) * {p} END)")
+            f"THEN floor(({expr}) * {dbl(s)} + 0.5) / {dbl(s)} ELSE ({expr}) END)")
+
+
+def significant(expr: str, digits: int = 10) -> str:
+    p = f"pow({dbl(10.0)}, floor(log10(abs({expr}))) - {digits - 1})"
+    return f"(CASE WHEN ({expr}) = 0 THEN ({expr}) ELSE floor(({expr}) / {p} + 0.5) * {p} END)"
 
 
 def cents(expr: str) -> str:
@@ -56,8 +59,8 @@ cust AS (
   SELECT c.c_custkey AS customer_id, c.c_name AS customer_name,
          CASE WHEN c.c_acctbal >= 0 THEN 'active' ELSE 'inactive' END AS status,
          f.created_time, c.c_mktsegment AS segment
-  FROM customer c JOIN (SELECT o_custkey, min(o_orderdate) AS created_time
-                        FROM orders GROUP BY o_custkey) f ON f.o_custkey = c.c_custkey),
+  FROM customer c LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS created_time
+                             FROM orders GROUP BY o_custkey) f ON f.o_custkey = c.c_custkey),
 bounds AS (SELECT min({week('date')}) AS lo, max({week('date')}) AS hi FROM inv),
 cal AS (
   SELECT s.segment, CAST(unnest(generate_series(b.lo, b.hi, INTERVAL 7 DAY)) AS DATE) AS week
@@ -281,13 +284,17 @@ def _checks(table: str, unique: list[str], non_negative=(), not_null=(), finite=
 
 def _register_checks():
     from hebdo.operators.features import FEATURES
-    inv = _checks("inv", ["invoice_id"], extra={"positive_total": "total <= 0"})
+    inv = _checks("settled", ["invoice_id"], extra={"positive_total": "total <= 0",
+                                                    "paid_le_total": "amount_paid > total"})
+    settled = f"""settled AS (
+  SELECT i.*, CAST(coalesce(p.pc, 0) AS DOUBLE) / 100 AS amount_paid FROM inv i
+  LEFT JOIN (SELECT invoice_id, sum({cents('amount')}) AS pc FROM pay GROUP BY 1) p ON p.invoice_id = i.invoice_id)"""
     pay = _checks("pay", ["payment_id"])
     cus = _checks("cust", ["customer_id"])
     register("checks_ledger", with_ledger(
         f"SELECT 'invoices' AS \"table\", * FROM ({inv})\n"
         f"UNION ALL SELECT 'payments', * FROM ({pay})\n"
-        f"UNION ALL SELECT 'customers', * FROM ({cus})"))
+        f"UNION ALL SELECT 'customers', * FROM ({cus})", settled))
     register("checks_weekly", with_ledger(_checks("weekly", ["segment", "week"], non_negative=(
         "weekly_revenue", "weekly_payments", "invoice_count", "payment_count",
         "new_customers", "active_customers"))))
@@ -301,8 +308,9 @@ def _register_checks():
 _register_checks()
 
 register("invoice_settlement", with_ledger(f"""
-SELECT i.invoice_id, i.customer_id, i.date, i.due_date, i.total, i.segment,
-       CAST(least(coalesce(p.pc, 0), {cents('i.total')}) AS DOUBLE) / 100 AS amount_paid,
+SELECT i.invoice_id, i.customer_id, i.date, i.due_date, i.total,
+       CAST(coalesce(p.pc, 0) AS DOUBLE) / 100 AS amount_paid,
+       CAST(greatest(coalesce(p.pc, 0) - {cents('i.total')}, 0) AS DOUBLE) / 100 AS overpaid,
        coalesce(p.pc, 0) >= {cents('i.total')} AS paid_in_full,
        CASE WHEN coalesce(p.pc, 0) >= {cents('i.total')} THEN 'Paid'
             WHEN coalesce(p.pc, 0) > 0 THEN 'Partially Paid'
@@ -360,7 +368,7 @@ def metric_cols() -> str:
     e = "(actual - predicted)"
     return (f"count(*) AS n, {rnd(f'avg(abs({e}))', 2)} AS mae, "
             f"{rnd(f'sqrt(avg({e} * {e}))', 2)} AS rmse, "
-            f"{rnd(f'avg(abs({e}) / greatest(abs(actual), {_EPS})) * 100', 6)} AS mape")
+            f"{significant(f'avg(abs({e}) / greatest(abs(actual), {_EPS})) * 100')} AS mape")
 
 
 def _model(body: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions.columns import round_half_up as rnd
+from hebdo.functions.columns import round_significant
 from hebdo.operators import checks as ck
 from hebdo.operators import evaluate as ev
 from hebdo.operators import features as fe
@@ -170,8 +171,9 @@ def feature_summary(spark, sf_dir):
 
 @query
 def checks_ledger(spark, sf_dir):
-    led = Ledger(spark, sf_dir)
-    return ck.check_ledger(led.invoices, led.payments, led.customers)
+    led = Ledger(spark, sf_dir, keys=[])
+    settled = lg.invoice_settlement(led.invoices, led.payments)
+    return ck.check_ledger(settled, led.payments, led.customers)
 
 
 @query
@@ -186,13 +188,13 @@ def checks_features(spark, sf_dir):
 
 @query
 def invoice_settlement(spark, sf_dir):
-    led = Ledger(spark, sf_dir)
+    led = Ledger(spark, sf_dir, keys=[])
     return lg.invoice_settlement(led.invoices, led.payments)
 
 
 @query
 def ledger_summary(spark, sf_dir):
-    led = Ledger(spark, sf_dir)
+    led = Ledger(spark, sf_dir, keys=[])
     s = lg.ledger_summary(led.invoices, led.payments, led.customers)
     return s.select("metric", rnd("value", 6).alias("value"))
 
@@ -254,7 +256,7 @@ def ar1_walk_forward(spark, sf_dir):
 
 
 def _metrics_out(df):
-    return df.withColumns({"mae": rnd("mae", 2), "rmse": rnd("rmse", 2), "mape": rnd("mape", 6)})
+    return df.withColumns({"mae": rnd("mae", 2), "rmse": rnd("rmse", 2), "mape": round_significant("mape")})
 
 
 @query
@@ -546,8 +548,8 @@ def permutation_importance(spark, sf_dir):
 
 @query
 def tuning_leaderboard(spark, sf_dir):
-    """rows only: random search over forward-only folds (small budget)"""
-    return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=2, n_splits=3, tree_budget=10)
+    """rows only: random search over five forward-only folds; two draws, run as listed"""
+    return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=2)
 
 
 @query

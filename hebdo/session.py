@@ -35,8 +35,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) is ``fallback`` (or a
-    fresh scratch folder) installed.
+    Only when the session has none is ``fallback`` installed, or, in local
+    mode, a fresh scratch folder; on a cluster a missing folder raises.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,6 +50,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
     if sc.getCheckpointDir() is None:
+        if not fallback and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = fallback or tempfile.mkdtemp(prefix="hebdo-ckpt-")
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> Dat
     if fmt == "csv":
         return r.option("header", True).option("mode", "FAILFAST").csv(path)
     if fmt == "json":
-        return r.json(path)
+        return r.option("mode", "FAILFAST").json(path)
     return r.parquet(path)
 
 
@@ -53,7 +54,7 @@ def read_features(spark, path, keys: list[str] | None = None, fmt="parquet"):
 
 def read_params(spark, path) -> dict:
     """Tuned parameters (one JSON record) as a plain dict."""
-    row = spark.read.schema(S.PARAMS).json(path).first()
+    row = _read(spark, path, S.PARAMS, "json").first()
     return {k: v for k, v in row.asDict().items() if v is not None}
 
 
@@ -64,9 +65,11 @@ def read_health(spark, path, keys: list[str] | None = None) -> DataFrame:
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys] + S.SUMMARY.fields + [
         T.StructField("run_kind", T.StringType()), T.StructField("run_ts", T.TimestampType())])
     try:
-        df = spark.read.schema(schema).json(path)
-        df.limit(1).count()
-    except Exception:  # noqa: BLE001 - absent summary -> empty result
+        df = _read(spark, path, schema, "json")
+        df.schema  # noqa: B018 - resolves the path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
     rank = F.struct((F.col("run_kind") == "walk_forward").cast("int"), F.col("run_ts"))
     best = F.max_by(F.struct(*[c for c in schema.names if c not in keys]), rank)
@@ -74,8 +77,22 @@ def read_health(spark, path, keys: list[str] | None = None) -> DataFrame:
 
 
 def read_residuals(spark, path, keys: list[str] | None = None) -> DataFrame:
-    """(keys, week, abs_error, model, run_kind)."""
-    return spark.read.parquet(path)
+    """(keys, week, abs_error, model, run_kind, run_id, run_ts)."""
+    keys = list(keys or [])
+    schema = T.StructType(
+        [T.StructField(k, T.StringType()) for k in keys]
+        + [T.StructField("week", T.DateType()), T.StructField("abs_error", T.DoubleType()),
+           T.StructField("model", T.StringType()), T.StructField("run_kind", T.StringType()),
+           T.StructField("run_id", T.StringType()), T.StructField("run_ts", T.TimestampType())])
+    return _read(spark, path, schema, "parquet")
+
+
+def latest_run(runs: DataFrame) -> DataFrame:
+    """Rows of one run per model: the newest walk-forward run, else the newest
+    of the other kinds. The runs table has one row per model and run."""
+    rank = F.struct((F.col("run_kind") == "walk_forward").cast("int"), F.col("run_ts"), F.col("run_id"))
+    last = runs.groupBy("model").agg(F.max_by("run_id", rank).alias("run_id"))
+    return runs.join(last, ["model", "run_id"], "left_semi")
 
 
 def load_model(path: str) -> PipelineModel:

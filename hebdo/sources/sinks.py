@@ -26,9 +26,15 @@ def write_weekly(df: DataFrame, path: str, keys: list[str] | None = None, fmt: s
 write_features = write_weekly
 
 
-def write_predictions(pred: DataFrame, path: str, model: str, run_kind: str = "holdout") -> None:
+def _tagged(df: DataFrame, model: str, run_kind: str, run_id: str) -> DataFrame:
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return df.withColumns({"model": F.lit(model), "run_kind": F.lit(run_kind),
+                           "run_id": F.lit(run_id), "run_ts": F.lit(now)})
+
+
+def write_predictions(pred: DataFrame, path: str, model: str, run_kind: str, run_id: str) -> None:
     """W3 + W4: one table for every model and run, partitioned by model."""
-    (pred.withColumn("model", F.lit(model)).withColumn("run_kind", F.lit(run_kind))
+    (_tagged(pred, model, run_kind, run_id)
      .write.mode("append").partitionBy("model").parquet(path))
 
 
@@ -40,9 +46,9 @@ def write_summary(summary: DataFrame, path: str, run_kind: str) -> None:
      .write.mode("append").json(path))
 
 
-def write_residuals(res: DataFrame, path: str, model: str, run_kind: str) -> None:
+def write_residuals(res: DataFrame, path: str, model: str, run_kind: str, run_id: str) -> None:
     """W6."""
-    (res.withColumn("model", F.lit(model)).withColumn("run_kind", F.lit(run_kind))
+    (_tagged(res, model, run_kind, run_id)
      .write.mode("append").parquet(path))
 
 

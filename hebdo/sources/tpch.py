@@ -89,8 +89,7 @@ def payments(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) ->
 
 def customers(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -> DataFrame:
     """Canonical customers (+ series keys): created_time = first order date
-    (customers without orders have no creation time and are dropped),
-    status = 'active' iff c_acctbal >= 0."""
+    (NULL for customers without orders), status = 'active' iff c_acctbal >= 0."""
     keys = list(keys or [])
     first = (table(spark, sf_dir, "orders")
              .groupBy(F.col("o_custkey").alias("customer_id"))
@@ -101,4 +100,4 @@ def customers(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -
         F.when(F.col("c_acctbal") >= 0, F.lit("active")).otherwise(F.lit("inactive")).alias("status"),
         *keys,
     )
-    return c.join(first, "customer_id")
+    return c.join(first, "customer_id", "left")

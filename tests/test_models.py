@@ -69,23 +69,34 @@ def test_run_forecast_to_month_end(spark, ready, fitted):
 
 
 def test_walk_forward_refit_schedule(ready):
-    out = tr.walk_forward(ready, KEYS, SMALL, initial=150, refit_every=100)
-    weeks = ready.select("week").distinct().count()
-    assert out.select("week").distinct().count() == weeks - 150
+    from hebdo.operators.folds import walk_forward_origins
+    due = walk_forward_origins(ready, KEYS, 30).select("segment", "week")
+    out = tr.walk_forward(ready, KEYS, SMALL, initial=30, refit_every=200).select("segment", "week")
+    assert due.count() > 0 and out.exceptAll(due).count() == 0 and due.exceptAll(out).count() == 0
+    assert tr.walk_forward(ready, KEYS, SMALL, initial=10_000).count() == 0
 
 
-def test_tuning_importances(spark, ready, fitted):
-    board = tr.tune(ready, KEYS, n_iter=1, n_splits=2, tree_budget=3).collect()
-    assert len(board) == 1 and board[0].cv_mape >= 0
+def test_tuning_lists_the_settings_it_ran(ready, monkeypatch):
+    draws = [{**p, "n_estimators": 3 + i} for i, p in enumerate(tr.sample_params(2, tr.SEED))]
+    ran, fit = [], tr.fit
+    monkeypatch.setattr(tr, "sample_params", lambda *a: draws)
+    monkeypatch.setattr(tr, "fit", lambda df, p, *a: (ran.append((p["n_estimators"], p["learning_rate"])), fit(df, p, *a))[1])
+    board = tr.tune(ready, KEYS, n_iter=2, n_splits=2).collect()
+    assert sorted(ran) == sorted((r.n_estimators, r.learning_rate) for r in board for _ in range(2))
+
+
+def test_walk_forward_of_ragged_series_follows_its_own_origins(ready):
+    late = ready.where("segment <> 'BUILDING' or week >= date'1994-01-03'")
+    out = tr.walk_forward(late, KEYS, SMALL, initial=20, refit_every=200)
+    from hebdo.operators.folds import walk_forward_origins
+    due = walk_forward_origins(late, KEYS, 20).select("segment", "week")
+    assert out.select("segment", "week").exceptAll(due).count() == 0
+    assert due.exceptAll(out.select("segment", "week")).count() == 0
+
+
+def test_importances(ready, fitted):
     model, _ = fitted
     assert tr.feature_importance(model).count() == 20
     test = ready.join(fitted[1].where("role = 'test'").select("segment", "week"), ["segment", "week"])
     perm = tr.permutation_importance(model, test, KEYS, features=fe.FEATURES[:3]).collect()
     assert len(perm) == 3
-
-
-def test_budgeted_keeps_rounds_times_rate():
-    p = tr.budgeted(tr.TUNED_PARAMS, 50)
-    assert p["n_estimators"] == 50
-    assert p["n_estimators"] * p["learning_rate"] == pytest.approx(
-        tr.TUNED_PARAMS["n_estimators"] * tr.TUNED_PARAMS["learning_rate"])
