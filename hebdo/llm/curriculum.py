@@ -114,14 +114,17 @@ def mixed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", source_col:
     """``docs`` as the plan shows them: one row per showing, range-sorted by position.
     A document shown in part keeps its first words, joined by single spaces."""
     text = text_or_empty(text_col)
+    name = F.when(F.col(id_col).isNull(), "n").otherwise(F.concat(F.lit("i"), F.col(id_col).cast("string")))
     keyed = (docs.withColumn("_skey", F.when(F.col(source_col).isNull(), "n").otherwise(
                  F.concat(F.lit("s"), F.col(source_col)))).withColumn("_tie", F.xxhash64(text)))
     nth = Window.partitionBy("_id", "_skey", "_tie").orderBy(F.lit(0))
-    keyed = keyed.withColumn("_id", F.col(id_col)).withColumn("_nth", F.row_number().over(nth))
-    shown = (plan.select(F.col(id_col).alias("_id"), F.col("skey").alias("_skey"), F.col("tie").alias("_tie"),
+    keyed = keyed.withColumn("_id", name).withColumn("_nth", F.row_number().over(nth))
+    shown = (plan.select(name.alias("_id"), F.col("skey").alias("_skey"), F.col("tie").alias("_tie"),
                          F.col("size").alias("_size"), F.col("passes").alias("_passes"))
              .withColumn("_nth", F.row_number().over(nth)))
-    on = [F.expr("k._id <=> p._id and k._skey = p._skey and k._tie = p._tie and k._nth = p._nth")]
+    # rows equal in id, text and source are told apart by a condition that is no join key,
+    # so the texts stay where the window put them and are not shuffled once more
+    on = F.expr("k._id = p._id and k._skey = p._skey and k._tie = p._tie and k._nth - p._nth = 0")
     out = (keyed.alias("k").join(shown.alias("p"), on)
            .select("k.*", "p._size", F.explode("p._passes").alias("_pass")))
     words = F.split(F.trim(F.regexp_replace(F.col(text_col), r"[\x20\x09-\x0D]+", " ")), " ")

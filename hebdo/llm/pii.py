@@ -254,13 +254,7 @@ def find_pii(docs: DataFrame, params: PiiParams | None = None, id_col: str = "do
     """
     params = params or PiiParams()
     seen = stash(propose(docs, params, id_col, text_col))
-    counted = (seen.select(F.explode("spans").alias("s")).groupBy("s.pattern", "s.base")
-               .agg(F.count("*").alias("n")).orderBy("pattern", "base").toPandas())
-    taken: frozenset[str] = frozenset()
-    if len(counted):
-        d = estimate(counted, params.rounds)
-        p = 1 / (1 + np.exp(-features(d["pattern"]) @ train(d)))
-        taken = frozenset(d["pattern"][p >= params.accept])
+    taken = accepted_patterns(seen, params)
 
     def run(batches):
         for rb in batches:
@@ -278,6 +272,17 @@ def find_pii(docs: DataFrame, params: PiiParams | None = None, id_col: str = "do
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["base"].alias("base"))).alias("spans"))
 
 
+def accepted_patterns(seen: DataFrame, params: PiiParams) -> frozenset[str]:
+    """Vote patterns that the trained classifier takes for personal data."""
+    counted = (seen.select(F.explode("spans").alias("s")).groupBy("s.pattern", "s.base")
+               .agg(F.count("*").alias("n")).orderBy("pattern", "base").toPandas())
+    if not len(counted):
+        return frozenset()
+    d = estimate(counted, params.rounds)
+    p = 1 / (1 + np.exp(-features(d["pattern"]) @ train(d)))
+    return frozenset(d["pattern"][p >= params.accept])
+
+
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts of the base spans per kind, their digest, and all spans as kind:start:end."""
     base = F.filter("spans", lambda s: s["base"])
@@ -288,27 +293,30 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (ids unique) with every span replaced by its kind in angle brackets."""
+def redact(docs: DataFrame, params: PiiParams | None = None, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """``docs`` with every span replaced by its kind in angle brackets.
 
-    def one(text: str, spans) -> str:
+    The classifier is trained in a first pass over the texts; a second one
+    finds, decides and replaces, so no text is shuffled. Null texts stay null.
+    """
+    params = params or PiiParams()
+    taken = accepted_patterns(stash(propose(docs, params, id_col, text_col)), params)
+
+    def one(text: str | None) -> str | None:
+        if not text or not _ANY.search(text):
+            return text
+        more = [s for s in candidates(text) if pattern(text, s, params.context) in taken]
         out, at = [], 0
-        for s in spans:
-            if s["start"] >= at:
-                out += [text[at:s["start"]], f"<{s['kind'].upper()}>"]
-            at = max(at, s["end"])
+        for start, end, kind in settle(base_spans(text), more):
+            if start >= at:
+                out += [text[at:start], f"<{kind.upper()}>"]
+            at = max(at, end)
         return "".join([*out, text[at:]])
 
     def run(batches):
-        for rb in record_batches(batches, "_text"):
-            texts = [t if t is None or not s else one(t, s)
-                     for t, s in zip(rb.column("_text").to_pylist(), rb.column("_spans").to_pylist())]
-            i = rb.schema.get_field_index("_text")
-            yield rb.set_column(i, "_text", pa.array(texts, pa.string())).drop_columns(["_spans"])
-
-    marked = found.filter(F.size("spans") > 0).select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans"))
-    clean_first = docs.withColumnRenamed(text_col, "_text")
-    both = clean_first.join(marked, F.col(id_col) == F.col("_id"), "left").drop("_id")
-    schema = clean_first.schema
-    return both.select(*clean_first.columns, "_spans").mapInArrow(run, schema).select(
-        *(F.col("_text").alias(c) if c == text_col else F.col(c) for c in docs.columns))
+        for rb in record_batches(batches, text_col):
+            i = rb.schema.get_field_index(text_col)
+            yield rb.set_column(i, text_col, pa.array([one(t) for t in rb.column(i).to_pylist()], pa.string()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -184,13 +184,49 @@ def quality_rules(docs: DataFrame, labels: DataFrame, params: RiskParams | None
     """
     params = params or RiskParams()
     counts = stash(with_counts(docs, id_col, stratum_col, text_col))
-    good = (labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
-            .groupBy(F.col(id_col).alias("id")).agg((F.min("quality") == 1).alias("good")))
-    chosen = (stash(cutoffs(counts, good, params)).groupBy("stratum")
-              .agg(*(F.max(F.when(F.col("signal") == s, F.col("cutoff"))).alias(f"cut_{s}") for s in SIGNALS)))
-    failed = F.coalesce(*(F.expr(f"case when {_signal(s)} >= cut_{s} then '{s}' end") for s in SIGNALS))
-    base = F.expr(f"n_words < {params.min_words} or 100 * n_repeat_words > {params.max_repeat_pct} * n_words")
-    return (counts.join(chosen, "stratum", "left").withColumn("base_failed", base)
-            .withColumn("failed_signal", failed)
+    chosen = _chosen(counts, labels, params, id_col)
+    return (counts.join(chosen, "stratum", "left").withColumn("base_failed", _base_failed(params))
+            .withColumn("failed_signal", _failed_signal())
             .select(F.col("id").alias(id_col), *COUNTS, "base_failed",
                     (~F.col("base_failed") & F.col("failed_signal").isNull()).alias("kept"), "failed_signal"))
+
+
+def _base_failed(params: RiskParams):
+    return F.expr(f"n_words < {params.min_words} or 100 * n_repeat_words > {params.max_repeat_pct} * n_words")
+
+
+def _failed_signal():
+    return F.coalesce(*(F.expr(f"case when {_signal(s)} >= cut_{s} then '{s}' end") for s in SIGNALS))
+
+
+def _chosen(counts: DataFrame, labels: DataFrame, params: RiskParams, id_col: str) -> DataFrame:
+    """(stratum, cut_<signal>...): one row per stratum that labels reach."""
+    good = (labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
+            .groupBy(F.col(id_col).alias("id")).agg((F.min("quality") == 1).alias("good")))
+    return (stash(cutoffs(counts, good, params)).groupBy("stratum")
+            .agg(*(F.max(F.when(F.col("signal") == s, F.col("cutoff"))).alias(f"cut_{s}") for s in SIGNALS)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, params: RiskParams | None = None, id_col: str = "doc_id",
+              stratum_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps. A second pass counts again and
+    judges row by row, so no text is shuffled."""
+    params = params or RiskParams()
+    chosen = _chosen(stash(with_counts(docs, id_col, stratum_col, text_col)), labels, params, id_col)
+    # a cutoff takes hundreds of labelled documents of its stratum, so few rows have any
+    chosen = chosen.filter(F.coalesce(*(F.col(f"cut_{s}") for s in SIGNALS)).isNotNull())
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    text = plain.columns[docs.columns.index(text_col)]
+    stratum = plain.columns[docs.columns.index(stratum_col)]
+
+    def run(batches):
+        for rb in record_batches(batches, text):
+            c = text_counts(rb.column(text))
+            yield pa.RecordBatch.from_arrays([*rb.columns, *(pa.array(c[k].astype(np.int64)) for k in COUNTS)],
+                                             names=[*rb.schema.names, *COUNTS])
+
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema), *(f"{k} long" for k in COUNTS)])
+    judged = (plain.mapInArrow(run, schema).withColumn("stratum", F.coalesce(F.col(stratum), F.lit("")))
+              .join(F.broadcast(chosen), "stratum", "left"))
+    return (judged.filter(~_base_failed(params) & _failed_signal().isNull())
+            .select(*(F.col(p).alias(c) for p, c in zip(plain.columns, docs.columns))))
