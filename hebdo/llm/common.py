@@ -16,13 +16,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own removal of an execution's shuffle files once it has ended
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so a lost executor
-    never makes two readers see two versions of it.
+    never makes two readers see two versions of it. What was shuffled for the
+    table is of no more use once it is written, so the session is told to free
+    those files then instead of at the driver's next garbage collection.
     """
     spark = df.sparkSession
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
     path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
