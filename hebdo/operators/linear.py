@@ -31,6 +31,11 @@ DF_CRITICAL = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
 YEAR_WEEKS = 365.25 / 7
 
 
+def calendar_lag(c: str, i: int, w) -> F.Column:
+    """``c`` of ``i`` weeks before; NULL where the series misses a week in between."""
+    return F.when(F.datediff("week", F.lag("week", i).over(w)) == 7 * i, F.lag(c, i).over(w))
+
+
 # ------------------------------------------------------------------ AR(1)
 def ar1_fit(train: DataFrame, keys: list[str], y: str = Y, x: str = "lag_1") -> DataFrame:
     return train.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"),
@@ -127,11 +132,12 @@ def ses_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12,
 # ------------------------------------------------------------------ Dickey-Fuller
 def df_test(df: DataFrame, keys: list[str] | None = None, y: str = Y) -> DataFrame:
     """T4: Dickey-Fuller t statistic of gamma in dy_t = a + gamma * y_{t-1},
-    compared with the 5 % critical value (stationary when below it)."""
+    compared with the 5 % critical value (stationary when below it). Weeks
+    whose previous week is missing from the series take no part."""
     keys = list(keys or [])
     w = series_window(keys)
-    d = df.select(*keys, (F.col(y) - F.lag(y, 1).over(w)).alias("dy"),
-                  F.lag(y, 1).over(w).alias("ylag"))
+    d = df.select(*keys, (F.col(y) - calendar_lag(y, 1, w)).alias("dy"),
+                  calendar_lag(y, 1, w).alias("ylag"))
     s = d.groupBy(*keys).agg(
         F.regr_count("dy", "ylag").alias("n"),
         F.regr_slope("dy", "ylag").alias("gamma"),
@@ -204,17 +210,15 @@ def ar_order_selection(df: DataFrame, keys: list[str] | None = None, y: str = Y,
                        max_p: int = 2, max_d: int = 1) -> DataFrame:
     """T3 (autoregressive form): for d in 0..max_d and p in 0..max_p fit
     z_t = c + sum phi_i z_{t-i} (z = d-th difference of y) on a common
-    sample and keep the lowest AIC = n ln(RSS/n) + 2k per series."""
+    sample (the weeks whose lags all fall on weeks of the series) and keep
+    the lowest AIC = n ln(RSS/n) + 2k per series."""
     keys = list(keys or [])
     w = series_window(keys)
-    base = df.select(*keys, "week", y, F.lag(y, 1).over(w).alias("_y1"))
-    zcols = {0: F.col(y), 1: F.col(y) - F.col("_y1")}
-    staged = with_position(base.select(*keys, "week", *[zcols[d].alias(f"z{d}") for d in range(max_d + 1)]),
-                           keys)
-    for d in range(max_d + 1):
-        for i in range(1, max_p + 1):
-            staged = staged.withColumn(f"z{d}_l{i}", F.lag(f"z{d}", i).over(w))
-    staged = staged.where(F.col("idx") >= max_p + max_d).withColumn("one", F.lit(1.0))
+    zcols = {0: F.col(y), 1: F.col(y) - calendar_lag(y, 1, w)}
+    staged = df.select(*keys, "week", *[zcols[d].alias(f"z{d}") for d in range(max_d + 1)])
+    lags = {f"z{d}_l{i}": calendar_lag(f"z{d}", i, w) for d in range(max_d + 1) for i in range(1, max_p + 1)}
+    staged = (staged.withColumns(lags).dropna(subset=[*(f"z{d}" for d in range(max_d + 1)), *lags])
+              .withColumn("one", F.lit(1.0)))
     specs = []
     for d in range(max_d + 1):
         for p in range(max_p + 1):
@@ -250,12 +254,14 @@ def fourier_terms(t: F.Column, order: int) -> dict[str, F.Column]:
 def fourier_trend(ready: DataFrame, keys: list[str] | None = None, h: int = 12, order: int = 3,
                   ridge: float = 1.0, y: str = Y) -> DataFrame:
     """T5: y = b0 + b1 * t + sum_k (a_k sin(2 pi k t / 52.18) + c_k cos(...))
-    fitted by ridge normal equations on the training weeks of each series;
+    fitted by ridge normal equations on the training weeks of each series,
+    t being weeks since its first one, so missing weeks shift no season;
     returns (keys, ds, y, yhat, role) for every week."""
     keys = list(keys or [])
     split = holdout_split(ready.select(*keys, "week", y), keys, h)
-    t = F.col("idx").cast("double")
-    pos = with_position(split, keys)
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    pos = split.withColumn("_first", F.min("week").over(whole))
+    t = F.datediff("week", "_first") / 7.0
     terms = {"one": F.lit(1.0), "trend": t / 52.0, **fourier_terms(t, order)}
     design = pos.select(*keys, "week", "role", y, *[c.alias(n) for n, c in terms.items()])
     xcols = list(terms)

@@ -100,3 +100,35 @@ def test_importances(ready, fitted):
     test = ready.join(fitted[1].where("role = 'test'").select("segment", "week"), ["segment", "week"])
     perm = tr.permutation_importance(model, test, KEYS, features=fe.FEATURES[:3]).collect()
     assert len(perm) == 3
+
+
+def _gappy(spark, weeks, value):
+    from datetime import date, timedelta
+    rows = [("g", date(2020, 1, 6) + timedelta(weeks=i), float(value(i))) for i in weeks]
+    return spark.createDataFrame(rows, "segment string, week date, weekly_revenue double")
+
+
+def test_fourier_season_follows_the_calendar(spark):
+    import math
+    from hebdo.operators import linear as li
+    wave = lambda i: 100 + 10 * math.sin(2 * math.pi * i / li.YEAR_WEEKS)
+    weeks = [i for i in range(220) if not 60 <= i < 87]
+    out = li.fourier_trend(_gappy(spark, weeks, wave), ["segment"], ridge=1e-9).collect()
+    assert len(out) == len(weeks)
+    assert max(abs(r.y - r.yhat) for r in out) < 1e-3
+
+
+def test_lags_skip_missing_weeks(spark):
+    import numpy as np
+    from hebdo.operators import linear as li
+    rng = np.random.default_rng(3)
+    y = np.cumsum(rng.normal(size=200)) * 0.1 + rng.normal(size=200) + 50
+    weeks = [i for i in range(200) if i % 41 != 40]
+    df = _gappy(spark, weeks, lambda i: y[i])
+    have = set(weeks)
+    pairs = [(y[i - 1], y[i] - y[i - 1]) for i in weeks if i - 1 in have]
+    r = li.df_test(df, ["segment"]).first()
+    assert r.n == len(pairs)
+    assert abs(r.gamma - np.polyfit(*map(np.array, zip(*pairs)), 1)[0]) < 1e-9
+    full = [i for i in weeks if {i - 1, i - 2, i - 3} <= have]
+    assert li.ar_order_selection(df, ["segment"]).first().n == len(full)
