@@ -7,7 +7,8 @@
 * Dickey-Fuller statistic from ``regr_*`` aggregates.
 * Grouped normal equations (T6): sufficient statistics by a distributed
   ``groupBy(...).agg`` and one tiny solve per group in ``mapInPandas``; used
-  for AR(p) order selection and the trend + Fourier-season model.
+  for the trend + Fourier-season model and, about the means, for AR(p) order
+  selection and the Dickey-Fuller test with lagged differences.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hebdo.functions.columns import series_window
+from hebdo.functions.frames import attach
 from hebdo.operators.folds import holdout_split, with_position
 
 Y = "weekly_revenue"
@@ -50,9 +52,7 @@ def ar1_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12,
     tree model's holdout, which also sees actual lag features)."""
     keys = list(keys or [])
     split = holdout_split(ready.select(*keys, "week", y, x), keys, h)
-    coef = ar1_fit(split.where("role = 'train'"), keys, y, x)
-    j = split.join(coef, keys) if keys else split.withColumns(
-        {c: coef.select(c).scalar() for c in ("slope", "intercept")})
+    j = attach(split, ar1_fit(split.where("role = 'train'"), keys, y, x), keys, ["slope", "intercept"])
     return j.select(*keys, "week", "role", F.col(y).alias("actual"),
                     (F.col("intercept") + F.col("slope") * F.col(x)).alias("predicted"))
 
@@ -123,9 +123,7 @@ def ses_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12,
     keys = list(keys or [])
     split = holdout_split(ready.select(*keys, "week", y), keys, h)
     fit = ses_fit(split.where("role = 'train'"), keys, y)
-    test = split.where("role = 'test'")
-    j = test.join(fit.select(*keys, "level"), keys) if keys else \
-        test.withColumn("level", fit.select("level").scalar())
+    j = attach(split.where("role = 'test'"), fit, keys, ["level"])
     return j.select(*keys, "week", F.col(y).alias("actual"), F.col("level").alias("predicted"))
 
 
@@ -152,6 +150,43 @@ def df_test(df: DataFrame, keys: list[str] | None = None, y: str = Y) -> DataFra
                     (t < DF_CRITICAL["5%"]).alias("stationary"))
 
 
+def adf_test(df: DataFrame, keys: list[str] | None = None, y: str = Y, lags: int = 1) -> DataFrame:
+    """T4 with ``lags`` lagged differences: t statistic of gamma in
+    dy_t = a + gamma * y_{t-1} + sum_i delta_i dy_{t-i}, compared with the 5 %
+    critical value. Weeks with a missing week among their lags take no part;
+    a series with no more weeks than coefficients has a NULL statistic."""
+    keys = list(keys or [])
+    w = series_window(keys)
+    d = df.select(*keys, "week", (F.col(y) - calendar_lag(y, 1, w)).alias("dy"), calendar_lag(y, 1, w).alias("ylag"))
+    names = [f"dy_l{i}" for i in range(1, lags + 1)]
+    d = d.withColumns({c: calendar_lag("dy", i, w) for i, c in enumerate(names, 1)}).dropna(
+        subset=["dy", "ylag", *names])
+    size = lags + 2
+    stats = centred_moments(d, keys, ["ylag", *names], "dy")
+    schema = T.StructType([*stats.select(*keys, "n").schema.fields, T.StructField("gamma", T.DoubleType()),
+                           T.StructField("t_stat", T.DoubleType())])
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.to_dict("records"):
+                m, n = _moment_matrix(row["cov"], size), row["n"]
+                gamma = t = None
+                if n > size and np.linalg.matrix_rank(m[:-1, :-1]) == size - 1:
+                    inverse = np.linalg.inv(m[:-1, :-1])
+                    beta = inverse @ m[:-1, -1]
+                    variance = (m[-1, -1] - beta @ m[:-1, -1]) / (n - size)  # RSS over degrees of freedom, over n
+                    gamma = float(beta[0])
+                    t = float(gamma / np.sqrt(variance * inverse[0, 0])) if variance > 0 else None
+                out.append([*(row[k] for k in keys), n, gamma, t])
+            yield pd.DataFrame(out, columns=schema.names).astype({"gamma": float, "t_stat": float})
+
+    solved = stats.mapInPandas(solve, schema)
+    t = F.col("t_stat")
+    return solved.select(*keys, "n", "gamma", "t_stat", F.lit(DF_CRITICAL["5%"]).alias("critical_5pct"),
+                         (t < DF_CRITICAL["5%"]).alias("stationary"))
+
+
 # ------------------------------------------------------------------ normal equations
 def normal_equations(df: DataFrame, group: list[str], xcols: list[str], y: str) -> DataFrame:
     """Sufficient statistics of least squares per group: X'X (upper
@@ -206,42 +241,125 @@ def linear_predict(df: DataFrame, xcols: list[str], coef: str = "coef") -> F.Col
 
 
 # ------------------------------------------------------------------ AR(p), d in {0, 1}
+def centred_moments(df: DataFrame, group: list[str], xcols: list[str], y: str) -> DataFrame:
+    """T6 about the means: (n, means, cov), the means of the xcols and ``y``
+    and the upper triangle of their population covariances, row-major. One
+    partial+final aggregate."""
+    cols = [*xcols, y]
+    cov = [F.covar_pop(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))]
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in cols]).alias("means"),
+                                  F.array(*cov).alias("cov"))
+
+
+def _moment_matrix(cov, size: int) -> np.ndarray:
+    m = np.zeros((size, size))
+    m[np.triu_indices(size)] = np.asarray(cov, dtype=float)
+    return m + np.triu(m, 1).T
+
+
+def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(a, b, rcond=None)[0]
+
+
+def _ar_lags(df: DataFrame, keys: list[str], y: str, max_p: int, max_d: int) -> DataFrame:
+    """(keys, week, z{d}, z{d}_l{i}): differences of ``y`` and their lags, NULL
+    where a week in between is missing."""
+    w = series_window(keys)
+    zcols = {0: F.col(y), 1: F.col(y) - calendar_lag(y, 1, w)}
+    staged = df.select(*keys, "week", *[zcols[d].alias(f"z{d}") for d in range(max_d + 1)])
+    return staged.withColumns({f"z{d}_l{i}": calendar_lag(f"z{d}", i, w)
+                               for d in range(max_d + 1) for i in range(1, max_p + 1)})
+
+
 def ar_order_selection(df: DataFrame, keys: list[str] | None = None, y: str = Y,
                        max_p: int = 2, max_d: int = 1) -> DataFrame:
     """T3 (autoregressive form): for d in 0..max_d and p in 0..max_p fit
     z_t = c + sum phi_i z_{t-i} (z = d-th difference of y) on a common
     sample (the weeks whose lags all fall on weeks of the series) and keep
-    the lowest AIC = n ln(RSS/n) + 2k per series."""
+    the lowest AIC = n ln(RSS/n) + 2k per series. ``coef`` is (c, phi_1, ...),
+    zero beyond p. The orders of one d share their moments."""
     keys = list(keys or [])
-    w = series_window(keys)
-    zcols = {0: F.col(y), 1: F.col(y) - calendar_lag(y, 1, w)}
-    staged = df.select(*keys, "week", *[zcols[d].alias(f"z{d}") for d in range(max_d + 1)])
-    lags = {f"z{d}_l{i}": calendar_lag(f"z{d}", i, w) for d in range(max_d + 1) for i in range(1, max_p + 1)}
-    staged = (staged.withColumns(lags).dropna(subset=[*(f"z{d}" for d in range(max_d + 1)), *lags])
-              .withColumn("one", F.lit(1.0)))
-    specs = []
-    for d in range(max_d + 1):
-        for p in range(max_p + 1):
-            xs = ["one"] + [f"z{d}_l{i}" for i in range(1, p + 1)]
-            specs.append((d, p, xs))
-    width = max_p + 1
-    rows = []
-    for d, p, xs in specs:
-        padded = xs + [None] * (width - len(xs))
-        rows.append(F.struct(
-            F.lit(d).alias("d"), F.lit(p).alias("p"), F.col(f"z{d}").alias("target"),
-            *[(F.col(c) if c else F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(padded)]))
+    staged = _ar_lags(df, keys, y, max_p, max_d).dropna()
+    lags = [f"x{i}" for i in range(1, max_p + 1)]
+    rows = [F.struct(F.lit(d).alias("d"), F.col(f"z{d}").alias("target"),
+                     *[F.col(f"z{d}_l{i}").alias(f"x{i}") for i in range(1, max_p + 1)])
+            for d in range(max_d + 1)]
     long = staged.select(*keys, F.explode(F.array(*rows)).alias("s")).select(*keys, "s.*")
-    xcols = [f"x{i}" for i in range(width)]
-    stats = normal_equations(long, keys + ["d", "p"], xcols, "target")
-    solved = solve_normal_equations(stats, width, ridge=1e-9)
-    k = F.col("p") + 1
-    aic = F.col("n") * F.log(F.greatest(F.col("rss"), F.lit(1e-12)) / F.col("n")) + 2 * k
-    scored = solved.select(*keys, "d", "p", "n", "coef", aic.alias("aic"))
-    best = F.min_by(F.struct("d", "p", "aic", "coef", "n"), "aic")
+    stats = centred_moments(long, keys + ["d"], lags, "target")
+    schema = T.StructType([*stats.select(*keys, "d").schema.fields, T.StructField("p", T.IntegerType()),
+                           T.StructField("n", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
+                           T.StructField("rss", T.DoubleType())])
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.to_dict("records"):
+                m, mean = _moment_matrix(row["cov"], max_p + 1), np.asarray(row["means"], dtype=float)
+                for p in range(max_p + 1):
+                    phi = _solve(m[:p, :p], m[:p, -1]) if p else np.zeros(0)
+                    coef = np.zeros(max_p + 1)
+                    coef[0], coef[1:p + 1] = mean[-1] - phi @ mean[:p], phi
+                    out.append([*(row[k] for k in keys), row["d"], p, row["n"], coef.tolist(),
+                                float(row["n"] * (m[-1, -1] - phi @ m[:p, -1]))])
+            yield pd.DataFrame(out, columns=schema.names)
+
+    aic = F.col("n") * F.log(F.greatest(F.col("rss"), F.lit(1e-12)) / F.col("n")) + 2 * (F.col("p") + 1)
+    scored = stats.mapInPandas(solve, schema).withColumn("aic", aic)
+    best = F.min_by(F.struct("d", "p", "aic", "coef", "n"), F.struct("aic", "d", "p"))
     return scored.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
 
 
+def ar_forecast(df: DataFrame, fits: DataFrame, keys: list[str] | None = None, horizon: int = 26,
+                y: str = Y, until: DataFrame | None = None, max_p: int = 2) -> DataFrame:
+    """The fitted AR(p) of ``ar_order_selection`` iterated ``horizon`` weeks
+    on from each series' last week, or as far as ``until`` (keys, until) if that
+    is later: (keys, week, step, predicted).
+
+    One fold over the steps per series. ``predicted`` is NULL for a series
+    without a fit, or whose last weeks have a gap within the lags it needs.
+    """
+    keys = list(keys or [])
+    lagged = _ar_lags(df.select(*keys, "week", y), keys, y, max_p - 1, 1)
+    recent = F.array(*[F.array(F.col(f"z{d}"), *[F.col(f"z{d}_l{i}") for i in range(1, max_p)]) for d in (0, 1)])
+    last = (lagged.groupBy(*keys)
+            .agg(F.max_by(F.struct("week", F.col("z0").alias("level"), recent.alias("recent")), "week").alias("_s"))
+            .select(*keys, F.col("_s.week").alias("last_week"), "_s.level", "_s.recent"))
+    last = attach(last, fits, keys, ["d", "p", "coef"])
+    steps = F.lit(horizon)
+    if until is not None:
+        last = attach(last, until, keys, ["until"])
+        steps = F.greatest(steps, F.floor(F.datediff("until", "last_week") / 7).cast("int"))
+    phi = F.slice("coef", 2, F.col("p"))
+    start = F.struct(F.slice(F.element_at("recent", F.col("d") + 1), 1, F.col("p")).alias("z"),
+                     F.col("level").alias("level"), F.array().cast("array<double>").alias("path"))
+
+    def step(acc, _):
+        z = F.aggregate(F.zip_with(phi, acc["z"], lambda a, b: a * b), F.element_at("coef", 1), lambda s, v: s + v)
+        level = F.when(F.col("d") == 0, z).otherwise(acc["level"] + z)
+        return F.struct(F.slice(F.concat(F.array(z), acc["z"]), 1, F.col("p")).alias("z"), level.alias("level"),
+                        F.concat(acc["path"], F.array(level)).alias("path"))
+
+    path = F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda acc: acc["path"])
+    return (last.select(*keys, "last_week", F.posexplode(path).alias("i", "predicted"))
+            .select(*keys, F.date_add("last_week", (F.col("i") + 1) * 7).alias("week"),
+                    (F.col("i") + 1).cast("long").alias("step"), "predicted"))
+
+
+def ar_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12, y: str = Y) -> DataFrame:
+    """T3 on a holdout: order and coefficients from all but the last ``h`` weeks
+    of each series, which are forecast from there without seeing their actuals."""
+    keys = list(keys or [])
+    split = holdout_split(ready.select(*keys, "week", y), keys, h)
+    train, test = split.where("role = 'train'"), split.where("role = 'test'")
+    until = test.groupBy(*keys).agg(F.max("week").alias("until"))
+    path = ar_forecast(train, ar_order_selection(train, keys, y), keys, h, y, until)
+    return (test.join(path, keys + ["week"], "left")
+            .select(*keys, "week", F.col(y).alias("actual"), "predicted"))
+
+
 # ------------------------------------------------------------------ trend + season (T5)
 def fourier_terms(t: F.Column, order: int) -> dict[str, F.Column]:
     out = {}
@@ -267,6 +385,6 @@ def fourier_trend(ready: DataFrame, keys: list[str] | None = None, h: int = 12,
     xcols = list(terms)
     stats = normal_equations(design.where("role = 'train'"), keys, xcols, y)
     coef = solve_normal_equations(stats, len(xcols), ridge=ridge).select(*keys, "coef")
-    j = design.join(coef, keys) if keys else design.withColumn("coef", coef.select("coef").scalar())
+    j = attach(design, coef, keys, ["coef"])
     return j.select(*keys, F.col("week").alias("ds"), F.col(y).alias("y"),
                     linear_predict(j, xcols).alias("yhat"), "role")

@@ -5,6 +5,7 @@ tables, series key = market segment. Each has a DuckDB twin in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -367,10 +368,34 @@ def df_test(spark, sf_dir):
     return out.withColumns({"gamma": rnd("gamma", 9), "t_stat": rnd("t_stat", 6)})
 
 
+@query
+def adf_test(spark, sf_dir):
+    """T4 with one lagged difference"""
+    out = li.adf_test(ready_table(spark, sf_dir), KEYS, lags=1)
+    return out.withColumns({"gamma": rnd("gamma", 9), "t_stat": rnd("t_stat", 6)})
+
+
 @query
 def ar_order_selection(spark, sf_dir):
-    """rows only: numpy solve of grouped normal equations"""
-    return li.ar_order_selection(ready_table(spark, sf_dir), KEYS)
+    fit = li.ar_order_selection(ready_table(spark, sf_dir), KEYS)
+    coef = {f: rnd(F.element_at("coef", i), digits)
+            for i, (f, digits) in enumerate((("intercept", 2), ("phi_1", 9), ("phi_2", 9)), 1)}
+    return fit.select(*KEYS, "d", "p", "n", rnd("aic", 6).alias("aic"), *[c.alias(f) for f, c in coef.items()])
+
+
+@query
+def ar_holdout(spark, sf_dir):
+    """12 weeks forecast by the AR(p) chosen and fitted on the weeks before"""
+    return _money(li.ar_holdout(ready_table(spark, sf_dir), KEYS), ["predicted"])
+
+
+@query
+def forecast_ar(spark, sf_dir):
+    """26 weeks by the AR(p) of the whole history; interval from its holdout residuals"""
+    ready = ready_table(spark, sf_dir)
+    path = li.ar_forecast(ready, li.ar_order_selection(ready, KEYS), KEYS, HORIZON)
+    q = ev.conformal_quantile(ev.with_errors(li.ar_holdout(ready, KEYS)), KEYS)
+    return _money(fc.with_confidence(path, q, KEYS), _BOUNDS)
 
 
 @query
@@ -381,16 +406,22 @@ def fourier_trend(spark, sf_dir):
 
 @query
 def model_leaderboard(spark, sf_dir):
-    """rows only: holdout metrics of the per-series models side by side"""
+    """rows only (ridge fit): holdout metrics of the per-series models, apart by
+    what they see: ``steps`` 12 forecasts the holdout unseen, 1 sees the week
+    before. ``wape`` (sum of errors by sum of actuals, percent) bears weeks of
+    no revenue, which blow up ``mape``."""
     ready = ready_table(spark, sf_dir)
-    ar1 = li.ar1_holdout(ready, KEYS).where("role = 'test'").drop("role") \
-        .withColumn("model", F.lit("ar1"))
-    ses = li.ses_holdout(ready, KEYS).withColumn("model", F.lit("ses"))
     ft = (li.fourier_trend(ready, KEYS).where("role = 'test'")
-          .select(*KEYS, F.col("ds").alias("week"), F.col("y").alias("actual"),
-                  F.col("yhat").alias("predicted"), F.lit("fourier_trend").alias("model")))
-    allp = ar1.unionByName(ses).unionByName(ft)
-    return _metrics_out(ev.metrics(allp, KEYS + ["model"]))
+          .select(*KEYS, F.col("ds").alias("week"), F.col("y").alias("actual"), F.col("yhat").alias("predicted")))
+    ar1 = li.ar1_holdout(ready, KEYS).where("role = 'test'").drop("role")
+    parts = [(ar1, "ar1", 1), (li.ar_holdout(ready, KEYS), "ar", 12), (li.ses_holdout(ready, KEYS), "ses", 12),
+             (ft, "fourier_trend", 12)]
+    allp = reduce(DataFrame.unionByName, [
+        df.withColumns({"model": F.lit(name), "steps": F.lit(steps)}) for df, name, steps in parts])
+    wape = 100 * F.sum(F.abs(F.col("actual") - F.col("predicted"))) / F.nullif(F.sum(F.abs("actual")), F.lit(0.0))
+    by = KEYS + ["model", "steps"]
+    out = allp.groupBy(*by).agg(*ev.metric_columns(), wape.alias("wape"))
+    return _metrics_out(out).withColumn("wape", rnd("wape", 6))
 
 
 # ---------------------------------------------------------------- forecasting, reporting

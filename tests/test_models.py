@@ -132,3 +132,71 @@ def test_lags_skip_missing_weeks(spark):
     assert abs(r.gamma - np.polyfit(*map(np.array, zip(*pairs)), 1)[0]) < 1e-9
     full = [i for i in weeks if {i - 1, i - 2, i - 3} <= have]
     assert li.ar_order_selection(df, ["segment"]).first().n == len(full)
+
+
+def _ar2(n, seed=11):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    y = [1e6, 1.1e6]
+    for _ in range(n - 2):
+        y.append(4e5 + 0.5 * y[-1] + 0.2 * y[-2] + rng.normal() * 1e5)
+    return y
+
+
+def test_adf_equals_least_squares(spark):
+    import numpy as np
+    from hebdo.operators import linear as li
+    y = np.array(_ar2(180))
+    for lags in (0, 1, 3):
+        dy = np.diff(y)
+        target = dy[lags:]
+        x = np.column_stack([np.ones(len(target)), y[lags:-1], *[dy[lags - i:len(dy) - i] for i in range(1, lags + 1)]])
+        beta, rss, *_ = np.linalg.lstsq(x / [1, *[1e6] * (lags + 1)], target, rcond=None)
+        se = np.sqrt(rss[0] / (len(target) - lags - 2) * np.linalg.inv((x / [1, *[1e6] * (lags + 1)]).T
+                                                                       @ (x / [1, *[1e6] * (lags + 1)]))[1, 1])
+        r = li.adf_test(_gappy(spark, range(180), lambda i: y[i]), ["segment"], lags=lags).first()
+        assert r.n == len(target)
+        assert abs(r.t_stat - beta[1] / se) < 1e-6
+    assert li.adf_test(_gappy(spark, range(180), lambda i: 5.0), ["segment"]).first().t_stat is None
+
+
+def test_ar_forecast_iterates_the_chosen_model(spark):
+    from datetime import date, timedelta
+    from hebdo.operators import linear as li
+    y = _ar2(200)
+    for d, values in ((0, y), (1, [sum(y[:i + 1]) for i in range(200)])):
+        df = _gappy(spark, range(200), lambda i: values[i])
+        fit = li.ar_order_selection(df, ["segment"])
+        one = fit.first()
+        z = list(values) if one.d == 0 else [b - a for a, b in zip(values, values[1:])]
+        assert one.d == d
+        level, due = values[-1], []
+        for _ in range(9):
+            z.append(one.coef[0] + sum(one.coef[i] * z[-i] for i in range(1, one.p + 1)))
+            level = z[-1] if one.d == 0 else level + z[-1]
+            due.append(level)
+        for keys, table in ((["segment"], df), ([], df.drop("segment"))):
+            fits = fit if keys else li.ar_order_selection(table)
+            out = li.ar_forecast(table, fits, keys, 9).orderBy("step").collect()
+            assert [r.step for r in out] == list(range(1, 10))
+            assert out[0].week == date(2020, 1, 6) + timedelta(weeks=200)
+            assert max(abs(r.predicted / v - 1) for r, v in zip(out, due)) < 1e-9
+
+
+def test_short_and_gappy_series_stay(spark):
+    from datetime import date, timedelta
+    from pyspark.sql import functions as F
+    from hebdo.operators import linear as li
+    y = _ar2(120)
+    long = _gappy(spark, [i for i in range(120) if i not in (50, 113)], lambda i: y[i])
+    short = _gappy(spark, range(3), lambda i: y[i]).withColumn("segment", F.lit("short"))
+    both = long.unionByName(short)
+    out = li.ar_forecast(both, li.ar_order_selection(both, ["segment"]), ["segment"], 4).collect()
+    assert sorted((r.segment, r.step) for r in out) == [(s, i) for s in ("g", "short") for i in range(1, 5)]
+    assert all((r.predicted is None) == (r.segment == "short") for r in out)
+    held = {r.week: r for r in li.ar_holdout(long, ["segment"]).collect()}
+    assert len(held) == 12 and all(r.predicted is not None for r in held.values())
+    # the twelve test weeks span thirteen weeks: the last one is the thirteenth step
+    train = long.where(F.col("week") < min(held))
+    path = li.ar_forecast(train, li.ar_order_selection(train, ["segment"]), ["segment"], 13).collect()
+    assert held[date(2020, 1, 6) + timedelta(weeks=119)].predicted == [r.predicted for r in path if r.step == 13][0]
