@@ -31,6 +31,8 @@ SES_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
 # (fixed values).
 DF_CRITICAL = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
 YEAR_WEEKS = 365.25 / 7
+# what is left of a sum of squares by rounding alone, as a share of it
+NOISE = 1e-12
 
 
 def calendar_lag(c: str, i: int, w) -> F.Column:
@@ -153,8 +155,10 @@ def df_test(df: DataFrame, keys: list[str] | None = None, y: str = Y) -> DataFra
 def adf_test(df: DataFrame, keys: list[str] | None = None, y: str = Y, lags: int = 1) -> DataFrame:
     """T4 with ``lags`` lagged differences: t statistic of gamma in
     dy_t = a + gamma * y_{t-1} + sum_i delta_i dy_{t-i}, compared with the 5 %
-    critical value. Weeks with a missing week among their lags take no part;
-    a series with no more weeks than coefficients has a NULL statistic."""
+    critical value. Weeks with a missing week among their lags take no part.
+    Without more weeks than coefficients, or with regressors that don't vary
+    apart, gamma and the statistic are NULL; a fit without residuals has no
+    statistic."""
     keys = list(keys or [])
     w = series_window(keys)
     d = df.select(*keys, "week", (F.col(y) - calendar_lag(y, 1, w)).alias("dy"), calendar_lag(y, 1, w).alias("ylag"))
@@ -172,12 +176,13 @@ def adf_test(df: DataFrame, keys: list[str] | None = None, y: str = Y, lags: int
             for row in pdf.to_dict("records"):
                 m, n = _moment_matrix(row["cov"], size), row["n"]
                 gamma = t = None
-                if n > size and np.linalg.matrix_rank(m[:-1, :-1]) == size - 1:
+                if n > size and _independent(m[:-1, :-1]):
                     inverse = np.linalg.inv(m[:-1, :-1])
                     beta = inverse @ m[:-1, -1]
-                    variance = (m[-1, -1] - beta @ m[:-1, -1]) / (n - size)  # RSS over degrees of freedom, over n
+                    left = m[-1, -1] - beta @ m[:-1, -1]  # RSS / n
                     gamma = float(beta[0])
-                    t = float(gamma / np.sqrt(variance * inverse[0, 0])) if variance > 0 else None
+                    if left > NOISE * m[-1, -1]:
+                        t = float(gamma / np.sqrt(left / (n - size) * inverse[0, 0]))
                 out.append([*(row[k] for k in keys), n, gamma, t])
             yield pd.DataFrame(out, columns=schema.names).astype({"gamma": float, "t_stat": float})
 
@@ -251,19 +256,19 @@ def centred_moments(df: DataFrame, group: list[str], xcols: list[str], y: str) -
                                   F.array(*cov).alias("cov"))
 
 
+def _independent(cov: np.ndarray) -> bool:
+    """Whether the variables of a covariance matrix all vary and none is, within
+    rounding, a combination of the others: the determinant of their correlations."""
+    sd = np.sqrt(np.diag(cov))
+    return bool((sd > 0).all() and np.linalg.det(cov / np.outer(sd, sd)) > NOISE)
+
+
 def _moment_matrix(cov, size: int) -> np.ndarray:
     m = np.zeros((size, size))
     m[np.triu_indices(size)] = np.asarray(cov, dtype=float)
     return m + np.triu(m, 1).T
 
 
-def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    try:
-        return np.linalg.solve(a, b)
-    except np.linalg.LinAlgError:
-        return np.linalg.lstsq(a, b, rcond=None)[0]
-
-
 def _ar_lags(df: DataFrame, keys: list[str], y: str, max_p: int, max_d: int) -> DataFrame:
     """(keys, week, z{d}, z{d}_l{i}): differences of ``y`` and their lags, NULL
     where a week in between is missing."""
@@ -279,8 +284,11 @@ def ar_order_selection(df: DataFrame, keys: list[str] | None = None, y: str = Y,
     """T3 (autoregressive form): for d in 0..max_d and p in 0..max_p fit
     z_t = c + sum phi_i z_{t-i} (z = d-th difference of y) on a common
     sample (the weeks whose lags all fall on weeks of the series) and keep
-    the lowest AIC = n ln(RSS/n) + 2k per series. ``coef`` is (c, phi_1, ...),
-    zero beyond p. The orders of one d share their moments."""
+    the lowest AIC = n ln(RSS/n) + 2k per series, k = p + 1; RSS counts as
+    rounding at least, so of several perfect fits the smallest stays. Orders with
+    n <= k, or lags that don't vary apart, are no candidates; a series without a
+    candidate has no row. ``coef`` is (c, phi_1, ...), zero beyond p. The orders of
+    one d share their moments."""
     keys = list(keys or [])
     staged = _ar_lags(df, keys, y, max_p, max_d).dropna()
     lags = [f"x{i}" for i in range(1, max_p + 1)]
@@ -299,11 +307,13 @@ def ar_order_selection(df: DataFrame, keys: list[str] | None = None, y: str = Y,
             for row in pdf.to_dict("records"):
                 m, mean = _moment_matrix(row["cov"], max_p + 1), np.asarray(row["means"], dtype=float)
                 for p in range(max_p + 1):
-                    phi = _solve(m[:p, :p], m[:p, -1]) if p else np.zeros(0)
+                    if row["n"] <= p + 1 or (p and not _independent(m[:p, :p])):
+                        continue
+                    phi = np.linalg.solve(m[:p, :p], m[:p, -1]) if p else np.zeros(0)
                     coef = np.zeros(max_p + 1)
                     coef[0], coef[1:p + 1] = mean[-1] - phi @ mean[:p], phi
                     out.append([*(row[k] for k in keys), row["d"], p, row["n"], coef.tolist(),
-                                float(row["n"] * (m[-1, -1] - phi @ m[:p, -1]))])
+                                float(row["n"] * max(m[-1, -1] - phi @ m[:p, -1], NOISE * m[-1, -1]))])
             yield pd.DataFrame(out, columns=schema.names)
 
     aic = F.col("n") * F.log(F.greatest(F.col("rss"), F.lit(1e-12)) / F.col("n")) + 2 * (F.col("p") + 1)

@@ -707,6 +707,9 @@ def _calendar_lag(c: str, i: int) -> str:
     return f"CASE WHEN week - lag(week, {i}) OVER w = {7 * i} THEN lag({c}, {i}) OVER w END"
 
 
+_NOISE = dbl(1e-12)
+
+
 def _ar_ctes(name: str, source: str) -> str:
     """{name}_best: order, coefficients and last values of each series of ``source``."""
     lags = ", ".join(f"{_calendar_lag(f'z{d}', i)} AS z{d}_l{i}" for d in (0, 1) for i in (1, 2))
@@ -716,9 +719,10 @@ def _ar_ctes(name: str, source: str) -> str:
     zero = dbl(0)
     det = "(v1 * v2 - c12 * c12)"
     models = f"""
-SELECT *, 0 AS p, {zero} AS b1, {zero} AS b2 FROM {name}_moments
-UNION ALL SELECT *, 1 AS p, c1 / v1 AS b1, {zero} AS b2 FROM {name}_moments
-UNION ALL SELECT *, 2 AS p, (c1 * v2 - c2 * c12) / {det} AS b1, (c2 * v1 - c1 * c12) / {det} AS b2 FROM {name}_moments"""
+SELECT *, 0 AS p, {zero} AS b1, {zero} AS b2 FROM {name}_moments WHERE n > 1
+UNION ALL SELECT *, 1 AS p, c1 / v1 AS b1, {zero} AS b2 FROM {name}_moments WHERE n > 2 AND v1 > 0
+UNION ALL SELECT *, 2 AS p, (c1 * v2 - c2 * c12) / {det} AS b1, (c2 * v1 - c1 * c12) / {det} AS b2
+FROM {name}_moments WHERE n > 3 AND v1 > 0 AND v2 > 0 AND {det} > {_NOISE} * v1 * v2"""
     return f"""
 {name}_diffs AS (SELECT segment, week, weekly_revenue AS z0, weekly_revenue - {_calendar_lag('weekly_revenue', 1)} AS z1
   FROM {source} WINDOW w AS (PARTITION BY segment ORDER BY week)),
@@ -728,33 +732,37 @@ UNION ALL SELECT *, 2 AS p, (c1 * v2 - c2 * c12) / {det} AS b1, (c2 * v1 - c1 *
   var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS c12, covar_pop(x1, t) AS c1, covar_pop(x2, t) AS c2
   FROM {name}_sample GROUP BY segment, d),
 {name}_models AS ({models}),
-{name}_scored AS (SELECT *, n * ln(greatest(n * (vt - b1 * c1 - b2 * c2), 1e-12) / n) + 2 * (p + 1) AS aic,
+{name}_scored AS (SELECT *, n * ln(greatest(n * greatest(vt - b1 * c1 - b2 * c2, {_NOISE} * vt), {dbl(1e-12)}) / n) + 2 * (p + 1) AS aic,
   mt - b1 * m1 - b2 * m2 AS b0 FROM {name}_models),
 {name}_last AS (SELECT segment, week AS last_week, z0, z0_l1, z1, z1_l1 FROM {name}_lags
   QUALIFY row_number() OVER (PARTITION BY segment ORDER BY week DESC) = 1),
-{name}_best AS (SELECT s.*, l.last_week, l.z0 AS level, CASE WHEN d = 0 THEN l.z0 ELSE l.z1 END AS r1,
+{name}_best AS (SELECT s.* EXCLUDE (segment), l.segment, l.last_week, l.z0 AS level, CASE WHEN d = 0 THEN l.z0 ELSE l.z1 END AS r1,
     CASE WHEN d = 0 THEN l.z0_l1 ELSE l.z1_l1 END AS r2
-  FROM (SELECT * FROM {name}_scored QUALIFY row_number() OVER (PARTITION BY segment ORDER BY aic, d, p) = 1) s
-  JOIN {name}_last l ON l.segment = s.segment)"""
+  FROM {name}_last l LEFT JOIN (
+    SELECT * FROM {name}_scored QUALIFY row_number() OVER (PARTITION BY segment ORDER BY aic, d, p) = 1) s
+  ON l.segment = s.segment)"""
 
 
-def _ar_path(name: str, steps: int) -> str:
+def _ar_path(name: str, steps: int | str) -> str:
+    z = "(b0 + CASE WHEN p >= 1 THEN b1 * r1 ELSE 0 END + CASE WHEN p >= 2 THEN b2 * r2 ELSE 0 END)"
     return f"""(WITH RECURSIVE path AS (
-  SELECT segment, d, last_week, b0, b1, b2, r1, r2, level, CAST(0 AS BIGINT) AS step FROM {name}_best
+  SELECT segment, d, p, last_week, b0, b1, b2, r1, r2, level, CAST(0 AS BIGINT) AS step FROM {name}_best
   UNION ALL
-  SELECT segment, d, last_week, b0, b1, b2, b0 + b1 * r1 + b2 * r2, r1,
-         CASE WHEN d = 0 THEN 0 ELSE level END + (b0 + b1 * r1 + b2 * r2), step + 1 FROM path WHERE step < {steps})
+  SELECT segment, d, p, last_week, b0, b1, b2, {z}, r1,
+         CASE WHEN d = 0 THEN 0 ELSE level END + {z}, step + 1 FROM path WHERE step < {steps})
  SELECT segment, CAST(last_week + CAST(step * 7 AS INTEGER) AS DATE) AS week, step, level AS predicted
  FROM path WHERE step > 0)"""
 
 
+# weeks of the whole calendar: the holdout weeks of a gappy series may reach far
+_SPAN = "(SELECT (max(week) - min(week)) // 7 FROM split)"
 _AR_TRAIN = _ar_ctes("train_ar", "(SELECT * FROM split WHERE role = 'train')")
 _AR_TEST = f"""artest AS (SELECT s.segment, s.week, s.weekly_revenue AS actual, f.predicted
-  FROM split s LEFT JOIN {_ar_path('train_ar', 60)} f ON f.segment = s.segment AND f.week = s.week WHERE s.role = 'test')"""
+  FROM split s LEFT JOIN {_ar_path('train_ar', _SPAN)} f ON f.segment = s.segment AND f.week = s.week WHERE s.role = 'test')"""
 
 register("ar_order_selection", with_ledger(f"""
 SELECT segment, d, p, n, {rnd('aic', 6)} AS aic, {rnd('b0', 2)} AS intercept, {rnd('b1', 9)} AS phi_1, {rnd('b2', 9)} AS phi_2
-FROM ar_best""", feature_ctes() + "," + MODEL_CTES + "," + _ar_ctes("ar", "ready")))
+FROM ar_best WHERE p IS NOT NULL""", feature_ctes() + "," + MODEL_CTES + "," + _ar_ctes("ar", "ready")))
 register("ar_holdout", with_ledger(
     f"SELECT segment, week, actual, {rnd('predicted', 2)} AS predicted FROM artest",
     feature_ctes() + "," + MODEL_CTES + "," + _AR_TRAIN + "," + _AR_TEST))
@@ -766,14 +774,16 @@ FROM (
          f.predicted - q.quantile * sqrt(CAST(f.step AS DOUBLE)) AS lower_bound,
          f.predicted + q.quantile * sqrt(CAST(f.step AS DOUBLE)) AS upper_bound,
          CAST(95.0 AS DOUBLE) AS confidence
-  FROM {_ar_path('ar', 26)} f JOIN {quantile_of('artest')} q ON q.segment = f.segment)""",
+  FROM {_ar_path('ar', 26)} f LEFT JOIN {quantile_of('artest')} q ON q.segment = f.segment)""",
     feature_ctes() + "," + MODEL_CTES + "," + _ar_ctes("ar", "ready") + "," + _AR_TRAIN + "," + _AR_TEST))
 register("adf_test", _model(f"""
 SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
        {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary
-FROM (SELECT *, gamma / sqrt((vt - gamma * c1 - delta * c2) / (n - 3) * v2 / det) AS t FROM (
+FROM (SELECT *, CASE WHEN vt - gamma * c1 - delta * c2 > {_NOISE} * vt
+                     THEN gamma / sqrt((vt - gamma * c1 - delta * c2) / (n - 3) * v2 / det) END AS t FROM (
   SELECT *, (c1 * v2 - c2 * c12) / det AS gamma, (c2 * v1 - c1 * c12) / det AS delta FROM (
-    SELECT *, v1 * v2 - c12 * c12 AS det FROM (
+    SELECT *, CASE WHEN n > 3 AND v1 > 0 AND v2 > 0 AND v1 * v2 - c12 * c12 > {_NOISE} * v1 * v2
+                   THEN v1 * v2 - c12 * c12 END AS det FROM (
       SELECT segment, count(*) AS n, var_pop(dy) AS vt, var_pop(ylag) AS v1, var_pop(dlag) AS v2,
              covar_pop(ylag, dlag) AS c12, covar_pop(ylag, dy) AS c1, covar_pop(dlag, dy) AS c2
       FROM (SELECT segment, dy, ylag, {_calendar_lag('dy', 1)} AS dlag FROM (
