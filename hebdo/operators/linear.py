@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hebdo.functions.columns import series_window
+from hebdo.functions.columns import safe_div, series_window
 from hebdo.functions.frames import attach
 from hebdo.operators.folds import holdout_split, with_position
 
@@ -133,7 +133,8 @@ def ses_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12,
 def df_test(df: DataFrame, keys: list[str] | None = None, y: str = Y) -> DataFrame:
     """T4: Dickey-Fuller t statistic of gamma in dy_t = a + gamma * y_{t-1},
     compared with the 5 % critical value (stationary when below it). Weeks
-    whose previous week is missing from the series take no part."""
+    whose previous week is missing from the series take no part. The statistic
+    is NULL for up to two weeks, a constant series or a fit without residuals."""
     keys = list(keys or [])
     w = series_window(keys)
     d = df.select(*keys, (F.col(y) - calendar_lag(y, 1, w)).alias("dy"),
@@ -144,9 +145,9 @@ def df_test(df: DataFrame, keys: list[str] | None = None, y: str = Y) -> DataFra
         F.regr_sxx("dy", "ylag").alias("sxx"),
         F.regr_syy("dy", "ylag").alias("syy"),
         F.regr_sxy("dy", "ylag").alias("sxy"))
-    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    se = F.sqrt(ssr / (F.col("n") - 2) / F.col("sxx"))
-    t = F.col("gamma") / se
+    ssr = F.col("syy") - safe_div(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    se = F.sqrt(safe_div(safe_div(ssr, F.col("n") - 2), F.col("sxx")))
+    t = F.when((F.col("n") > 2) & (ssr > NOISE * F.col("syy")), safe_div(F.col("gamma"), se))
     return s.select(*keys, "n", "gamma", t.alias("t_stat"),
                     F.lit(DF_CRITICAL["5%"]).alias("critical_5pct"),
                     (t < DF_CRITICAL["5%"]).alias("stationary"))

@@ -470,17 +470,6 @@ register("ses_holdout", with_ledger("""
 SELECT s.segment, s.week, s.weekly_revenue AS actual, e.level AS predicted
 FROM split s JOIN ses e ON e.segment = s.segment WHERE s.role = 'test'""",
                                     feature_ctes() + "," + MODEL_CTES + "," + SES_CTES))
-register("df_test", _model(f"""
-SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
-       {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary
-FROM (SELECT *, gamma / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM (
-  SELECT segment, CAST(regr_count(dy, ylag) AS BIGINT) AS n, regr_slope(dy, ylag) AS gamma, regr_sxx(dy, ylag) AS sxx,
-         regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy
-  FROM (SELECT segment, weekly_revenue - lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS dy,
-               lag(weekly_revenue, 1) OVER ({_P} ORDER BY week) AS ylag FROM ready)
-  GROUP BY segment))"""))
-
-
 # ---------------------------------------------------------------- forecasting, reporting
 def _business():
     from hebdo.operators.forecast import BUSINESS
@@ -792,3 +781,14 @@ FROM (SELECT *, CASE WHEN vt - gamma * c1 - delta * c2 > {_NOISE} * vt
               FROM ready WINDOW w AS (PARTITION BY segment ORDER BY week))
             WINDOW w AS (PARTITION BY segment ORDER BY week))
       WHERE dy IS NOT NULL AND ylag IS NOT NULL AND dlag IS NOT NULL GROUP BY segment))))"""))
+register("df_test", _model(f"""
+SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
+       {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary
+FROM (SELECT *, CASE WHEN n > 2 AND syy - sxy * sxy / sxx > {_NOISE} * syy
+                     THEN gamma / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) END AS t FROM (
+  SELECT segment, CAST(regr_count(dy, ylag) AS BIGINT) AS n, regr_slope(dy, ylag) AS gamma, regr_sxx(dy, ylag) AS sxx,
+         regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy
+  FROM (SELECT segment, weekly_revenue - {_calendar_lag('weekly_revenue', 1)} AS dy,
+               {_calendar_lag('weekly_revenue', 1)} AS ylag
+        FROM ready WINDOW w AS (PARTITION BY segment ORDER BY week))
+  GROUP BY segment))"""))
