@@ -655,7 +655,7 @@ _register_total()
 register("interval_prior", _model(f"""
 SELECT t.segment, t.week, {rnd('t.predicted', 2)} AS predicted,
        {rnd('t.predicted - q.quantile', 2)} AS lower_bound, {rnd('t.predicted + q.quantile', 2)} AS upper_bound
-FROM test t JOIN {quantile_of('''(SELECT w.* FROM wf w JOIN (SELECT segment, min(week) AS first_week FROM test
+FROM test t LEFT JOIN {quantile_of('''(SELECT w.* FROM wf w JOIN (SELECT segment, min(week) AS first_week FROM test
                                   GROUP BY segment) f ON f.segment = w.segment WHERE w.week < f.first_week)''')} q
   ON q.segment = t.segment"""))
 
