@@ -205,7 +205,8 @@ def _sets(docs: DataFrame, ids: DataFrame, params: SketchParams) -> DataFrame:
     """(id, shingles) of the named documents. A bitmap of fixed size over the hashed ids
     (4 MB, whatever the number of ids) drops most other texts before anything is shuffled;
     the join settles the rest."""
-    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    spot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    place = spot + 1  # bitmap buckets start at 1 for the value 1; 0 would be in a bucket 0 of its own
     maps = (ids.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
     width = 4096 * 8
@@ -224,8 +225,6 @@ def _sets(docs: DataFrame, ids: DataFrame, params: SketchParams) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [rb.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
-    # bitmap positions count from the place given by bitmap_bucket_number, which starts at 1
-    spot = (F.bitmap_bucket_number(place) - 1) * width + F.bitmap_bit_position(place)
     return (docs.select("id", "text", spot.cast("long").alias("place")).mapInArrow(run, "id long, shingles binary")
             .join(ids, "id", "left_semi"))
 

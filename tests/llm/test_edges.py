@@ -97,3 +97,12 @@ def test_exact_binomial_bound():
 def test_segments_are_maximal():
     s = np.array([-1, 3, -1, 2, -9, 4, -1.0])
     assert toxicity.segments(s) == [(1, 4, 4.0), (5, 6, 4.0)]
+
+
+def test_ids_at_the_first_place_of_the_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "FILTER_BITS", 1)  # every id hashes to place 0
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(i, f"{text} {i % 2}") for i in range(4)] + [(9, "other words")], "id long, text string")
+    ids = spark.createDataFrame([(1,), (9,)], "id long")
+    got = setsketch._sets(docs, ids, setsketch.SketchParams()).collect()
+    assert sorted(r.id for r in got) == [1, 9]
