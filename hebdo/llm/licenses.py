@@ -1,11 +1,13 @@
 """License scan over a positional rare-token index.
 
 Template words that are no function words are indexed with their positions.
-Each file looks up its rarest licence words (highest inverse document frequency
-over the whole corpus); postings of one template that agree on the position
-relative to the file are added up, and a template counts once enough of its
-weight lines up and its mandatory phrases stand in the file. DataFrame
-functions only.
+A template's rarest words (highest inverse document frequency over the whole
+corpus) nominate it in the files that hold one of them: as many words as it
+takes that the others alone could not line up enough of its weight. All licence
+words of such a file are then looked up; postings of one template that agree on
+the position relative to the file are added up, and a template counts once
+enough of its weight lines up and its mandatory phrases stand in the file.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -46,7 +48,6 @@ FUNCTION_WORDS = set("the of to a is this in it or and any you can are with by u
 
 @dataclass(frozen=True)
 class LicenseParams:
-    rarest: int = 8        # words that a file looks up
     share: float = 0.6     # of the weight of a template's indexed words that has to line up
 
 
@@ -95,7 +96,7 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None, id_col:
     scanned = stash(rows.select("id", F.size("w").cast("long").alias("n_words"), "phrases", hits.alias("hits"),
                                 base.alias("base")).withColumn("row", F.monotonically_increasing_id()))
 
-    hit = scanned.select("row", "phrases", F.explode("hits").alias("h")).select("row", "phrases", "h.word", "h.pos")
+    hit = scanned.select("row", F.explode("hits").alias("h")).select("row", "h.word")
     seen = hit.groupBy("word", "row").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("*").alias("df"))
     n = scanned.agg(F.count("*").alias("n"))
     postings = spark.createDataFrame(
@@ -109,12 +110,16 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None, id_col:
     whole = weighted.groupBy("template").agg(F.sum("idf").alias("whole"))
     weighted = stash(weighted.join(whole, "template"))
 
-    rarity = weighted.groupBy("word").agg(F.max("idf").alias("idf"))
-    by_rarity = Window.partitionBy("row").orderBy(F.col("idf").desc(), "word")
-    looked_up = (hit.join(F.broadcast(rarity), "word").withColumn("rank", F.dense_rank().over(by_rarity))
-                 .filter(F.col("rank") <= params.rarest).drop("idf", "rank"))
-    lined_up = (looked_up.join(F.broadcast(weighted), "word")
-                .filter(F.size(F.array_except("keys", "phrases")) == 0)
+    rarest_last = Window.partitionBy("template").orderBy("idf", F.col("word").desc())
+    rare = (weighted.groupBy("template", "label", "whole", "keys", "word").agg(F.sum("idf").alias("idf"))
+            .withColumn("without", F.sum("idf").over(rarest_last))  # the weight of this word and all commoner ones
+            .filter(F.col("without") >= params.share * F.col("whole") - 1e-9)
+            .groupBy("template", "label", "whole", "keys").agg(F.collect_list("word").alias("rare")))
+    nominated = scanned.join(F.broadcast(rare), (F.size(F.array_except("keys", "phrases")) == 0)
+                             & F.arrays_overlap(F.col("hits")["word"], F.col("rare")))
+    lined_up = (nominated.select("row", "label", "template", "whole", F.explode("hits").alias("h"))
+                .select("row", "label", "template", "whole", "h.word", "h.pos")
+                .join(F.broadcast(weighted.select("template", "word", "at", "idf")), ["template", "word"])
                 .groupBy("row", "label", "template", "whole", (F.col("pos") - F.col("at")).alias("shift"))
                 .agg(F.sum("idf").alias("weight"))
                 .withColumn("share", F.least(F.col("weight") / F.col("whole"), F.lit(1.0)))
