@@ -5,14 +5,15 @@ in compounds. Feature log-odds of toxic against clean labelled documents use an
 informative Dirichlet prior, the feature counts of the whole corpus. A token
 scores the largest log-odds among its significant features, all others a small
 negative drift. A linear-time scan finds
-every maximal-scoring segment of a document; extreme-value statistics of the
-clean token scores (lambda, K) turn segment scores into expected counts by
-chance. A logistic model calibrates what the segments add up to.
+every maximal-scoring segment of a document; extreme-value statistics turn
+segment scores into expected counts by chance, lambda from the clean token
+scores and K from the clean documents' best segments. A logistic model
+calibrates the best segment and what the significant ones add up to.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +119,6 @@ def fit(counts: DataFrame, params: ToxicParams, documents: tuple[int, int]) -> T
     key = some["key"].to_numpy().astype(np.int64).view(_U)
     tox, clean, d_t, d_c = (some[c].to_numpy(float) for c in ("toxic", "clean", "toxic_docs", "clean_docs"))
     prior = params.prior * bucket[(key >> _U(64 - BUCKET_BITS)).astype(np.int64)] / max(bucket.sum(), 1)
-    prior = np.maximum(prior, 0.5)
 
     def odds(y: np.ndarray, n: float) -> np.ndarray:
         return np.log((y + prior) / np.maximum(n + params.prior - y - prior, 1e-9))
@@ -180,10 +180,20 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), float(r - l)) for a, b, l, r in out]
 
 
+def estimate_k(best: np.ndarray, n_tokens: np.ndarray, lam: float, otherwise: float) -> float:
+    """K from the best segments of clean documents: their K n exp(-lam best) are exponential
+    with mean 1; those without any segment are known to lie below the smallest one."""
+    some = best > 0
+    if not some.any():
+        return otherwise
+    return float(some.sum() / (np.maximum(n_tokens, 1) * np.exp(-lam * np.where(some, best, best[some].min()))).sum())
+
+
 def passages(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, best, strength, passages): best segment score, -log of the expected number
-    of such segments by chance, and the significant passages as (start, end, score) in bytes."""
-    schema = ("id long, n_tokens long, best double, strength double, "
+    """(id, n_tokens, best, evidence, passages): best segment score; -log of the expected number
+    of such segments by chance, added up over the significant segments (of the best one, where
+    none is); and the significant passages as (start, end, score) in bytes."""
+    schema = ("id long, n_tokens long, best double, evidence double, "
               "passages array<struct<start:int,end:int,score:double>>")
 
     def run(batches):
@@ -193,20 +203,21 @@ def passages(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_co
             s = score_tokens(t, starts, ends, model)
             above = np.zeros(len(s) + 1, dtype=np.int64)
             np.cumsum(s > 0, out=above[1:])
-            best, strength, found = [], [], []
+            best, evidence, found = [], [], []
             for i in range(t.n):
                 lo, hi = first[i], first[i + 1]
                 seg = segments(s[lo:hi]) if above[hi] > above[lo] else []
                 chance = np.log(model.k * max(hi - lo, 1))
                 best.append(max((x for _, _, x in seg), default=0.0))
-                strength.append(model.lam * best[-1] - chance)
+                sure = [(a, b, x) for a, b, x in seg if model.lam * x - chance > -np.log(model.expect)]
+                evidence.append(sum(model.lam * x - chance for _, _, x in sure) if sure else model.lam * best[-1] - chance)
                 found.append([{"start": int(starts[lo + a] - t.offsets[i]), "end": int(ends[lo + b - 1] - t.offsets[i]), "score": x}
-                              for a, b, x in seg if model.lam * x - chance > -np.log(model.expect)])
+                              for a, b, x in sure])
             yield pa.RecordBatch.from_arrays(
                 [rb.column("id"), pa.array(np.diff(first).astype(np.int64)), pa.array(best, pa.float64()),
-                 pa.array(strength, pa.float64()),
+                 pa.array(evidence, pa.float64()),
                  pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))],
-                names=["id", "n_tokens", "best", "strength", "passages"])
+                names=["id", "n_tokens", "best", "evidence", "passages"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -225,6 +236,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return b
 
 
+def calibrate(best: np.ndarray, evidence: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Intercept and weights of log1p(best) and asinh(evidence). More segments never count
+    against toxicity: where the two trade off with opposite signs, the evidence stands alone."""
+    if len(set(y)) < 2:
+        return np.array([-4.0, 0.0, 0.0])
+    b = logistic(np.column_stack([np.log1p(best), np.arcsinh(evidence)]), y)
+    if min(b[1:]) <= 0:
+        alone = logistic(np.arcsinh(evidence)[:, None], y)
+        b = np.array([alone[0], 0.0, alone[1]])
+    return b
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParams | None = None, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """(id_col, score, predicted, n_tokens, passages), one row per row of ``docs``.
@@ -243,14 +266,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParams | None = No
         F.broadcast(sample), F.col("id") == F.col("label_id"), "left")
     toxic = sample.agg(F.sum("toxic"), F.count("*")).first()
     model = fit(stash(feature_counts(told)), params, (toxic[0] or 0, toxic[1] - (toxic[0] or 0)))
+    clean = told.filter("toxic = 0").select("id", "text")
+    fair = passages(clean, model, "id", "text").groupBy("id").agg(F.max("best").alias("best"), F.max("n_tokens").alias("n")).toPandas()
+    model = replace(model, k=estimate_k(fair["best"].to_numpy(float), fair["n"].to_numpy(float), model.lam, model.k))
     seen = stash(passages(docs, model, id_col, text_col))
     known = seen.join(F.broadcast(sample), F.col("id") == F.col("label_id")).groupBy("id", "toxic").agg(
-        F.max("best").alias("best"), F.max("strength").alias("strength")).orderBy("id").toPandas()
-    x = np.column_stack([np.log1p(known["best"].to_numpy(float)), np.clip(known["strength"].to_numpy(float), -20, 20) / 10])
-    y = known["toxic"].to_numpy(float)
-    b = logistic(x, y) if len(set(y)) == 2 else np.array([-4.0, 0.0, 0.0])
-    z = (F.lit(float(b[0])) + F.lit(float(b[1])) * F.log1p("best")
-         + F.lit(float(b[2])) * F.greatest(F.lit(-20.0), F.least(F.lit(20.0), F.col("strength"))) / 10)
+        F.max("best").alias("best"), F.max("evidence").alias("evidence")).orderBy("id").toPandas()
+    b = calibrate(known["best"].to_numpy(float), known["evidence"].to_numpy(float), known["toxic"].to_numpy(float))
+    z = F.lit(float(b[0])) + F.lit(float(b[1])) * F.log1p("best") + F.lit(float(b[2])) * F.asinh("evidence")
     return (seen.withColumn("score", 1 / (1 + F.exp(-z)))
             .select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                     "n_tokens", "passages"))
