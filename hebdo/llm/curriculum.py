@@ -112,23 +112,29 @@ def mix_plan(docs: DataFrame, params: MixParams | None = None, id_col: str = "do
 def mixed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", source_col: str = "source",
           text_col: str = "text") -> DataFrame:
     """``docs`` as the plan shows them: one row per showing, range-sorted by position.
-    A document shown in part keeps its first words, joined by single spaces."""
+
+    Texts are shown whole: the one document on its source's target edge stays if at
+    least half of its words are taken, else that showing goes, so a source misses its
+    target by at most half of one document. Null ids, sources and texts, repeated rows
+    and columns of any name are carried as they are; an empty table gives no rows."""
+    names, plan_id = docs.columns, id_col
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    id_col, source_col, text_col = (f"c{names.index(c)}" for c in (id_col, source_col, text_col))
     text = text_or_empty(text_col)
     name = F.when(F.col(id_col).isNull(), "n").otherwise(F.concat(F.lit("i"), F.col(id_col).cast("string")))
     keyed = (docs.withColumn("_skey", F.when(F.col(source_col).isNull(), "n").otherwise(
                  F.concat(F.lit("s"), F.col(source_col)))).withColumn("_tie", F.xxhash64(text)))
     nth = Window.partitionBy("_id", "_skey", "_tie").orderBy(F.lit(0))
     keyed = keyed.withColumn("_id", name).withColumn("_nth", F.row_number().over(nth))
-    shown = (plan.select(name.alias("_id"), F.col("skey").alias("_skey"), F.col("tie").alias("_tie"),
-                         F.col("size").alias("_size"), F.col("passes").alias("_passes"))
+    named = F.when(F.col(plan_id).isNull(), "n").otherwise(F.concat(F.lit("i"), F.col(plan_id).cast("string")))
+    whole = F.filter("passes", lambda p: 2 * p["words"] >= F.col("size"))
+    shown = (plan.select(named.alias("_id"), F.col("skey").alias("_skey"), F.col("tie").alias("_tie"),
+                         whole.alias("_passes"))
              .withColumn("_nth", F.row_number().over(nth)))
     # rows equal in id, text and source are told apart by a condition that is no join key,
     # so the texts stay where the window put them and are not shuffled once more
     on = F.expr("k._id = p._id and k._skey = p._skey and k._tie = p._tie and k._nth - p._nth = 0")
     out = (keyed.alias("k").join(shown.alias("p"), on)
-           .select("k.*", "p._size", F.explode("p._passes").alias("_pass")))
-    words = F.split(F.trim(F.regexp_replace(F.col(text_col), r"[\x20\x09-\x0D]+", " ")), " ")
-    cut = F.array_join(F.slice(words, 1, F.col("_pass.words").cast("int")), " ")
-    part = F.when(F.col("_pass.words") < F.col("_size"), cut).otherwise(F.col(text_col))
-    return (out.withColumn(text_col, part).repartitionByRange(F.col("_pass.position"), F.col(id_col))
-            .sortWithinPartitions("_pass.position", id_col).select(*docs.columns))
+           .select("k.*", F.explode("p._passes.position").alias("_position")))
+    return (out.repartitionByRange("_position", id_col).sortWithinPartitions("_position", id_col)
+            .select(*(F.col(c).alias(n) for c, n in zip(docs.columns, names))))

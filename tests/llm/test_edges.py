@@ -48,7 +48,8 @@ def test_values_of_odd_rows(spark):
     assert (mixed.taken <= 2 * mixed["size"]).all() and mixed.taken.sum() > 0
     out = curriculum.mixed(docs, curriculum.mix_plan(docs)).toPandas()
     assert list(out.columns) == docs.columns
-    assert out.text.str.split().str.len().sum() == mixed.taken.sum()
+    assert abs(out.text.str.split().str.len().sum() - mixed.taken.sum()) <= mixed["size"].max() / 2
+    assert set(out.text.dropna()) <= {r[1] for r in ROWS}  # whole texts, white space as it was
 
 
 def test_stages_on_odd_rows(spark, docs, tmp_path):
