@@ -8,7 +8,6 @@ series advance together. Closed-form models (SES, AR(1)) need no loop.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from hebdo.functions.columns import (
     weighted_recent_average,
 )
 from hebdo.functions.frames import attach
+from hebdo.operators.boosting import BoostedTrees
 from hebdo.operators.features import (
     CUSTOMER_FEATURES, EMA_SPANS, FEATURES, INVOICE_FEATURES, PAYMENT_FEATURES, TARGET,
 )
@@ -121,7 +121,7 @@ def next_week_features(state: DataFrame, keys: list[str] | None = None) -> DataF
 
 
 # ------------------------------------------------------------------ recursive loop
-def recursive_forecast(model: PipelineModel, state: DataFrame, keys: list[str] | None,
+def recursive_forecast(model: BoostedTrees, state: DataFrame, keys: list[str] | None,
                        horizon: int, checkpoint_every: int = 8) -> DataFrame:
     """H8: features -> predict -> append, ``horizon`` times, all series at
     once. Step outputs accumulate in an array column of the state, so only
@@ -207,7 +207,7 @@ def forecast_summary(forecast: DataFrame, keys: list[str] | None = None,
         F.max_by("upper_bound", "week").alias("final_upper"))
 
 
-def run_forecast(ready: DataFrame, model: PipelineModel, residuals: DataFrame,
+def run_forecast(ready: DataFrame, model: BoostedTrees, residuals: DataFrame,
                  keys: list[str] | None = None, forecast_type: str = "weeks",
                  weeks: int = 26, months_ahead: int | None = None,
                  month: int | None = None, year: int | None = None) -> DataFrame:

@@ -1,23 +1,19 @@
-"""Pooled boosted-tree regressor (T1, T2, T7-T9) on Spark ML.
+"""Pooled boosted-tree regressor (T1, T2, T7-T9, J5) over the feature rows of every series.
 
-One ``GBTRegressor`` is trained on the feature rows of every series at once
-(distributed tree induction), so the number of series does not multiply the
-number of fits. Tuning is a seeded random search over forward-only folds;
-fits of one draw run as concurrent Spark jobs from a small driver thread
-pool over the cached fold table.
+One forest is trained on all series at once, so the number of series does not
+multiply the number of fits. Tuning draws, folds and walk-forward origins are
+fits over one table of expanding splits, dealt over the tasks (see
+``hebdo.operators.boosting``).
 """
 
 from __future__ import annotations
 
 import random
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hebdo.operators.boosting import BoostedTrees, BoostParams, Fit, fit_one, run_fits
 from hebdo.operators.features import FEATURES, TARGET
 from hebdo.operators.folds import expanding_folds, holdout_split, walk_forward_origins
 
@@ -45,44 +41,24 @@ SPACE_UNIFORM = {
 SEED = 42
 
 
-def gbt_estimator(params: dict, features_col: str = "features",
-                  label_col: str = TARGET) -> GBTRegressor:
-    """Map booster parameters onto Spark's GBTRegressor. reg_alpha and
-    reg_lambda have no Spark counterpart; min_child_weight becomes the
-    minimum rows per node (unit hessian under squared error)."""
-    p = {**TUNED_PARAMS, **params}
-    return GBTRegressor(
-        featuresCol=features_col, labelCol=label_col, predictionCol="predicted",
-        maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
-        stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-        minInstancesPerNode=int(p["min_child_weight"]), minInfoGain=float(p["gamma"]),
-        featureSubsetStrategy=str(float(p["colsample_bytree"])), lossType="squared",
-        seed=SEED)
+def fit(train: DataFrame, params: dict | None = None, keys: list[str] | None = None) -> BoostedTrees:
+    """Fit the pooled model; ``keys`` and ``week`` identify a row."""
+    return fit_one(train, {**TUNED_PARAMS, **(params or {})}, FEATURES, TARGET, [*(keys or []), "week"])
 
 
-def pipeline(params: dict, features: list[str] = FEATURES) -> Pipeline:
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[asm, gbt_estimator(params)])
-
-
-def fit(train: DataFrame, params: dict | None = None) -> PipelineModel:
-    """Fit the pooled model."""
-    return pipeline(params or {}).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame, keys: list[str]) -> DataFrame:
+def predict(model: BoostedTrees, df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, week, actual, predicted) for any feature rows."""
     return (model.transform(df)
             .select(*keys, "week", F.col(TARGET).alias("actual"), "predicted"))
 
 
 def holdout(ready: DataFrame, keys: list[str] | None = None, params: dict | None = None,
-            h: int = 12):
+            h: int = 12) -> tuple[BoostedTrees, DataFrame]:
     """Train on all but the last ``h`` weeks of every series; return the
     model and its predictions for every row with ``role``."""
     keys = list(keys or [])
     split = holdout_split(ready, keys, h).persist()
-    model = fit(split.where("role = 'train'"), params)
+    model = fit(split.where("role = 'train'"), params, keys)
     pred = model.transform(split).select(*keys, "week", "role",
                                          F.col(TARGET).alias("actual"), "predicted")
     return model, pred
@@ -99,57 +75,57 @@ def sample_params(n_iter: int, seed: int = SEED) -> list[dict]:
     return out
 
 
-def _fold_table(ready_train: DataFrame, keys: list[str], n_splits: int) -> DataFrame:
-    folds = expanding_folds(ready_train, keys, n_splits)
-    return ready_train.join(folds, keys + ["week"]).persist()
-
-
-def _fold_mape(table: DataFrame, params: dict, fold: int) -> float:
-    from hebdo.operators.evaluate import EPS
-    part = table.where(F.col("fold") == fold)
-    m = fit(part.where("role = 'train'"), params)
-    p = m.transform(part.where("role = 'test'"))
-    e = F.abs(F.col(TARGET) - F.col("predicted")) / F.greatest(F.abs(TARGET), F.lit(EPS))
-    return p.agg(F.avg(e) * 100).first()[0]
-
-
 def tune(ready: DataFrame, keys: list[str] | None = None, n_iter: int = 100, h: int = 12,
-         n_splits: int = 5, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+         n_splits: int = 5, seed: int = SEED) -> DataFrame:
     """Random search; returns the leaderboard (draw, cv_mape, params...)
-    sorted by cv_mape. Every draw is fitted with the settings its row lists;
-    ``n_iter`` is the only budget. The holdout weeks are excluded from tuning."""
+    sorted by cv_mape, the mean over folds of the mean absolute percentage
+    error. Every draw is fitted with the settings its row lists; ``n_iter``
+    is the only budget. The holdout weeks are excluded from tuning."""
+    from hebdo.operators.evaluate import EPS
     keys = list(keys or [])
     train = holdout_split(ready, keys, h).where("role = 'train'").drop("role")
-    table = _fold_table(train, keys, n_splits)
+    folds = expanding_folds(train, keys, n_splits).groupBy(*keys, "week").agg(
+        F.min(F.when(F.col("role") == "train", F.col("fold"))).cast("int").alias("train_from"),
+        F.min(F.when(F.col("role") == "test", F.col("fold"))).cast("int").alias("test_at"))
+    rows = train.join(folds, keys + ["week"]).persist()
     draws = sample_params(n_iter, seed)
-    tasks = [(i, f) for i in range(len(draws)) for f in range(n_splits)]
-    # every (draw, fold) fit is an independent Spark job; run several at once
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(
-            lambda t: _fold_mape(table, draws[t[0]], t[1]), tasks))
-    table.unpersist()
-    rows = []
-    for i, params in enumerate(draws):
-        mine = scores[i * n_splits:(i + 1) * n_splits]
-        rows.append({"draw": i, "cv_mape": float(sum(mine) / len(mine)),
-                     **{k: float(v) for k, v in params.items()}})
-    spark = ready.sparkSession
-    return spark.createDataFrame(rows).orderBy("cv_mape")
-
-
-def feature_importance(model: PipelineModel, top: int = 20,
-                       features: list[str] = FEATURES) -> DataFrame:
-    """The fitted model's importances, top ``top`` features (38 numbers
-    of model metadata, turned into a small DataFrame)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    session = SparkSession.getActiveSession()
-    df = session.createDataFrame(list(zip(features, imp)), "feature string, importance double")
-    return df.orderBy(F.desc("importance"), "feature").limit(top)
-
-
-def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str],
+    fits = [Fit(i, f, BoostParams.of(d)) for i, d in enumerate(draws) for f in range(n_splits)]
+    scored = run_fits(rows, fits, FEATURES, TARGET, [*keys, "week"])
+    error = F.abs(F.col("actual") - F.col("predicted")) / F.greatest(F.abs("actual"), F.lit(EPS))
+    board = (scored.groupBy("draw", "split").agg((F.avg(error) * 100).alias("mape"))
+             .groupBy("draw").agg(F.avg("mape").alias("cv_mape")))
+    listed = ready.sparkSession.createDataFrame(
+        [{"draw": i, **{k: float(v) for k, v in d.items()}} for i, d in enumerate(draws)])
+    return board.join(listed, "draw").orderBy("cv_mape", "draw")
+
+
+def best_params(board: DataFrame) -> dict:
+    """The settings of the best draw of a leaderboard."""
+    best = board.orderBy("cv_mape", "draw").first()
+    return {k: (int(best[k]) if k in SPACE_INT else float(best[k])) for k in [*SPACE_INT, *SPACE_UNIFORM]}
+
+
+def feature_importance(spark: SparkSession, model: BoostedTrees, top: int = 20) -> DataFrame:
+    """Mean gain of a feature's splits, as a share of all features' mean
+    gains; the ``top`` features. Features without a split have 0."""
+    gains = (model.nodes(spark).where("feature is not null").groupBy("feature")
+             .agg(F.avg("gain").alias("gain")))
+    names = spark.createDataFrame([(f,) for f in model.features], "feature string")
+    gain = F.coalesce("gain", F.lit(0.0))
+    share = gain / F.greatest(F.sum(gain).over(Window.partitionBy()), F.lit(1e-300))
+    return (names.join(gains, "feature", "left").select("feature", share.alias("importance"))
+            .orderBy(F.desc("importance"), "feature").limit(top))
+
+
+def attributions(model: BoostedTrees, rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, week, feature, attribution, base), exact Shapley values of
+    every prediction; a row's attributions add up to prediction - base."""
+    return model.attributions(rows, [*(keys or []), "week"])
+
+
+def permutation_importance(model: BoostedTrees, test: DataFrame, keys: list[str],
                            features: list[str] = FEATURES, seed: int = SEED) -> DataFrame:
-    """Increase in MAE when one feature's values are permuted among the
+    """T9, by permutation: increase in MAE when one feature's values are permuted among the
     weeks of the same series; ``features`` are the ones to permute, the
     model always sees all 38.
 
@@ -182,25 +158,19 @@ def permutation_importance(model: PipelineModel, test: DataFrame, keys: list[str
 def walk_forward(ready: DataFrame, keys: list[str] | None = None, params: dict | None = None,
                  initial: int = 104, refit_every: int = 1) -> DataFrame:
     """J5 for the pooled trees: origins are each series' weeks at position >=
-    ``initial`` (P4); the model is refitted on all rows
-    before an origin every ``refit_every`` weeks (1 = the reference's
-    refit-per-origin) and predicts the following weeks one step ahead from
-    their actual features. The driver loops over refit points only (a list of
-    a few hundred dates); every fit and prediction is a Spark job."""
+    ``initial`` (P4); the model is refitted on all rows before an origin every
+    ``refit_every`` weeks (1 = refit at each origin) and predicts the following
+    weeks one step ahead from their actual features. The driver only sees the
+    list of origin weeks (a few hundred dates); all fits are one Spark job."""
     keys = list(keys or [])
-    due = walk_forward_origins(ready, keys, initial).select(*keys, "week")
-    rows = ready.join(due, [*keys, "week"], "left_semi")
+    due = walk_forward_origins(ready, keys, initial).select(*keys, "week", F.lit(True).alias("_due"))
     origins = [r.week for r in due.select("week").distinct().orderBy("week").collect()]
-    out = None
-    for i in range(0, len(origins), refit_every):
-        start = origins[i]
-        stop = origins[i + refit_every] if i + refit_every < len(origins) else None
-        model = fit(ready.where(F.col("week") < F.lit(start)), params)
-        block = rows.where(F.col("week") >= F.lit(start))
-        if stop is not None:
-            block = block.where(F.col("week") < F.lit(stop))
-        pred = predict(model, block, keys)
-        out = pred if out is None else out.unionByName(pred)
-    if out is None:  # no series is long enough to have an origin
-        out = rows.select(*keys, "week", F.col(TARGET).alias("actual"), F.lit(0.0).alias("predicted"))
-    return out
+    starts = origins[::refit_every]
+    passed = F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= F.col("week"))) if starts else F.lit(0)
+    rows = ready.join(due, [*keys, "week"], "left").withColumns({
+        "train_from": passed, "test_at": F.when(F.col("_due"), passed - 1)}).drop("_due").persist()
+    settings = BoostParams.of({**TUNED_PARAMS, **(params or {})})
+    fits = [Fit(0, i, settings) for i in range(len(starts))]
+    if not fits:  # no series is long enough to have an origin
+        return ready.limit(0).select(*keys, "week", F.col(TARGET).alias("actual"), F.lit(0.0).alias("predicted"))
+    return run_fits(rows, fits, FEATURES, TARGET, [*keys, "week"]).select(*keys, "week", "actual", "predicted")

@@ -2,7 +2,8 @@
 
 E1 ``weekly_metrics_job``: ledger -> validated weekly metrics table.
 E2 ``training_job``: weekly metrics -> model-ready table -> pooled trees
-   (holdout) -> predictions, residuals, health summary, model, parameters.
+   (holdout) -> predictions, residuals, health summary, model, parameters;
+   ``tuning_job`` before it finds the parameters that it reads.
 E3 ``forecast_job``: model-ready table + model + residuals -> forecast
    table (+ CSV export), weeks or months ahead.
 
@@ -42,6 +43,24 @@ def weekly_metrics_job(invoices: DataFrame, payments: DataFrame, customers: Data
     return written
 
 
+def _tuned(spark: SparkSession, out_dir: str) -> dict:
+    return files.read_params(spark, f"{out_dir}/tuned", tr.TUNED_PARAMS)
+
+
+def tuning_job(spark: SparkSession, out_dir: str, keys: list[str] | None = None, n_iter: int = 100,
+               h: int = 12, n_splits: int = 5) -> dict:
+    """Random search over the model-ready table (T2): writes the leaderboard
+    and the best draw's parameters (W7), which training and the walk-forward
+    then read (R6). Returns them."""
+    keys = list(keys or [])
+    configure(spark)
+    ready = fe.model_ready(files.read_weekly(spark, f"{out_dir}/weekly", keys=keys), keys)
+    tr.tune(ready, keys, n_iter, h, n_splits).write.mode("overwrite").parquet(f"{out_dir}/leaderboard")
+    best = tr.best_params(spark.read.parquet(f"{out_dir}/leaderboard"))
+    sinks.write_params(spark, best, f"{out_dir}/tuned")
+    return best
+
+
 def training_job(spark: SparkSession, out_dir: str, keys: list[str] | None = None,
                  params: dict | None = None, h: int = 12) -> DataFrame:
     """Features (W2), pooled-tree holdout fit, predictions with
@@ -55,7 +74,7 @@ def training_job(spark: SparkSession, out_dir: str, keys: list[str] | None = Non
     ck.require(ck.check_features(ready, keys))
     sinks.write_features(ready, f"{out_dir}/model_ready", keys)
     ready = files.read_features(spark, f"{out_dir}/model_ready", keys)
-    params = {**tr.TUNED_PARAMS, **(params or {})}
+    params = {**_tuned(spark, out_dir), **(params or {})}
     model, pred = tr.holdout(ready, keys, params, h)
     test = pred.where("role = 'test'").drop("role")
     q = ev.conformal_quantile(ev.with_errors(test), keys)
@@ -65,7 +84,7 @@ def training_job(spark: SparkSession, out_dir: str, keys: list[str] | None = Non
                           f"{out_dir}/residuals", "trees", "holdout", run_id)
     health = ev.health_summary(test, q, keys)
     sinks.write_summary(health, f"{out_dir}/health", "holdout")
-    sinks.save_model(model, f"{out_dir}/model")
+    sinks.save_model(spark, model, f"{out_dir}/model")
     sinks.write_params(spark, params, f"{out_dir}/params")
     return files.read_health(spark, f"{out_dir}/health", keys)
 
@@ -78,7 +97,7 @@ def walk_forward_job(spark: SparkSession, out_dir: str, keys: list[str] | None =
     configure(spark)
     run_id = uuid.uuid4().hex
     ready = files.read_features(spark, f"{out_dir}/model_ready", keys)
-    pred = tr.walk_forward(ready, keys, {**tr.TUNED_PARAMS, **(params or {})}, initial, refit_every)
+    pred = tr.walk_forward(ready, keys, {**_tuned(spark, out_dir), **(params or {})}, initial, refit_every)
     sinks.write_predictions(pred, f"{out_dir}/walk_forward", "trees", "walk_forward", run_id)
     pred = spark.read.parquet(f"{out_dir}/walk_forward").where(F.col("run_id") == run_id)
     errors = ev.with_errors(pred)
@@ -100,7 +119,7 @@ def forecast_job(spark: SparkSession, out_dir: str, keys: list[str] | None = Non
     keys = list(keys or [])
     configure(spark)
     ready = files.read_features(spark, f"{out_dir}/model_ready", keys)
-    model = files.load_model(f"{out_dir}/model")
+    model = files.load_model(spark, f"{out_dir}/model")
     residuals = files.latest_run(files.read_residuals(spark, f"{out_dir}/residuals", keys)
                                  .where(F.col("model") == "trees"))
     out = fc.run_forecast(ready, model, residuals, keys, forecast_type, weeks, months_ahead, month, year)

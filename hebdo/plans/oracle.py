@@ -9,6 +9,8 @@ differs are rounded half-up on both sides.
 
 from __future__ import annotations
 
+from hebdo.operators.unit_root import NORMAL_LOW, NORMAL_TOP, TAU_LARGE, TAU_MAX, TAU_MIN, TAU_SMALL, TAU_STAR
+
 ORACLE: dict[str, str] = {}
 
 
@@ -781,6 +783,80 @@ FROM (SELECT *, CASE WHEN vt - gamma * c1 - delta * c2 > {_NOISE} * vt
               FROM ready WINDOW w AS (PARTITION BY segment ORDER BY week))
             WINDOW w AS (PARTITION BY segment ORDER BY week))
       WHERE dy IS NOT NULL AND ylag IS NOT NULL AND dlag IS NOT NULL GROUP BY segment))))"""))
+
+def _horner(z: str, highest_first) -> str:
+    out = dbl(highest_first[0])
+    for c in highest_first[1:]:
+        out = f"({out} * {z} + {dbl(c)})"
+    return out
+
+
+def _normal_cdf(z: str) -> str:
+    a = f"abs({z})"
+    tail = f"exp(-{a} * {a} / 2)"
+    deep = f"{a} + 0.65"
+    for k in (4.0, 3.0, 2.0, 1.0):
+        deep = f"{a} + {dbl(k)} / ({deep})"
+    upper = (f"(CASE WHEN {a} < {dbl(7.07106781186547)} THEN {tail} * {_horner(a, NORMAL_TOP)} / {_horner(a, NORMAL_LOW)} "
+             f"ELSE {tail} / ({dbl(2.506628274631)} * ({deep})) END)")
+    return f"(CASE WHEN {z} > 0 THEN 1 - {upper} ELSE {upper} END)"
+
+
+def _adf_moments(name: str, lags: str) -> str:
+    """CTEs: covariance matrices times n, with the lag counts k of the table ``lags``, then
+    swept one regressor at a time (step = regressors swept)."""
+    pivot = "m[step + 1][step + 1]"
+    return f"""
+{name}_x AS (
+  SELECT b.segment, b.week, 0 AS i, b.ylag AS x FROM base b
+  UNION ALL SELECT b.segment, b.week, g.i, p.dy FROM base b JOIN {lags} USING (segment)
+            JOIN range(1, 200) g(i) ON g.i <= k JOIN base p ON p.segment = b.segment AND p.week = b.week - CAST(7 * g.i AS INTEGER)
+  UNION ALL SELECT b.segment, b.week, k + 1, b.dy FROM base b JOIN {lags} USING (segment)),
+{name}_v AS (
+  SELECT x.* FROM {name}_x x JOIN {lags} USING (segment)
+  WHERE true QUALIFY count(*) OVER (PARTITION BY segment, week) = k + 2),
+{name}_c AS (
+  SELECT a.segment, a.i, b.i AS j, covar_pop(a.x, b.x) * count(*) AS c, count(*) AS n
+  FROM {name}_v a JOIN {name}_v b USING (segment, week) GROUP BY ALL),
+{name}_m AS (
+  SELECT segment, n, list(r ORDER BY i) AS m
+  FROM (SELECT segment, i, n, list(c ORDER BY j) AS r FROM {name}_c GROUP BY ALL) GROUP BY segment, n),
+{name}_s AS (
+  SELECT segment, n, k, 0 AS step, m, m AS start FROM {name}_m JOIN {lags} USING (segment)
+  UNION ALL
+  SELECT segment, n, k, step + 1, CASE WHEN {pivot} > {_NOISE} * start[step + 1][step + 1] THEN
+    list_transform(m, lambda r, i: list_transform(r, lambda v, j:
+      CASE WHEN i = step + 1 AND j = step + 1 THEN 1 / {pivot} WHEN i = step + 1 THEN v / {pivot}
+           WHEN j = step + 1 THEN -v / {pivot} ELSE v - r[step + 1] * m[step + 1][j] / {pivot} END)) ELSE m END, start
+  FROM {name}_s WHERE step <= k)"""
+
+
+_ADF_T = "CASE WHEN n > k + 2 AND rss > {noise} * tss AND inv > 0 THEN gamma / sqrt(rss / (n - k - 2) * inv) END".format(noise=_NOISE)
+register("adf_auto", _model(f"""
+SELECT * FROM (WITH RECURSIVE base AS (
+  SELECT * FROM (
+    SELECT segment, week, weekly_revenue - {_calendar_lag('weekly_revenue', 1)} AS dy, {_calendar_lag('weekly_revenue', 1)} AS ylag
+    FROM ready WINDOW w AS (PARTITION BY segment ORDER BY week)) WHERE dy IS NOT NULL),
+most AS (
+  SELECT segment, CAST(greatest(least(ceil(12.0 * pow(count(*) / 100.0, 0.25)), floor(count(*) / 2.0) - 2), 0) AS INTEGER) AS k
+  FROM ready GROUP BY segment),
+{_adf_moments("first", "most")},
+scored AS (
+  SELECT segment, n, step - 1 AS lags, n * ln(greatest(m[k + 2][k + 2], {_NOISE} * start[k + 2][k + 2], {dbl(1e-300)}) / n) + 2 * (step + 1) AS aic
+  FROM first_s WHERE step >= 1),
+chosen AS (
+  SELECT segment, CAST(arg_min(lags, (aic, lags)) AS INTEGER) AS k FROM scored WHERE lags = 0 OR n > lags + 2 GROUP BY segment),
+{_adf_moments("again", "chosen")},
+done AS (
+  SELECT segment, n, k, CASE WHEN n > k + 2 THEN m[1][k + 2] END AS gamma, m[k + 2][k + 2] AS rss, m[1][1] AS inv,
+         start[k + 2][k + 2] AS tss
+  FROM again_s WHERE step = k + 1),
+tested AS (SELECT *, {_ADF_T} AS t FROM done),
+judged AS (
+  SELECT *, CASE WHEN t > {dbl(TAU_MAX)} THEN 1.0 WHEN t < {dbl(TAU_MIN)} THEN 0.0 WHEN t IS NOT NULL THEN {_normal_cdf('z')} END AS p
+  FROM (SELECT *, CASE WHEN t <= {dbl(TAU_STAR)} THEN {_horner('t', TAU_SMALL[::-1])} ELSE {_horner('t', TAU_LARGE[::-1])} END AS z FROM tested))
+SELECT segment, CAST(k AS BIGINT) AS lags, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
+       {rnd('p', 6)} AS p_value, p < 0.05 AS stationary FROM judged)"""))
 register("df_test", _model(f"""
 SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
        {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hebdo.functions.columns import round_half_up as rnd
 from hebdo.functions.columns import round_significant
+from hebdo.operators import arima as ai
 from hebdo.operators import checks as ck
 from hebdo.operators import evaluate as ev
 from hebdo.operators import features as fe
@@ -21,6 +22,7 @@ from hebdo.operators import ledger as lg
 from hebdo.operators import linear as li
 from hebdo.operators import report as rp
 from hebdo.operators import trees as tr
+from hebdo.operators import unit_root as ur
 from hebdo.operators import weekly as wk
 from hebdo.session import configure
 from hebdo.sources import tpch
@@ -375,6 +377,13 @@ def adf_test(spark, sf_dir):
     return out.withColumns({"gamma": rnd("gamma", 9), "t_stat": rnd("t_stat", 6)})
 
 
+@query
+def adf_auto(spark, sf_dir):
+    """T4: lag count by AIC, p-value from the response surface"""
+    out = ur.adf_auto(ready_table(spark, sf_dir), KEYS)
+    return out.withColumns({"gamma": rnd("gamma", 9), "t_stat": rnd("t_stat", 6), "p_value": rnd("p_value", 6)})
+
+
 @query
 def ar_order_selection(spark, sf_dir):
     fit = li.ar_order_selection(ready_table(spark, sf_dir), KEYS)
@@ -398,6 +407,24 @@ def forecast_ar(spark, sf_dir):
     return _money(fc.with_confidence(path, q, KEYS), _BOUNDS)
 
 
+@query
+def arima_order(spark, sf_dir):
+    """rows only: T3 orders by stepwise search, coefficients and variance"""
+    return ai.arima_fit(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def arima_holdout(spark, sf_dir):
+    """rows only: T3, 12 weeks forecast by the ARIMA of the weeks before"""
+    return ai.arima_holdout(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def forecast_arima(spark, sf_dir):
+    """rows only: T3 / H9, 26 weeks by the ARIMA of the whole history"""
+    return ai.arima_forecast(ai.arima_fit(ready_table(spark, sf_dir), KEYS), KEYS, HORIZON)
+
+
 @query
 def fourier_trend(spark, sf_dir):
     """rows only: ridge trend + yearly Fourier terms"""
@@ -524,13 +551,7 @@ def kpi_row(spark, sf_dir):
 
 # ---------------------------------------------------------------- trees (rows-only checks)
 
-# Run-time budget of the registered tree queries: Spark's GBT pays a fixed
-# job cost per boosting round, so the registered queries use 50 rounds with
-# the learning rate scaled to keep rounds x rate of the tuned parameters.
-TREE_ROUNDS = 50
-TREE_PARAMS = {**tr.TUNED_PARAMS, "n_estimators": TREE_ROUNDS,
-               "learning_rate": tr.TUNED_PARAMS["learning_rate"]
-               * tr.TUNED_PARAMS["n_estimators"] / TREE_ROUNDS}
+TUNING_DRAWS = 20
 _MODELS: dict = {}
 
 
@@ -538,7 +559,7 @@ def _tree(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         ready = ready_table(spark, sf_dir).persist()
-        _MODELS[key] = (ready,) + tr.holdout(ready, KEYS, TREE_PARAMS)
+        _MODELS[key] = (ready,) + tr.holdout(ready, KEYS)
     return _MODELS[key]
 
 
@@ -565,8 +586,15 @@ def forecast_trees(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    """rows only: top-20 split importances of the pooled trees"""
-    return tr.feature_importance(_tree(spark, sf_dir)[1])
+    """rows only: top-20 split gains of the pooled trees"""
+    return tr.feature_importance(spark, _tree(spark, sf_dir)[1])
+
+
+@query
+def tree_attributions(spark, sf_dir):
+    """rows only: exact Shapley values of the pooled trees' holdout predictions"""
+    ready, model, _ = _tree(spark, sf_dir)
+    return tr.attributions(model, fo.holdout_split(ready, KEYS).where("role = 'test'"), KEYS)
 
 
 @query
@@ -579,15 +607,14 @@ def permutation_importance(spark, sf_dir):
 
 @query
 def tuning_leaderboard(spark, sf_dir):
-    """rows only: random search over five forward-only folds; two draws, run as listed"""
-    return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=2)
+    """rows only: random search, 20 draws over five forward-only folds, run as listed"""
+    return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=TUNING_DRAWS)
 
 
 @query
 def tree_walk_forward(spark, sf_dir):
-    """rows only: pooled trees refitted every 52 origins from week 104"""
-    ready = _tree(spark, sf_dir)[0]
-    return tr.walk_forward(ready, KEYS, TREE_PARAMS, initial=104, refit_every=52)
+    """rows only: pooled trees refitted at every origin from week 104"""
+    return tr.walk_forward(ready_table(spark, sf_dir), KEYS, initial=104)
 
 
 # ---------------------------------------------------------------- single global series (keys=[])

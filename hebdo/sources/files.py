@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hebdo.operators.boosting import BoostedTrees
 from hebdo.sources import schemas as S
 
 
@@ -52,9 +52,15 @@ def read_features(spark, path, keys: list[str] | None = None, fmt="parquet"):
     return _read(spark, path, schema, fmt)
 
 
-def read_params(spark, path) -> dict:
-    """Tuned parameters (one JSON record) as a plain dict."""
-    row = _read(spark, path, S.PARAMS, "json").first()
+def read_params(spark, path, default: dict | None = None) -> dict:
+    """Tuned parameters (one JSON record) as a plain dict; ``default``, if
+    given, where nothing was written."""
+    try:
+        row = _read(spark, path, S.PARAMS, "json").first()
+    except AnalysisException as e:
+        if default is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return dict(default)
     return {k: v for k, v in row.asDict().items() if v is not None}
 
 
@@ -95,6 +101,6 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.join(last, ["model", "run_id"], "left_semi")
 
 
-def load_model(path: str) -> PipelineModel:
-    """A saved Spark ML pipeline; a missing path raises."""
-    return PipelineModel.load(path)
+def load_model(spark, path: str) -> BoostedTrees:
+    """A forest from its node table; a missing path raises."""
+    return BoostedTrees.load(spark, path)

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hebdo.operators.boosting import BoostedTrees
+
 
 def _sorted(df: DataFrame, keys: list[str], order: str = "week") -> DataFrame:
     return df.orderBy(*keys, order)
@@ -59,9 +60,9 @@ def write_params(spark, params: dict, path: str) -> None:
     spark.createDataFrame([clean]).coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """W8."""
-    model.write().overwrite().save(path)
+def save_model(spark, model: BoostedTrees, path: str) -> None:
+    """The forest as a table of nodes."""
+    model.save(spark, path)
 
 
 def write_forecast(forecast: DataFrame, path: str, keys: list[str] | None = None) -> None:

@@ -61,6 +61,19 @@ def test_forecast_uses_the_newest_walk_forward_run(spark):
         assert abs((r.upper_bound - r.lower_bound) / 2 - want[r.segment]) < 1e-6 * want[r.segment] or r.lower_bound == 0
 
 
+def test_training_reads_what_tuning_wrote(spark):
+    from hebdo.operators import trees as tr
+    from hebdo.sources import files
+    out = tempfile.mkdtemp(prefix="hebdo-jobs-")
+    jobs.weekly_metrics_job(tpch.invoices(spark, SF_SMALL, KEYS), _payments(spark),
+                            tpch.customers(spark, SF_SMALL, KEYS), out, KEYS)
+    best = jobs.tuning_job(spark, out, KEYS, n_iter=2, n_splits=2)
+    assert best in tr.sample_params(2, tr.SEED) and files.read_params(spark, f"{out}/tuned") == best
+    jobs.training_job(spark, out, KEYS, {"n_estimators": 4})
+    assert files.read_params(spark, f"{out}/params") == {**best, "n_estimators": 4}
+    assert files.load_model(spark, f"{out}/model").forest.feature.shape[0] == 4
+
+
 def test_forecast_to_a_given_month(spark):
     out = tempfile.mkdtemp(prefix="hebdo-jobs-")
     jobs.weekly_metrics_job(tpch.invoices(spark, SF_SMALL, KEYS), _payments(spark),

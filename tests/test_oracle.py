@@ -9,8 +9,6 @@ from hebdo.plans.verify import compare, duck
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
-SLOW = {"tuning_leaderboard", "permutation_importance", "forecast_trees", "feature_importance",
-        "tree_holdout", "tree_metrics"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +26,7 @@ def test_matches_duckdb(spark, con, name):
     assert "type_mismatch" not in r, r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() > 0
 
