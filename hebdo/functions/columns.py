@@ -81,24 +81,19 @@ def ema_alpha(span: int) -> float:
     return 2.0 / (span + 1)
 
 
+def ema_step(before: Column, x: Column, span: int) -> Column:
+    """One step of the exponential average."""
+    a = ema_alpha(span)
+    return before * F.lit(1.0 - a) + x * F.lit(a)
+
+
 def ema_of_array(arr: Column, span: int) -> Column:
     """Exponential average with adjust=False over an array, seeded with the
     first element: e1 = x1, e_t = e_{t-1}*(1-a) + x_t*a. NULL for []."""
-    a = ema_alpha(span)
-    keep = 1.0 - a
-    folded = F.aggregate(
-        F.slice(arr, 2, F.size(arr) - 1),
-        F.element_at(arr, 1),
-        lambda acc, x: acc * F.lit(keep) + x * F.lit(a),
-    )
+    folded = F.aggregate(F.slice(arr, 2, F.size(arr) - 1), F.element_at(arr, 1), lambda acc, x: ema_step(acc, x, span))
     return F.when(F.size(arr) > 0, folded)
 
 
-def history_before(c: str, w: WindowSpec) -> Column:
-    """All earlier values of ``c`` in the series, oldest first."""
-    return F.collect_list(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
-
-
 def weighted_recent_average(arr: Column, window: int = 8) -> Column:
     """Linearly weighted mean of the last ``window`` elements (weights 1..n,
     newest heaviest); 0.0 for an empty array (H4)."""

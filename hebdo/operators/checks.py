@@ -50,13 +50,16 @@ def row_checks(df: DataFrame, non_negative=(), not_null=(), finite=None,
 
 
 def check_table(df: DataFrame, unique: list[str] | None = None, **kw) -> DataFrame:
-    """All row-level checks of one table in one pass, plus uniqueness."""
-    out = _stack(df, row_checks(df, **kw))
-    if unique:
-        dup = duplicate_count(df, unique).select(
-            F.lit("unique:" + ",".join(unique)).alias("rule"), "violations")
-        out = out.unionByName(dup)
-    return out
+    """All row-level checks of one table, plus uniqueness, in one scan: the rows of
+    an id are counted and checked first, then the ids are added up."""
+    checks = row_checks(df, **kw)
+    if not unique:
+        return _stack(df, checks)
+    rules = [r for r in checks if r != "non_empty"]
+    by_id = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"), *[checks[r].alias(f"_c{i}") for i, r in enumerate(rules)])
+    total = {r: F.coalesce(F.sum(f"_c{i}"), F.lit(0)) for i, r in enumerate(rules)}
+    return _stack(by_id, {"non_empty": F.count(F.lit(1)) == 0, **total,
+                          "unique:" + ",".join(unique): F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))})
 
 
 def check_ledger(invoices: DataFrame, payments: DataFrame, customers: DataFrame,

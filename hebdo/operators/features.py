@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.functions.columns import (
-    ema_of_array, history_before, isoweek_angle, mean_of, month_angle,
-    safe_div, sample_std_of, series_window,
+    ema_step, isoweek_angle, mean_of, month_angle, safe_div, sample_std_of, series_window,
 )
 
 TARGET = "weekly_revenue"
@@ -59,7 +58,6 @@ LAGS = {
     "average_payment": (1,),
     "payment_count": (1,),
 }
-HIST = "_hist"
 
 
 def L(c: str, k: int) -> Column:
@@ -71,11 +69,33 @@ def lag_list(c: str, k: int) -> list[Column]:
     return [L(c, i) for i in range(1, k + 1)]
 
 
+def with_averages(weekly: DataFrame, keys: list[str], y: str = TARGET) -> DataFrame:
+    """Add ``_ema_*``: the exponential averages of the weeks before, by one fold over
+    each series that notes the averages as it passes a week. The series is laid out
+    again on its keys, so the lags' window needs no further shuffle."""
+    rest = [c for c in weekly.columns if c not in (*keys, "week")]
+    series = weekly.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("week", *rest))).alias("_rows"))
+    kind = ", ".join(f"_{n}: double" for n in EMA_SPANS)
+    empty = F.array().cast(f"array<struct<{kind}>>")
+    now = [F.lit(None).cast("double").alias(f"_{n}") for n in EMA_SPANS]
+
+    def step(acc: Column, row: Column) -> Column:
+        x, at = row[y].cast("double"), acc["now"]
+        after = [F.when(x.isNull(), at[f"_{n}"]).otherwise(F.coalesce(ema_step(at[f"_{n}"], x, s), x)).alias(f"_{n}")
+                 for n, s in EMA_SPANS.items()]
+        return F.struct(F.concat(acc["path"], F.array(at)).alias("path"), F.struct(*after).alias("now"))
+
+    path = F.aggregate("_rows", F.struct(empty.alias("path"), F.struct(*now).alias("now")), step, lambda acc: acc["path"])
+    rows = series.select(*keys, F.explode(F.arrays_zip(F.col("_rows"), path.alias("_path"))).alias("_r"))
+    return rows.select(*[F.col(c) if c in keys else F.col(f"_r._rows.{c}") for c in weekly.columns],
+                       *[F.col(f"_r._path._{n}") for n in EMA_SPANS])
+
+
 def with_lags(weekly: DataFrame, keys: list[str]) -> DataFrame:
-    """One Window node: every lag in ``LAGS`` plus the revenue history array."""
+    """One Window node: every lag in ``LAGS``."""
     w = series_window(keys)
     cols = [F.lag(c, k).over(w).alias(f"_{c}_lag{k}") for c, ks in LAGS.items() for k in ks]
-    return weekly.select("*", *cols, history_before(TARGET, w).alias(HIST))
+    return weekly.select("*", *cols)
 
 
 def revenue_features(y: str = TARGET) -> dict[str, Column]:
@@ -85,8 +105,8 @@ def revenue_features(y: str = TARGET) -> dict[str, Column]:
     for k in (4, 8, 12):
         f[f"rolling_mean_{k}"] = mean_of(lag_list(y, k))
         f[f"rolling_std_{k}"] = sample_std_of(lag_list(y, k))
-    for name, span in EMA_SPANS.items():
-        f[name] = ema_of_array(F.col(HIST), span)
+    for name in EMA_SPANS:
+        f[name] = F.col(f"_{name}")
     f["revenue_vs_4w_avg"] = safe_div(f["lag_1"], f["rolling_mean_4"])
     f["revenue_vs_8w_avg"] = safe_div(f["lag_1"], f["rolling_mean_8"])
     f["revenue_growth_4w"] = safe_div(f["lag_1"], f["lag_4"]) - 1
@@ -148,7 +168,8 @@ def add_features(weekly: DataFrame, keys: list[str] | None = None,
     keys = list(keys or [])
     cols = feature_columns()
     names = names or FEATURES
-    staged = with_lags(weekly, keys)
+    averaged = with_averages(weekly, keys) if set(names) & set(EMA_SPANS) else weekly
+    staged = with_lags(averaged, keys)
     return staged.select(*weekly.columns, *[cols[n].cast("double").alias(n) for n in names])
 
 

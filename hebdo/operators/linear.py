@@ -372,10 +372,15 @@ def ar_holdout(ready: DataFrame, keys: list[str] | None = None, h: int = 12, y:
 
 
 # ------------------------------------------------------------------ trend + season (T5)
+def season_angle(k):
+    """Angle of a week in the ``k``-th yearly wave, for a number or a column."""
+    return k * (2 * math.pi) / YEAR_WEEKS
+
+
 def fourier_terms(t: F.Column, order: int) -> dict[str, F.Column]:
     out = {}
     for k in range(1, order + 1):
-        ang = F.lit(2 * math.pi * k / YEAR_WEEKS) * t
+        ang = F.lit(season_angle(k)) * t
         out[f"sin{k}"], out[f"cos{k}"] = F.sin(ang), F.cos(ang)
     return out
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hebdo.operators.boosting import BoostedTrees, BoostParams, Fit, fit_one, run_fits
 from hebdo.operators.features import FEATURES, TARGET
-from hebdo.operators.folds import expanding_folds, holdout_split, walk_forward_origins
+from hebdo.operators.folds import calibration_tail, expanding_folds, holdout_split, walk_forward_origins
 
 # Tuned parameters of the reference run (fixed values).
 TUNED_PARAMS = {
@@ -46,6 +46,19 @@ def fit(train: DataFrame, params: dict | None = None, keys: list[str] | None = N
     return fit_one(train, {**TUNED_PARAMS, **(params or {})}, FEATURES, TARGET, [*(keys or []), "week"])
 
 
+def calibration_residuals(ready: DataFrame, keys: list[str] | None = None, params: dict | None = None,
+                          h: int = 12, size: int = 20) -> DataFrame:
+    """P5: (keys, week, actual, predicted, abs_error) of the last ``size`` training weeks, by a
+    forest of the weeks before them; the ``h`` holdout weeks take no part."""
+    keys = list(keys or [])
+    train = holdout_split(ready, keys, h).where("role = 'train'").drop("role")
+    rows = calibration_tail(train, keys, size).withColumns({
+        "train_from": F.when(F.col("role") == "fit", 0), "test_at": F.when(F.col("role") == "calibration", 0)})
+    fits = [Fit(0, 0, BoostParams.of({**TUNED_PARAMS, **(params or {})}))]
+    return run_fits(rows, fits, FEATURES, TARGET, [*keys, "week"]).select(
+        *keys, "week", "actual", "predicted", F.abs(F.col("actual") - F.col("predicted")).alias("abs_error"))
+
+
 def predict(model: BoostedTrees, df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, week, actual, predicted) for any feature rows."""
     return (model.transform(df)

@@ -78,8 +78,9 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     long = (rows.select(*keys, "_v", F.posexplode("_v").alias("i", "x"))
             .select(*keys, "i", "x", F.posexplode("_v").alias("j", "y")).where("j >= i"))
     cells = long.groupBy(*keys, "i", "j").agg(F.covar_pop("x", "y").alias("c"), F.count(F.lit(1)).alias("n"))
-    both = cells.select(*keys, "i", "j", "c", "n").unionByName(
-        cells.where("i < j").select(*keys, F.col("j").alias("i"), F.col("i").alias("j"), "c", "n"))
+    here, across = F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
+    mirrored = F.explode(F.when(F.col("i") == F.col("j"), F.array(here)).otherwise(F.array(here, across)))
+    both = cells.select(*keys, "c", "n", mirrored.alias("_p")).select(*keys, "_p.i", "_p.j", "c", "n")
     lines = both.groupBy(*keys, "i").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("j", "c"))).alias("r"))
     return (lines.groupBy(*keys).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("i", "r"))).alias("m"))
             .select(*keys, "n", F.transform("m", lambda line: F.transform(

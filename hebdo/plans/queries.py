@@ -20,8 +20,10 @@ from hebdo.operators import folds as fo
 from hebdo.operators import forecast as fc
 from hebdo.operators import ledger as lg
 from hebdo.operators import linear as li
+from hebdo.operators import model_table as mt
 from hebdo.operators import report as rp
 from hebdo.operators import trees as tr
+from hebdo.operators import trend as tn
 from hebdo.operators import unit_root as ur
 from hebdo.operators import weekly as wk
 from hebdo.session import configure
@@ -431,9 +433,33 @@ def fourier_trend(spark, sf_dir):
     return li.fourier_trend(ready_table(spark, sf_dir), KEYS)
 
 
+@query
+def changepoint_trend(spark, sf_dir):
+    """rows only: T5, trend with changepoints + yearly season, 12 weeks held out"""
+    return tn.changepoint_holdout(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def forecast_changepoint(spark, sf_dir):
+    """rows only: T5 / H9, 26 weeks by the trend with changepoints of the whole history"""
+    return tn.changepoint_forecast(tn.changepoint_fit(ready_table(spark, sf_dir), KEYS), KEYS, HORIZON)
+
+
+@query
+def model_table(spark, sf_dir):
+    """rows only: W8, smoothing, AR and Fourier models of every series as one table"""
+    return mt.fit_table(ready_table(spark, sf_dir), KEYS)
+
+
+@query
+def forecast_model_table(spark, sf_dir):
+    """rows only: 26 weeks from the model table alone"""
+    return mt.forecast_table(mt.fit_table(ready_table(spark, sf_dir), KEYS), KEYS, HORIZON)
+
+
 @query
 def model_leaderboard(spark, sf_dir):
-    """rows only (ridge fit): holdout metrics of the per-series models, apart by
+    """rows only: holdout metrics of all models, apart by
     what they see: ``steps`` 12 forecasts the holdout unseen, 1 sees the week
     before. ``wape`` (sum of errors by sum of actuals, percent) bears weeks of
     no revenue, which blow up ``mape``."""
@@ -441,8 +467,12 @@ def model_leaderboard(spark, sf_dir):
     ft = (li.fourier_trend(ready, KEYS).where("role = 'test'")
           .select(*KEYS, F.col("ds").alias("week"), F.col("y").alias("actual"), F.col("yhat").alias("predicted")))
     ar1 = li.ar1_holdout(ready, KEYS).where("role = 'test'").drop("role")
-    parts = [(ar1, "ar1", 1), (li.ar_holdout(ready, KEYS), "ar", 12), (li.ses_holdout(ready, KEYS), "ses", 12),
-             (ft, "fourier_trend", 12)]
+    cp = (tn.changepoint_holdout(ready, KEYS).where("role = 'test'")
+          .select(*KEYS, F.col("ds").alias("week"), F.col("y").alias("actual"), F.col("yhat").alias("predicted")))
+    arima = ai.arima_holdout(ready, KEYS).select(*KEYS, "week", "actual", "predicted")
+    trees = _tree(spark, sf_dir)[2].where("role = 'test'").drop("role")
+    parts = [(ar1, "ar1", 1), (trees, "trees", 1), (li.ar_holdout(ready, KEYS), "ar", 12), (arima, "arima", 12),
+             (li.ses_holdout(ready, KEYS), "ses", 12), (ft, "fourier_trend", 12), (cp, "changepoint_trend", 12)]
     allp = reduce(DataFrame.unionByName, [
         df.withColumns({"model": F.lit(name), "steps": F.lit(steps)}) for df, name, steps in parts])
     wape = 100 * F.sum(F.abs(F.col("actual") - F.col("predicted"))) / F.nullif(F.sum(F.abs("actual")), F.lit(0.0))
@@ -597,6 +627,12 @@ def tree_attributions(spark, sf_dir):
     return tr.attributions(model, fo.holdout_split(ready, KEYS).where("role = 'test'"), KEYS)
 
 
+@query
+def calibration_residuals(spark, sf_dir):
+    """rows only: P5, errors of the pooled trees on the last 20 training weeks"""
+    return tr.calibration_residuals(ready_table(spark, sf_dir), KEYS)
+
+
 @query
 def permutation_importance(spark, sf_dir):
     """rows only: MAE increase per permuted feature on the holdout weeks"""
