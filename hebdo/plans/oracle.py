@@ -9,6 +9,8 @@ differs are rounded half-up on both sides.
 
 from __future__ import annotations
 
+import math
+
 from hebdo.operators.unit_root import NORMAL_LOW, NORMAL_TOP, TAU_LARGE, TAU_MAX, TAU_MIN, TAU_SMALL, TAU_STAR
 
 ORACLE: dict[str, str] = {}
@@ -857,6 +859,58 @@ judged AS (
   FROM (SELECT *, CASE WHEN t <= {dbl(TAU_STAR)} THEN {_horner('t', TAU_SMALL[::-1])} ELSE {_horner('t', TAU_LARGE[::-1])} END AS z FROM tested))
 SELECT segment, CAST(k AS BIGINT) AS lags, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
        {rnd('p', 6)} AS p_value, p < 0.05 AS stationary FROM judged)"""))
+
+def _sweeps(name: str, source: str, steps: str) -> str:
+    """CTE: the matrices m of ``source`` (segment, m) swept on their first ``steps`` variables, one a step."""
+    pivot = "m[step + 1][step + 1]"
+    return f"""
+{name} AS (
+  SELECT segment, 0 AS step, m FROM {source}
+  UNION ALL
+  SELECT segment, step + 1, list_transform(m, lambda r, i: list_transform(r, lambda v, j:
+      CASE WHEN i = step + 1 AND j = step + 1 THEN 1 / {pivot} WHEN i = step + 1 THEN v / {pivot}
+           WHEN j = step + 1 THEN -v / {pivot} ELSE v - r[step + 1] * m[step + 1][j] / {pivot} END))
+  FROM {name} WHERE step < {steps})"""
+
+
+_YEAR = 365.25 / 7
+_TERMS = ", ".join(f"sin({dbl(k * (2 * math.pi) / _YEAR)} * t), cos({dbl(k * (2 * math.pi) / _YEAR)} * t)" for k in (1, 2, 3))
+def _fourier_fit(rows: str) -> str:
+    """CTEs: design(segment, week, y, x, first) of ``rows`` and swept(segment, step, m), fitted on its rows of role train."""
+    return f"""design AS (
+  SELECT segment, week, role, weekly_revenue AS y, first, [{dbl(1.0)}, t / 52.0, {_TERMS}] AS x
+  FROM (SELECT *, (week - first) / {dbl(7.0)} AS t
+        FROM (SELECT *, min(week) OVER (PARTITION BY segment) AS first FROM {rows}))),
+cells AS (
+  SELECT segment, i, j, sum(z[i] * z[j]) + CASE WHEN i = j AND i BETWEEN 2 AND 8 THEN 1 ELSE 0 END AS c
+  FROM (SELECT segment, list_append(x, y) AS z FROM design WHERE role = 'train'), range(1, 10) a(i), range(1, 10) b(j)
+  GROUP BY segment, i, j),
+gram AS (
+  SELECT segment, list(r ORDER BY i) AS m FROM (SELECT segment, i, list(c ORDER BY j) AS r FROM cells GROUP BY segment, i) GROUP BY segment),
+{_sweeps("swept", "gram", "8")}"""
+
+
+_FOURIER_VALUE = "list_sum(list_transform(range(1, 9), lambda k: m[k][9] * x[k]))"
+register("fourier_trend", _model(f"""
+SELECT * FROM (WITH RECURSIVE {_fourier_fit("split")}
+SELECT d.segment, week AS ds, y, {rnd(_FOURIER_VALUE, 2)} AS yhat, role
+FROM design d JOIN swept s ON s.segment = d.segment AND s.step = 8)"""))
+register("forecast_model_table", _model(f"""
+SELECT segment, 'ses' AS model, week, step, predicted FROM ({ORACLE["forecast_ses"]})
+UNION ALL SELECT segment, 'ar', week, step, predicted FROM ({ORACLE["forecast_ar"]})
+UNION ALL SELECT * FROM (WITH RECURSIVE {_fourier_fit("(SELECT *, 'train' AS role FROM ready)")},
+ahead AS (
+  SELECT segment, last, step, (last - first) / {dbl(7.0)} + step AS t
+  FROM (SELECT segment, max(week) AS last, min(first) AS first FROM design GROUP BY segment), range(1, 27) r(step))
+SELECT a.segment, 'fourier', CAST(last + CAST(7 * a.step AS INTEGER) AS DATE), a.step, {rnd(_FOURIER_VALUE, 2)}
+FROM (SELECT *, [{dbl(1.0)}, t / 52.0, {_TERMS}] AS x FROM ahead) a JOIN swept s ON s.segment = a.segment AND s.step = 8)"""))
+register("tree_walk_forward_frame", _model(
+    "SELECT segment, week, actual, TRUE AS has_prediction FROM wf"))
+register("tree_attribution_sums", _model(
+    "SELECT segment, week, CAST(38 AS BIGINT) AS features, TRUE AS adds_up FROM split WHERE role = 'test'"))
+register("forecast_trees_frame", _model("""
+SELECT segment, CAST(last + CAST(7 * step AS INTEGER) AS DATE) AS week, step, TRUE AS enclosed, TRUE AS widens
+FROM (SELECT segment, max(week) AS last FROM ready GROUP BY segment), range(1, 27) r(step)"""))
 register("df_test", _model(f"""
 SELECT segment, n, {rnd('gamma', 9)} AS gamma, {rnd('t', 6)} AS t_stat,
        {dbl(-2.86)} AS critical_5pct, t < {dbl(-2.86)} AS stationary

@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hebdo.functions.columns import round_half_up as rnd
@@ -429,8 +429,8 @@ def forecast_arima(spark, sf_dir):
 
 @query
 def fourier_trend(spark, sf_dir):
-    """rows only: ridge trend + yearly Fourier terms"""
-    return li.fourier_trend(ready_table(spark, sf_dir), KEYS)
+    """T5: ridge trend + yearly Fourier terms, 12 weeks held out"""
+    return _money(li.fourier_trend(ready_table(spark, sf_dir), KEYS), ["yhat"])
 
 
 @query
@@ -453,8 +453,8 @@ def model_table(spark, sf_dir):
 
 @query
 def forecast_model_table(spark, sf_dir):
-    """rows only: 26 weeks from the model table alone"""
-    return mt.forecast_table(mt.fit_table(ready_table(spark, sf_dir), KEYS), KEYS, HORIZON)
+    """26 weeks from the model table alone"""
+    return _money(mt.forecast_table(mt.fit_table(ready_table(spark, sf_dir), KEYS), KEYS, HORIZON), ["predicted"])
 
 
 @query
@@ -647,10 +647,45 @@ def tuning_leaderboard(spark, sf_dir):
     return tr.tune(ready_table(spark, sf_dir), KEYS, n_iter=TUNING_DRAWS)
 
 
+def _tree_walk(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir, "walk")
+    if key not in _MODELS:
+        _MODELS[key] = tr.walk_forward(ready_table(spark, sf_dir), KEYS, initial=104).persist()
+    return _MODELS[key]
+
+
 @query
 def tree_walk_forward(spark, sf_dir):
     """rows only: pooled trees refitted at every origin from week 104"""
-    return tr.walk_forward(ready_table(spark, sf_dir), KEYS, initial=104)
+    return _tree_walk(spark, sf_dir)
+
+
+@query
+def tree_walk_forward_frame(spark, sf_dir):
+    """keys, weeks and actuals of the trees' walk-forward, and that every origin has a prediction"""
+    return _tree_walk(spark, sf_dir).select(*KEYS, "week", "actual", F.col("predicted").isNotNull().alias("has_prediction"))
+
+
+@query
+def tree_attribution_sums(spark, sf_dir):
+    """that the attributions of every holdout prediction add up to it"""
+    parts = tree_attributions(spark, sf_dir).groupBy(*KEYS, "week").agg(
+        F.count("*").alias("features"), (F.sum("attribution") + F.max("base")).alias("total"))
+    held = _tree(spark, sf_dir)[2].where("role = 'test'")
+    gap = F.abs(F.col("total") - F.col("predicted"))
+    return parts.join(held, [*KEYS, "week"]).select(*KEYS, "week", "features",
+                                                    (gap <= 1e-9 * F.abs("predicted")).alias("adds_up"))
+
+
+@query
+def forecast_trees_frame(spark, sf_dir):
+    """weeks and steps of the trees' forecast, and that its bounds enclose it and widen"""
+    wide = F.col("upper_bound") - F.col("lower_bound")
+    before = F.lag(wide).over(Window.partitionBy(*KEYS).orderBy("step"))
+    inside = (F.col("lower_bound") <= F.col(fe.TARGET)) & (F.col(fe.TARGET) <= F.col("upper_bound"))
+    return forecast_trees(spark, sf_dir).select(
+        *KEYS, "week", F.col("step").cast("long").alias("step"), inside.alias("enclosed"),
+        F.coalesce(wide > before, F.lit(True)).alias("widens"))
 
 
 # ---------------------------------------------------------------- single global series (keys=[])
