@@ -8,10 +8,12 @@ that touches only (series x week) rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hebdo.functions.columns import cents, week_start
+from hebdo.functions.columns import cents, series_window, week_start
 
 METRIC_COLUMNS = [
     "weekly_revenue", "invoice_count", "average_invoice",
@@ -145,17 +147,34 @@ def active_customers_range_join(customers: DataFrame, calendar: DataFrame,
             .agg(F.count(customers["customer_id"]).alias("active_customers")))
 
 
-def weekly_dataset(calendar: DataFrame, revenue: DataFrame, payments: DataFrame,
-                   new: DataFrame, active: DataFrame,
-                   keys: list[str] | None = None) -> DataFrame:
-    """A8 + A9: calendar left-joined with the four weekly tables on
-    (keys, week); every gap is 0."""
+def customer_counts(customers: DataFrame, calendar: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """A5 and A7 at once: (keys, calendar week, new_customers, active_customers).
+
+    The customers are read and aggregated once; each aggregated row is tagged twice, as
+    new in its week and as active from its effective week on, and joins the
+    calendar rows in one union and one running sum per series."""
+    keys = list(keys or [])
+    none = F.lit(0).cast("long")
+    tags = F.array(
+        F.struct("week", F.col("n").alias("new"), none.alias("active")),
+        F.struct(F.col("effective_week").alias("week"), none.alias("new"),
+                 F.when(F.col("is_active"), F.col("n")).otherwise(none).alias("active")))
+    counts = (customer_weeks(customers, keys).select(*keys, F.explode(tags).alias("t"))
+              .select(*keys, "t.*", F.lit(False).alias("_cal")))
+    cal = calendar.select(*keys, "week", none.alias("new"), none.alias("active"), F.lit(True).alias("_cal"))
+    weeks = cal.unionByName(counts).groupBy(*keys, "week").agg(
+        F.sum("new").alias("new_customers"), F.sum("active").alias("_n"), F.max("_cal").alias("_cal"))
+    so_far = series_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    return (weeks.withColumn("active_customers", F.sum("_n").over(so_far)).where("_cal")
+            .select(*keys, "week", "new_customers", "active_customers"))
+
+
+def weekly_dataset(calendar: DataFrame, tables: list[DataFrame], keys: list[str] | None = None) -> DataFrame:
+    """A8 + A9: calendar left-joined with the weekly tables on (keys, week);
+    every gap is 0."""
     keys = list(keys or [])
     on = keys + ["week"]
-    out = (calendar.join(revenue, on, "left")
-           .join(payments, on, "left")
-           .join(new, on, "left")
-           .join(active, on, "left"))
+    out = reduce(lambda left, right: left.join(right, on, "left"), tables, calendar)
     return out.na.fill(0, subset=METRIC_COLUMNS).select(*on, *METRIC_COLUMNS)
 
 
@@ -176,15 +195,7 @@ def build_weekly_metrics(invoices: DataFrame, payments: DataFrame, customers: Da
     if drop_partial_last:
         last_day = invoices.agg(F.max(F.col("date").cast("date"))).scalar()
         cal = cal.where(F.date_add("week", 6) <= last_day)
-    cw = customer_weeks(customers, keys)
-    return weekly_dataset(
-        cal,
-        revenue,
-        weekly_payments(payments, keys),
-        new_customers(customers, keys, cw),
-        active_customers(customers, cal, keys, cw),
-        keys,
-    )
+    return weekly_dataset(cal, [revenue, weekly_payments(payments, keys), customer_counts(customers, cal, keys)], keys)
 
 
 def weekly_summary(weekly: DataFrame, keys: list[str] | None = None) -> DataFrame:
