@@ -24,7 +24,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -426,6 +425,17 @@ def _node_batch(fit: Fit, forest: Forest) -> pa.RecordBatch:
         + [pa.array(col[k], pa.float64()) for k in ("cut", "gain", "cover", "value")], names=["draw", "split", *col])
 
 
+def _dealt(df: DataFrame, lots: int) -> DataFrame:
+    """A copy of the rows for each lot (column ``_lot``), each lot in a partition of its own. The
+    number of partitions is asked for, so that small ones are not put together, and a lot
+    goes by a number whose hash is that of its partition."""
+    place = F.pmod(F.hash("id"), F.lit(lots))
+    found = df.sparkSession.range(100 * lots).groupBy(place.alias("p")).agg(F.min("id").alias("id")).collect()
+    mark = {r.p: r.id for r in found}
+    marks = F.array(*[F.lit(mark.get(i, i)).cast("long") for i in range(lots)])
+    return df.select("*", F.posexplode(marks).alias("_lot", "_mark")).repartition(lots, "_mark").drop("_mark")
+
+
 def run_fits(rows: DataFrame, fits: list[Fit], features: list[str], label: str, keep: list[str],
              models: bool = False, rows_per_task: int = ROWS_PER_TASK, at_once: int = 4) -> DataFrame:
     """Rows with ``train_from`` and ``test_at`` -> (draw, split, *keep, actual, predicted) of the
@@ -449,13 +459,18 @@ def run_fits(rows: DataFrame, fits: list[Fit], features: list[str], label: str,
         got = list(batches)
         if not got:
             return
-        tab = pa.Table.from_batches(got)
+        every = pa.Table.from_batches(got)
+        lot = every.column("_lot").to_numpy()
+        for mine in np.unique(lot):              # one, unless Spark put small partitions together
+            yield from fitted(every.filter(pa.array(lot == mine)), fits[mine::lots])
+
+    def fitted(tab: pa.Table, own_fits: list[Fit]) -> Iterator[pa.RecordBatch]:
         tab = tab.take(pa.array(np.argsort(tab.column("_row").to_numpy(), kind="stable")))
         x = _matrix(tab.column("_x").combine_chunks(), width)
         y, row = (tab.column(c).to_numpy() for c in ("_y", "_row"))
         trains, tests = (np.where(np.isnan(v := tab.column(c).to_numpy().astype(float)), none, v)
                          for c, none in (("train_from", np.inf), ("test_at", -1)))
-        for fit in fits[TaskContext.get().partitionId()::lots]:
+        for fit in own_fits:
             own = (trains <= fit.split) & ~np.isnan(y)
             hit = np.flatnonzero(tests == fit.split)
             if not own.any() or not (models or len(hit)):
@@ -473,8 +488,7 @@ def run_fits(rows: DataFrame, fits: list[Fit], features: list[str], label: str,
     slots = spark.sparkContext.defaultParallelism
     lots = max(1, min(len(fits), slots))
     if rows.count() <= rows_per_task:
-        copies = told.withColumn("_lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))).repartitionById(lots, "_lot")
-        return copies.mapInArrow(work, schema)
+        return _dealt(told, lots).mapInArrow(work, schema)
 
     def spread(fit: Fit) -> DataFrame | None:
         own = told.where((F.col("train_from") <= fit.split) & F.col("_y").isNotNull()).select("_y", "_row", "_x")
