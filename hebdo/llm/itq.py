@@ -10,6 +10,7 @@ is reranked by the cosine of the original vectors in double precision.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ def learn(sample: np.ndarray, params: ItqParams) -> tuple[np.ndarray, np.ndarray
     """(mean, projection): principal directions turned so that rounding to signs loses least.
     With more bits than dimensions further rotations are learnt from other starts."""
     x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    mean = x.mean(axis=0)
+    # about the mean of a few vectors, near ones lie on opposite sides
+    mean = x.mean(axis=0) if len(x) >= 16 * params.parts else np.zeros(x.shape[1])
     x = x - mean
     _, vectors = np.linalg.eigh(x.T @ x)
     bits, rng, out = 16 * params.parts, np.random.default_rng(params.seed), []
@@ -99,12 +101,20 @@ def _rerank(pairs: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long, cosine double")
 
 
+def _links(classes: DataFrame, params: ItqParams) -> DataFrame:
+    """(a, b, cosine) of near vectors among those of one length."""
+    some = classes.orderBy(F.xxhash64("id"), "id").limit(params.sample).select("v").toPandas()
+    mean, projection = learn(np.array(some["v"].tolist(), dtype=np.float64), params)
+    return _rerank(_near_pairs(_codes(classes, mean, projection, params.parts), params.parts), classes, params.cosine)
+
+
 def near_vectors(table: DataFrame, params: ItqParams | None = None, id_col: str = "vec_id",
                  vector_col: str = "embedding") -> DataFrame:
     """(id_col, n_links, component_id, kept), one row per row of ``table``.
 
     Vectors that are null, empty, zero, or hold null or non-finite components
-    link with nothing, nor do vectors of another length than the commonest.
+    link with nothing. Vectors of different lengths have no cosine and are not
+    linked; each length has a rotation and tables of its own.
     Equal vectors are one class: they link with each other and share their
     class's links. Rows with a null id have null results and are kept. Repeated
     ids with one vector count as one row of the class each.
@@ -114,17 +124,10 @@ def near_vectors(table: DataFrame, params: ItqParams | None = None, id_col: str
     fine = v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     usable = rows.filter(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False)))
-    lengths = usable.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    width = lengths["d"] if lengths else 0
-    usable = usable.filter(F.size("v") == width)
     classes = stash(usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    some = classes.orderBy(F.xxhash64("id"), "id").limit(params.sample).select("v").toPandas()
-    if not len(some):
-        links = stash(_rerank(classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), classes, params.cosine))
-    else:
-        mean, projection = learn(np.array(some["v"].tolist(), dtype=np.float64), params)
-        codes = _codes(classes, mean, projection, params.parts)
-        links = stash(_rerank(_near_pairs(codes, params.parts), classes, params.cosine))
+    widths = classes.groupBy(F.size("v").alias("d")).count().filter("count > 1").orderBy("d").collect()
+    none = classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("cosine")).limit(0)
+    links = stash(reduce(DataFrame.unionByName, [_links(classes.filter(F.size("v") == w.d), params) for w in widths], none))
     comp = connected_components(links.select("a", "b"))
     size = classes.select(F.col("id").alias("other"), "copies")
     linked = (links.select(F.col("a").alias("class"), F.col("b").alias("other"))
@@ -135,7 +138,7 @@ def near_vectors(table: DataFrame, params: ItqParams | None = None, id_col: str
                  .select("v", (F.col("copies") - 1 + F.coalesce("to_others", F.lit(0))).alias("n_links"),
                          F.coalesce("component", "class").alias("component_id")))
     matched = usable.join(per_class, "v").select("id", "n_links", "component_id")
-    odd = (rows.filter(F.col("id").isNull() | ~F.coalesce(fine, F.lit(False)) | (F.size("v") != width))
+    odd = (rows.filter(F.col("id").isNull() | ~F.coalesce(fine, F.lit(False)))
            .select("id", F.when(F.col("id").isNotNull(), F.lit(0)).cast("long").alias("n_links"),
                    F.col("id").alias("component_id")))
     return matched.unionByName(odd).select(
