@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.common import record_batches, stash
-from hebdo.llm.tokens import Texts
+from hebdo.llm.tokens import Texts, mix
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
          "sequence_id long, offset long")
@@ -35,7 +35,7 @@ class PackParams:
     windows: int = 8              # open windows per partition
     merge: int = 32               # partitions whose leftovers meet
     end_id: int = 1
-    words: int = 1_000_000        # encoded words a worker remembers
+    remember: int = 16 << 20      # bytes of encoded words that a worker remembers
 
 
 _ALNUM = np.zeros(256, dtype=bool)
@@ -49,41 +49,82 @@ class Encoder:
     """Token ids of texts, for tokenizers that lower-case, drop white space and split
     letters, digits and other marks before they merge. Words, parted from marks that
     follow an ASCII letter or digit (but not from apostrophes), are encoded once and
-    remembered: neither normaliser nor splitter looks across those borders."""
+    remembered: neither normaliser nor splitter looks across those borders.
+
+    The memory is a table of word hashes and id runs in arrays, about 30 bytes a word; beyond
+    ``limit`` bytes it starts again with the words at hand."""
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.limit, self.known = limit, {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode many words as one text; the offsets say which ids are whose."""
+        self.limit = limit
+        self.key = np.zeros(0, dtype=np.uint64)        # hashes of known words, ascending
+        self.size = np.zeros(0, dtype=np.uint32)       # their lengths in bytes, to tell hashes further apart
+        self.run = np.zeros((0, 2), dtype=np.int64)    # where their ids begin, and how many they are
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode many words as one text; the offsets say which ids are whose: (ids, how many each)."""
         plain = [w.decode() for w in words]
         coded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        ids = np.array(coded.ids, dtype="<u4")
-        starts = np.cumsum([0, *(len(w) + 1 for w in plain)])
-        first = np.searchsorted(np.array([a for a, _ in coded.offsets], dtype=np.int64), starts)
-        for i, w in enumerate(words):
-            self.known[w] = ids[first[i]:first[i + 1]].tobytes()
+        ends = np.cumsum([len(w) + 1 for w in plain])
+        at = np.searchsorted(np.array([a for a, _ in coded.offsets], dtype=np.int64), ends)
+        return np.array(coded.ids, dtype="<u4"), np.diff(at, prepend=0)
+
+    def _learn(self, key: np.ndarray, size: np.ndarray, words: list[bytes]) -> None:
+        parts = [self._encoded(words[lo:lo + 2048]) for lo in range(0, len(words), 2048)]
+        n = np.concatenate([c for _, c in parts])
+        run = np.stack([len(self.ids) + np.cumsum(n) - n, n], axis=1)
+        self.ids = np.concatenate([self.ids, *(ids for ids, _ in parts)])
+        key, size, run = (np.concatenate(x) for x in ((self.key, key), (self.size, size), (self.run, run)))
+        order = np.argsort(key, kind="stable")
+        self.key, self.size, self.run = key[order], size[order], run[order]
+
+    def _find(self, key: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words in the table, and which of them are there."""
+        at = np.searchsorted(self.key, key)
+        near = np.minimum(at, max(len(self.key) - 1, 0))
+        known = (self.key[near] == key) & (self.size[near] == size) if len(self.key) else np.zeros(len(key), dtype=bool)
+        return near, known
 
     def encode(self, texts: Texts) -> list[np.ndarray]:
-        cut = np.flatnonzero(_ALNUM[texts.data[:-1]] & _MARK[texts.data[1:]]) + 1
-        raw = np.insert(texts.data, cut, 32).tobytes()
-        at = texts.offsets + np.searchsorted(cut, texts.offsets, side="left")
-        split = [raw[a:b].split() for a, b in zip(at[:-1], at[1:])]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = [w for w in {w for words in split for w in words} if w not in self.known]
-        for lo in range(0, len(new), 2048):
-            self._learn(new[lo:lo + 2048])
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4") for words in split]
+        data = texts.data
+        cut = np.zeros(len(data), dtype=bool)
+        cut[1:] = _ALNUM[data[:-1]] & _MARK[data[1:]]
+        starts, ends, first = texts.words(cuts=cut)
+        size = (ends - starts).astype(np.uint32)
+        key, one, word = np.unique(texts.hashes(starts, ends) ^ mix(size.astype(np.uint64)),
+                                   return_index=True, return_inverse=True)
+        own = size[one]
+        if 20 * len(self.key) + 4 * len(self.ids) > self.limit:
+            at, known = self._find(key, own)           # the words at hand stay
+            at = at[known]
+            run = self.run[at]
+            self.key, self.size = self.key[at], self.size[at]
+            self.ids, self.run = _taken(self.ids, run), np.stack([np.cumsum(run[:, 1]) - run[:, 1], run[:, 1]], axis=1)
+        _, known = self._find(key, own)
+        new = np.flatnonzero(~known)
+        if len(new):
+            raw = data.tobytes()
+            self._learn(key[new], own[new], [raw[a:b] for a, b in zip(starts[one[new]], ends[one[new]])])
+        run = self.run[self._find(key, own)[0]][word]
+        ids = _taken(self.ids, run)
+        upto = np.concatenate([[0], np.cumsum(run[:, 1])])[first]
+        return [ids[a:b] for a, b in zip(upto[:-1], upto[1:])]
+
+
+def _taken(ids: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The runs (begin, length) of ``ids``, one after the other."""
+    n = run[:, 1]
+    before = np.cumsum(n) - n
+    return ids[np.repeat(run[:, 0] - before, n) + np.arange(n.sum())]
 
 
 def encoder(params: PackParams) -> Encoder:
     if params.tokenizer not in _encoders:
-        _encoders[params.tokenizer] = Encoder(params.tokenizer, params.words)
+        _encoders[params.tokenizer] = Encoder(params.tokenizer, params.remember)
     return _encoders[params.tokenizer]
 
 
