@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Spark's own removal of an execution's shuffle files once it has ended
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: rows of an Arrow batch; texts and sets of shingles are long, and both sides hold a whole batch
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 
 def stash(df: DataFrame) -> DataFrame:
@@ -25,16 +29,30 @@ def stash(df: DataFrame) -> DataFrame:
 
     Cuts the lineage at a table every executor can reach, so a lost executor
     never makes two readers see two versions of it. What was shuffled for the
-    table is of no more use once it is written, so the session is told to free
+    table is of no more use once it is written, so Spark is told, for this job, to free
     those files then instead of at the driver's next garbage collection.
     """
     spark = df.sparkSession
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
     path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    rows = min(int(spark.conf.get(ARROW_ROWS)), BATCH_ROWS)
+    with _settings(spark, {SHUFFLE_CLEANUP: "true", ARROW_ROWS: str(rows)}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session options for the time of one job; the caller's come back after it."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
@@ -45,7 +63,7 @@ def ascii_lower(c: Column) -> Column:
 
 
 def record_batches(batches: Iterator[pa.RecordBatch], column: str,
-                   limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+                   limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Re-slice Arrow batches so that the texts of one slice hold about ``limit`` bytes.
 
     A single longer text makes a slice of its own; nothing is cut.

@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from math import exp, lgamma, log, log1p
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,7 +162,9 @@ def cutoffs(counts: DataFrame, labels: DataFrame, params: RiskParams) -> DataFra
     # every stratum of the data counts as a test, whether or not labels reach it
     tests = counts.select("stratum").distinct().agg((F.count("*") * len(SIGNALS)).alias("tests"))
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+    def choose(pdf):
+        import pandas as pd  # only here: the workers that read texts do without
+
         good, bad = np.zeros(bins, dtype=np.int64), np.zeros(bins, dtype=np.int64)
         np.add.at(good, pdf["bin"], pdf["good"])
         np.add.at(bad, pdf["bin"], pdf["bad"])

@@ -16,6 +16,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
+#: most powers a worker keeps of a base (8 MB); a longer text has its own
+POWERS_KEPT = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,7 +36,7 @@ def _pow(base: np.uint64, n: int, name: str) -> np.ndarray:
         out = np.full(size, base, dtype=np.uint64)
         out[0] = 1
         out = np.cumprod(out, dtype=np.uint64)
-        if size <= 1 << 23:
+        if size <= POWERS_KEPT:
             _powers[name] = out
         return out[:n]
     return have[:n]
@@ -56,19 +58,25 @@ class Texts:
             self.data = _LOWER[self.data]
         self._sums: np.ndarray | None = None
 
-    def words(self, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separators: np.ndarray = _SPACE,
+              cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Byte starts and ends of the runs without separators (by default the words
-        ``[^\\x20\\x09-\\x0D]+``), and each text's first run (length n + 1)."""
+        ``[^\\x20\\x09-\\x0D]+``), and each text's first run (length n + 1). Runs also end
+        before the bytes marked in ``cuts``."""
         space = separators[self.data]
         first = np.ones(len(space), dtype=bool)
         first[1:] = space[:-1]
+        if cuts is not None:
+            first |= cuts
         inner = self.offsets[:-1]
         first[inner[inner < len(space)]] = True
         starts = np.flatnonzero(~space & first)
         last = np.ones(len(space), dtype=bool)
         last[:-1] = space[1:]
-        cuts = self.offsets[1:]
-        last[cuts[cuts > 0] - 1] = True
+        if cuts is not None:
+            last[:-1] |= cuts[1:]
+        after = self.offsets[1:]
+        last[after[after > 0] - 1] = True
         ends = np.flatnonzero(~space & last) + 1
         return starts, ends, np.searchsorted(starts, self.offsets)
 
