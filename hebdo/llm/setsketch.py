@@ -243,53 +243,78 @@ def _confirm(pairs: DataFrame, sets: DataFrame, params: SketchParams) -> DataFra
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _within_families(members: DataFrame, params: SketchParams, block: int = 192) -> DataFrame:
+def _within_families(members: DataFrame, params: SketchParams, rows: int = 1024, shingles: int = 1 << 19) -> DataFrame:
     """Links between different components of one family; members(family, id, comp, n, registers, shingles).
 
-    A family is dealt into blocks of about ``block`` documents; each task sees two
-    blocks, estimates their cross-component pairs from the sketches and confirms the
-    likely ones on the sets. Only links leave the task.
+    Every pair that crosses components has a side outside the family's largest one. So the
+    documents outside it, in blocks, meet all members, in blocks of at most about ``rows``
+    documents and ``shingles`` shingles: a family with few outsiders moves in proportion
+    to its size. Each task estimates its cross pairs from the sketches and confirms the likely
+    ones on the sets, but for those whose components a link of that task has joined. Only
+    links leave the task.
     """
     limit, m, pct = _limit(params), params.registers, params.similarity_pct
-    sizes = members.groupBy("family").agg(
-        F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-    blocks = sizes.filter("c0 < c1").select("family", F.expr(f"cast(ceil(size / {block}) as int)").alias("blocks"))
-    dealt = (members.join(blocks, "family").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-             .withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")))
+    of_comp = members.groupBy("family", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("mass"))
+    sizes = (of_comp.groupBy("family").agg(
+        F.count("*").alias("comps"), F.sum("size").alias("size"), F.sum("mass").alias("mass"),
+        F.max(F.struct("size", "comp", "mass")).alias("main")).filter("comps > 1"))
+    blocks = lambda size, mass: F.expr(f"cast(ceil(greatest(({size}) / {rows}, ({mass}) / {shingles})) as int)")
+    dealt = members.join(sizes.select(
+        "family", F.col("main.comp").alias("largest"), blocks("size", "mass").alias("lefts"),
+        blocks("size - main.size", "mass - main.mass").alias("rights")), "family")
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    columns = ["family", "p", "q", "outside", "id", "comp", "n", "registers", "shingles"]
+    dealt = dealt.withColumn("outside", F.col("comp") != F.col("largest"))
+    left = (dealt.withColumn("p", (spot % F.col("lefts")).cast("int"))
+            .withColumn("q", F.explode(F.expr("sequence(0, rights - 1)"))).withColumn("side", F.lit(0)))
+    right = (dealt.filter("outside").withColumn("q", (spot % F.col("rights")).cast("int"))
+             .withColumn("p", F.explode(F.expr("sequence(0, lefts - 1)"))).withColumn("side", F.lit(1)))
 
     def run(tab: pa.Table) -> pa.Table:
         tab = tab.combine_chunks()
         regs = np.stack([np.frombuffer(r.as_buffer(), dtype=np.uint16) for r in tab["registers"]])
-        ids, comp, n, own = (tab[c].to_numpy() for c in ("id", "comp", "n", "own"))
-        p, q = tab["p"][0].as_py(), tab["q"][0].as_py()
-        sets: dict[int, np.ndarray] = {}
+        ids, comp, n, side = (tab[c].to_numpy() for c in ("id", "comp", "n", "side"))
+        outside = tab["outside"].to_numpy(zero_copy_only=False)
+        here = np.flatnonzero(side == 0)
+        joined: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
 
         def full(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = np.frombuffer(tab["shingles"][i].as_buffer(), dtype=_U)
-            return sets[i]
-
-        first, second = [], []
-        for i in np.flatnonzero(own == p):
-            js = np.flatnonzero((own == q) & (comp != comp[i]) & ((ids > ids[i]) if p == q else True)
-                                & (100 * np.minimum(n, n[i]) >= pct * np.maximum(n, n[i])))
+            return np.frombuffer(tab["shingles"][int(i)].as_buffer(), dtype=_U)
+
+        out, first, second, waiting = [], [], [], 0
+
+        def settle() -> None:
+            x, y = np.concatenate(first), np.concatenate(second)
+            est = joint_similarity(regs[x], regs[y], n[x].astype(float), n[y].astype(float), params.base)
+            for k, i in zip(x[est >= limit], y[est >= limit]):
+                a, b = root(int(comp[k])), root(int(comp[i]))
+                if a != b and _linked(full(k), full(i), pct):
+                    joined[max(a, b)] = min(a, b)
+                    out.append((int(ids[k]), int(ids[i])))
+
+        for i in np.flatnonzero(side == 1):
+            # a pair of two outsiders meets twice; the one with the larger id on the left counts
+            js = here[(comp[here] != comp[i]) & (~outside[here] | (ids[here] > ids[i]))
+                      & (100 * np.minimum(n[here], n[i]) >= pct * np.maximum(n[here], n[i]))]
             if len(js):
                 js = js[np.count_nonzero(regs[js] == regs[i], axis=1) >= (limit - 0.05) * m]
-                first.append(np.full(len(js), i))
-                second.append(js)
-        out = []
-        if first:
-            x, y = np.concatenate(first), np.concatenate(second)
-            for lo in range(0, len(x), 8192):
-                i, j = x[lo:lo + 8192], y[lo:lo + 8192]
-                est = joint_similarity(regs[i], regs[j], n[i].astype(float), n[j].astype(float), params.base)
-                out += [(int(ids[k]), int(ids[o])) for k, o in zip(i[est >= limit], j[est >= limit])
-                        if _linked(full(k), full(o), pct)]
+                first.append(js)
+                second.append(np.full(len(js), i))
+                waiting += len(js)
+            if waiting >= 4096:
+                settle()
+                first, second, waiting = [], [], 0
+        if waiting:
+            settle()
         return pa.table({"a": pa.array([k for k, _ in out], pa.int64()),
                          "b": pa.array([o for _, o in out], pa.int64())})
 
-    return (dealt.select("family", "p", "q", "own", "id", "comp", "n", "registers", "shingles")
+    return (left.select(*columns, "side").unionByName(right.select(*columns, "side"))
             .repartition("family", "p", "q")  # else a large family stays where the join by family put it
             .groupBy("family", "p", "q").applyInArrow(run, "a long, b long"))
 

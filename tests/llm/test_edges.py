@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from hebdo.llm import curriculum, html_extract, itq, licenses, packing, pii, quality, registry, setsketch, toxicity, url_rules
+from tests.llm import brute
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, n long, id long"
 ROWS = [(1, None, None, None, None, "k", 1, 1), (2, "", "en", "a", 0, "k", 1, 1), (2, "", "en", "a", 0, "k", 1, 1),
@@ -107,3 +108,71 @@ def test_ids_at_the_first_place_of_the_bitmap(spark, monkeypatch):
     ids = spark.createDataFrame([(1,), (9,)], "id long")
     got = setsketch._sets(docs, ids, setsketch.SketchParams()).collect()
     assert sorted(r.id for r in got) == [1, 9]
+
+
+def test_components_of_one_family_meet(spark):
+    """Whatever the blocks: links that join a family's components are found, few rows move for few outsiders."""
+    r = np.random.default_rng(4)
+    rows, sets = [], {}
+    for i in range(90):
+        centre = 0 if i < 60 else 1 + i % 6                    # one large component, several small ones
+        base = np.arange(200) + 12 * centre                    # neighbouring centres overlap above 0.8
+        own = np.sort(np.setdiff1d(base, r.choice(base, 3)).astype(np.uint64))
+        sets[i] = set(own.tolist())
+        rows.append((7, i, [0, 60, 61, 62, 63, 64, 65][centre], own))
+    params = setsketch.SketchParams()
+    regs = setsketch.sketch([mixed(s[3]) for s in rows], params)
+    members = spark.createDataFrame(
+        [(f, i, c, len(s), bytes(k.tobytes()), bytes(mixed(s).tobytes())) for (f, i, c, s), k in zip(rows, regs)],
+        "family long, id long, comp long, n long, registers binary, shingles binary")
+    near = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    comp = {i: c for _, i, c, _ in rows}
+    inside = [(i, c) for i, c in comp.items()]
+    want = brute.components({**dict.fromkeys(sets, 0)}, near + inside)
+    for size in (10, 1024):
+        links = [(x.a, x.b) for x in setsketch._within_families(members, params, rows=size).collect()]
+        assert links and set(links) <= {p for a, b in near for p in ((a, b), (b, a))}
+        assert brute.components({**dict.fromkeys(sets, 0)}, links + inside) == want
+
+
+def mixed(s):
+    from hebdo.llm.tokens import mix
+    return np.sort(mix(s))
+
+
+@pytest.mark.parametrize("limit", [0, 2000, 16 << 20])
+def test_encoder_with_little_memory_equals_the_tokenizer(limit):
+    import pyarrow as pa
+
+    from hebdo.llm.tokens import Texts
+
+    enc = packing.Encoder(registry.pack_params().tokenizer, limit)
+    odd = ["it's we'll I'd  two  \n\n three\t", "naïve café ÀÉÎ øß 12,345.67!", "—“quoted”… €5 ™", "русский текст", "中文 日本語", "",
+           "\U0001F600 a\U0001F601", "x" * 5000, "<|endoftext|> a", "     x", "á", "a.b.c,d;e", "don't.", "x\u00a0y", "A1-B2_c3"]
+    many = [f"word{i} other{i % 7}" for i in range(500)]
+    for texts in (odd, many, odd[::-1], many + odd):
+        for text, ids in zip(texts, enc.encode(Texts(pa.array(texts), lower=True))):
+            assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.001]), (3, [0.0, 1.0]), (4, [1.0, 2.0, 3.0]), (5, [1.0, 2.0, 3.0]), (6, [2.0, 4.0, 6.001]), (7, [1.0])]
+    v = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, id string, v int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_vectors(v).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (2, 4), 5: (2, 4), 6: (2, 4), 7: (0, 7)}
+
+
+def test_long_runs_of_digits_take_linear_time():
+    import time
+
+    start = time.process_time()
+    assert pii.base_spans("1" * 500_000 + " 1.2.3.4 " + "1." * 100_000)[:1] == [(500_001, 500_008, "ip")]
+    assert time.process_time() - start < 3
+
+
+def test_a_stash_leaves_the_session_as_it_was(spark):
+    from hebdo.llm.common import ARROW_ROWS, SHUFFLE_CLEANUP, stash
+
+    before = spark.conf.get(ARROW_ROWS), spark.conf.get(SHUFFLE_CLEANUP, None)
+    assert stash(spark.range(3)).count() == 3
+    assert (spark.conf.get(ARROW_ROWS), spark.conf.get(SHUFFLE_CLEANUP, None)) == before
