@@ -243,7 +243,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, params: SketchParams) -> DataFra
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _within_families(members: DataFrame, params: SketchParams, rows: int = 1024, shingles: int = 1 << 19) -> DataFrame:
+def _within_families(members: DataFrame, params: SketchParams, rows: int = 256, shingles: int = 1 << 17) -> DataFrame:
     """Links between different components of one family; members(family, id, comp, n, registers, shingles).
 
     Every pair that crosses components has a side outside the family's largest one. So the
