@@ -64,7 +64,8 @@ def ascii_lower(c: Column) -> Column:
 
 def record_batches(batches: Iterator[pa.RecordBatch], column: str,
                    limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Re-slice Arrow batches so that the texts of one slice hold about ``limit`` bytes.
+    """Re-slice Arrow batches so that the texts of one slice hold about ``limit`` bytes;
+    ``column`` holds the texts, or their sizes.
 
     A single longer text makes a slice of its own; nothing is cut.
     """
@@ -74,7 +75,10 @@ def record_batches(batches: Iterator[pa.RecordBatch], column: str,
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = batch.column(column)
+        if not pa.types.is_integer(sizes.type):
+            sizes = pc.binary_length(sizes)
+        sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
         total = np.cumsum(sizes.astype(np.int64))
         lo = 0
         while lo < batch.num_rows:

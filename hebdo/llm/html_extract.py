@@ -2,19 +2,25 @@
 
 A scan of the markup cuts a page into blocks: those of its article, those in
 menus, headers, footers, adverts and the like, and open ones that the markup
-says nothing about. What lies outside articles goes, token by token, into a
-suffix array over the pages of its host; substrings that recur on a large share
-of its distinct pages are boilerplate. Large hosts are dealt into shards of
-bounded size whose arrays are merged on their prefixes, so repeats across shards
-count like those within one. A page with an article is its article, whole: a
-passage that other pages repeat stays. A page without one keeps its open blocks,
-but for those that are boilerplate from end to end and no prose.
+says nothing about. Every page goes whole, token by token, into a suffix array
+over the distinct pages of its host; substrings that recur on a large share of
+them are boilerplate. Large hosts are dealt into shards of bounded size whose
+arrays are merged on their prefixes, so repeats across shards count like those
+within one. Every page is then judged by its host's repeats. One with an article
+is its article, but for blocks that are boilerplate from end to end, no prose
+and in no element of prose: a menu, notice or advert that the markup leaves
+unnamed. A passage that other pages repeat stays, and so does all of an article
+that is mostly a copy. A page without an article keeps its open blocks, but for
+those that are boilerplate from end to end and no prose.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.common import record_batches, stash
-from hebdo.llm.tokens import Texts, mix, windows
+from hebdo.llm.tokens import Texts, windows
 from hebdo.llm.url_rules import url_host
 
-_U = np.uint64
-
 #: a tag ends at its first ">" outside quotes; where a quote never closes, at its first ">" at all, or with
 #: the page. No group gives back what it took, so a page is read in time proportional to its length.
 _MARKUP = re.compile(
@@ -58,9 +62,10 @@ _AMBIGUOUS = frozenset("related social login cookie cookies notice search share
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table tr td th dt dd figcaption".split())
 #: chrome that holds articles of its own
 _TEASERS = frozenset("related recommended comment comments respond replies disqus".split())
-ARTICLE, CHROME, OPEN = 0, 1, 2
+#: ``TEXT`` is what an article holds in an element of prose
+ARTICLE, CHROME, OPEN, TEXT = 0, 1, 2, 3
 #: while a page is read: chrome by its class only, such chrome with teasers, an article in the latter
-_BY_CLASS, _WITH_TEASERS, _TEASER = 3, 4, 5
+_BY_CLASS, _WITH_TEASERS, _TEASER = 4, 5, 6
 #: a sentence's end
 _STOP = re.compile(r"[.!?…。！？][\"'”’»)\]]*(?:\s|$)")
 
@@ -70,6 +75,7 @@ class HtmlParams:
     run: int = 8              # tokens from which a repeated substring counts (a power of two)
     pages: int = 2            # distinct pages that it must stand on,
     share: float = 0.5        # and share of the host's distinct pages
+    template: int = 3         # distinct pages that it must stand on to be boilerplate within articles
     prose: int = 8            # words from which a block with a sentence's end is prose,
     plain: int = 25           # and one without
     shard: int = 400_000      # tokens of one suffix array, about
@@ -100,10 +106,15 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
     A class can mark chrome, but not an article or what holds the page's article.
     """
-    out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, bool]] = []   # tag, region below it, inside an article
+    return [(ARTICLE if r == TEXT else r, t) for r, t in _blocks(page)]
+
+
+def _blocks(page: str) -> list[tuple[int, str]]:
+    """Like ``blocks``, with ``TEXT`` apart from the rest of an article."""
+    out: list[tuple[int, bool, str]] = []
+    stack: list[tuple[str, int, bool, bool]] = []   # tag, region below it, inside an article, inside an element of prose
     buf: list[str] = []
-    region, inside = OPEN, False
+    region, inside, prose = OPEN, False, False
 
     def flush() -> None:
         if buf:
@@ -112,12 +123,12 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 text = html.unescape(text)
             text = " ".join(text.split())
             if text:
-                out.append((region, text))
+                out.append((region, prose, text))
             buf.clear()
 
     def settle() -> None:
-        nonlocal region, inside
-        region, inside = (stack[-1][1], stack[-1][2]) if stack else (OPEN, False)
+        nonlocal region, inside, prose
+        region, inside, prose = stack[-1][1:] if stack else (OPEN, False, False)
 
     at, n = 0, len(page)
     while at < n:
@@ -175,12 +186,14 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if tag in _BLOCK or low != region:
             if low != region:
                 flush()
-            stack.append((tag, low, now))
+            prose = prose and tag not in _MAIN or tag in _PROSE
+            stack.append((tag, low, now, prose))
             region, inside = low, now
     flush()
-    teaser = CHROME if any(r == ARTICLE for r, _ in out) else ARTICLE
+    teaser = CHROME if any(r == ARTICLE for r, _, _ in out) else ARTICLE
     settled = {_BY_CLASS: CHROME, _WITH_TEASERS: CHROME, _TEASER: teaser}
-    return [(settled.get(r, r), t) for r, t in out]
+    found = [(settled.get(r, r), p, t) for r, p, t in out]
+    return [(TEXT if r == ARTICLE and p else r, t) for r, p, t in found]
 
 
 def is_prose(text: str, params: HtmlParams) -> bool:
@@ -188,149 +201,240 @@ def is_prose(text: str, params: HtmlParams) -> bool:
     return n >= params.plain or n >= params.prose and _STOP.search(text) is not None
 
 
-_PAGE = "id long, url string, host string, text string, parts array<struct<region:int,text:string>>"
-_PART = pa.list_(pa.struct([("region", pa.int32()), ("text", pa.string())]))
+_PAGE = ("id long, url string, host string, page long, words long, first boolean, "
+         "parts array<struct<region:int,words:int>>, packed binary")
+_PART = pa.list_(pa.struct([("region", pa.int32()), ("words", pa.int32())]))
+_LEVEL = 6
+
+
+def pack(text: str) -> bytes:
+    """A text's length in bytes and its zstd frame: pages are written and shuffled whole."""
+    raw = text.encode("utf-8", "surrogatepass")
+    return struct.pack("<q", len(raw)) + pa.Codec("zstd", compression_level=_LEVEL).compress(raw, asbytes=True)
+
+
+def unpack(column: pa.Array | pa.ChunkedArray) -> list[str]:
+    codec = pa.Codec("zstd")
+    return [codec.decompress(b[8:], struct.unpack_from("<q", b)[0], asbytes=True).decode("utf-8", "surrogatepass")
+            for b in column.to_pylist()]
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of packed pages by the length of their texts."""
+    for rb in batches:
+        sizes = [struct.unpack_from("<q", b)[0] for b in rb.column("packed").to_pylist()]
+        yield from record_batches(iter([rb.append_column("size", pa.array(sizes, pa.int64()))]), "size")
 
 
 def cut_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(id, url, host, text, parts): text where an article settles it, and the parts outside articles."""
+    """(id, url, host, page, words, first, parts, packed): ``packed`` the texts of all parts in page order
+    joined by spaces, ``page`` a hash of them and their regions; ``first`` is false where a
+    partition has held the page's like on its host before."""
 
     def run(batches):
+        seen = set()
         for rb in record_batches(batches, "html", 8 << 20):
-            texts, parts = [], []
-            for page in rb.column("html").to_pylist():
-                got = blocks(page or "")
-                article = [t for r, t in got if r == ARTICLE]
-                texts.append(" ".join(article) if article else None)
-                parts.append([{"region": r, "text": t} for r, t in got if r != ARTICLE])
+            page, words, first, parts, packed = [], [], [], [], []
+            for body, host in zip(rb.column("html").to_pylist(), rb.column("host").to_pylist()):
+                got = _blocks(body or "")
+                sizes = [t.count(" ") + 1 for _, t in got]
+                parts.append([{"region": r, "words": n} for (r, _), n in zip(got, sizes)])
+                words.append(sum(sizes))
+                text = " ".join(t for _, t in got)
+                packed.append(pack(text))
+                regions = repr([(r, n) for (r, _), n in zip(got, sizes)])
+                page.append(int.from_bytes(hashlib.blake2b(f"{regions}{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(),
+                                           "little", signed=True))
+                first.append((host, page[-1]) not in seen)
+                seen.add((host, page[-1]))
             yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), rb.column("url"), rb.column("host"), pa.array(texts, pa.string()), pa.array(parts, _PART)],
-                names=["id", "url", "host", "text", "parts"])
+                [rb.column("id"), rb.column("url"), rb.column("host"), pa.array(page, pa.int64()), pa.array(words, pa.int64()),
+                 pa.array(first, pa.bool_()), pa.array(parts, _PART), pa.array(packed, pa.binary())],
+                names=["id", "url", "host", "page", "words", "first", "parts", "packed"])
 
     return pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(run, _PAGE)
 
 
-def suffix_array(tokens: np.ndarray, page: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank): suffixes sorted by their first ``run`` tokens by prefix doubling.
-    Equal ranks share the whole prefix; a prefix never runs over the end of its page."""
+def suffix_array(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, lcp): all suffixes sorted, and the tokens that each shares with the one before it.
+
+    A suffix ends with its page, ``page`` being the sorted page of each token. Prefix doubling: a
+    round sorts by twice as many tokens as the one before, and only what that left equal.
+    """
     n = len(tokens)
-    _, rank = np.unique(tokens, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    h = 1
-    while h < run:
-        after = np.zeros(n, dtype=np.int64)
-        after[:n - h] = np.where(page[h:] == page[:n - h], rank[h:], 0)
-        _, rank = np.unique(rank * (n + 2) + after, return_inverse=True)
-        rank = rank.astype(np.int64) + 1
+    place = np.arange(n)
+    left = np.searchsorted(page, page, side="right") - place
+    order = np.argsort(tokens, kind="stable")
+    lcp = np.zeros(n, dtype=np.int64)
+    if not n:
+        return order, lcp
+
+    def ranked(slots: np.ndarray, new: np.ndarray) -> None:
+        rank[order[slots]] = np.maximum.accumulate(np.where(new, slots, 0))
+
+    rank = np.empty(n, dtype=np.int32)     # the slot of the first suffix with the same prefix
+    ranked(place, np.r_[True, tokens[order][1:] != tokens[order][:-1]])
+    levels, h = [rank.copy()], 1
+    while True:
+        own = np.r_[rank[order], -1]
+        same = own[1:] == own[:-1]
+        slots = np.flatnonzero(same | np.r_[False, same[:-1]])
+        at = order[slots]
+        if not len(at) or left[at].max() <= h:
+            break
+        after = np.where(left[at] > h, rank[np.minimum(at + h, n - 1)] + 1, 0)
+        key = rank[at].astype(np.int64) * (n + 1) + after
+        by = np.argsort(key, kind="stable")
+        order[slots], key = at[by], key[by]
+        ranked(slots, np.r_[True, key[1:] != key[:-1]])
+        levels.append(rank.copy())
         h *= 2
-    return np.argsort(rank, kind="stable"), rank
-
-
-def _stream(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Concatenated token stream: token hashes, each token's row, and the rows' first tokens."""
-    t = Texts(tab["text"].combine_chunks())
+    a, b = order[:-1].copy(), order[1:].copy()
+    shared, most = lcp[1:], np.minimum(left[a], left[b])
+    for level in range(len(levels) - 1, -1, -1):
+        go = np.flatnonzero(shared < most)
+        go = go[levels[level][a[go]] == levels[level][b[go]]]
+        shared[go] += 1 << level
+        a[go] = np.minimum(a[go] + (1 << level), n - 1)
+        b[go] = np.minimum(b[go] + (1 << level), n - 1)
+    np.minimum(shared, most, out=shared)
+    return order, lcp
+
+
+def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Concatenated token stream: token hashes, each token's text, and the texts' first tokens."""
+    t = Texts(pa.array(texts, pa.large_string()))
     starts, ends, first = t.words()
     return t.hashes(starts, ends), np.repeat(np.arange(t.n), np.diff(first)), first
 
 
-def repeated_runs(parts: DataFrame, params: HtmlParams) -> DataFrame:
-    """parts(host, page, text), page a hash of the whole page -> (host, gram): prefixes of ``run``
-    tokens that stand on ``share`` of the host's distinct pages, and on ``pages`` of them or more.
+def _page_windows(h: np.ndarray, row: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose next ``run`` tokens lie in one page, and the hashes of those."""
+    w = windows(h, run)
+    at = np.flatnonzero(row[:len(w)] == row[run - 1:]) if len(w) else np.zeros(0, dtype=np.int64)
+    return at, w[at].view(np.int64)
+
+
+#: a shard tells of the prefixes that stand on this part of the share that counts, of its own pages
+_TOLD = 0.25
 
-    Each shard's array yields one row per distinct prefix with the pages that hold it; a
-    page's copies are in one shard, so the numbers of all shards add up.
+
+def repeated_runs(pages: DataFrame, params: HtmlParams) -> DataFrame:
+    """pages(host, page, words, packed), page a hash of the whole page -> (host, gram, seen): prefixes of
+    ``run`` tokens of the repeats that stand on ``share`` of the host's distinct pages, and on
+    ``pages`` of them or more; the longer repeats are the chains of these. They stand on ``seen`` or more.
+
+    A page's copies are in one shard, so the pages of all shards add up. A shard leaves out
+    prefixes that few of its pages hold; where these could decide, all pages are counted anew.
     """
-    sized = parts.withColumn("words", F.regexp_count("text", F.lit(" ")) + 1)
-    # stashed, so that the join below can be broadcast or its skew split
-    load = stash(sized.groupBy("host", "page").agg(F.sum("words").alias("words")).groupBy("host")
+    # stashed, so that the joins below can be broadcast or their skew split
+    load = stash(pages.groupBy("host", "page").agg(F.max("words").alias("words")).groupBy("host")
                  .agg(F.expr(f"cast(ceil(sum(words) / {params.shard}) as int)").alias("shards"), F.count("*").alias("of")))
-    dealt = (sized.join(load, "host").withColumn("shard", F.expr("cast(pmod(page, shards) as int)"))
-             .select("host", "shard", "page", "of", "text").repartition("host", "shard"))
+    dealt = (pages.join(load, "host").withColumn("shard", F.expr("cast(pmod(page, shards) as int)"))
+             .select("host", "shard", "page", "of", "packed").repartition("host", "shard"))
 
     def run(key: tuple[pa.Scalar, ...], tab: pa.Table) -> pa.Table:
         _, once = np.unique(tab["page"].to_numpy(), return_index=True)   # copies count once
-        of = tab["of"][0].as_py()
-        h, row, _ = _stream(tab.take(pa.array(once)))
-        order, rank = suffix_array(h, row, params.run)
-        full = np.zeros(len(h), dtype=bool)      # prefixes that fit into their page
-        n = len(h) - params.run + 1
-        if n > 0:
-            full[:n] = row[:n] == row[params.run - 1:]
-        order = order[full[order]]
-        if not len(order):
-            return pa.table({"host": pa.array([], pa.string()), "gram": pa.array([], pa.int64()),
-                             "seen": pa.array([], pa.int64()), "of": pa.array([], pa.int64())})
-        new = np.r_[True, rank[order][1:] != rank[order][:-1]]
-        head = np.flatnonzero(new)
-        gram = windows(h, params.run)[order[head]].view(np.int64)
-        # the sort is stable: a prefix's places follow each other page by page
-        seen = np.add.reduceat((new | np.r_[True, row[order][1:] != row[order][:-1]]).astype(np.int64), head)
-        return pa.table({"host": pa.array([key[0].as_py()] * len(gram), pa.string()), "gram": pa.array(gram),
-                         "seen": pa.array(seen), "of": pa.array(np.full(len(gram), of))})
-
-    grams = dealt.groupBy("host", "shard").applyInArrow(run, "host string, gram long, seen long, of long")
-    return (grams.groupBy("host", "gram").agg(F.sum("seen").alias("seen"), F.max("of").alias("of"))
-            .filter(F.col("seen") >= F.greatest(F.lit(float(params.pages)), params.share * F.col("of"))).select("host", "gram"))
-
-
-def _unique_text(pages: DataFrame, runs: DataFrame, params: HtmlParams) -> DataFrame:
-    """pages(id, host, parts) without articles -> (id, text): open blocks, but for those covered
-    as a whole that are no prose."""
+        h, row, _ = _stream(unpack(tab["packed"].take(pa.array(once))))
+        order, lcp = suffix_array(h, row)
+        at, grams = _page_windows(h, row, params.run)
+        gram = np.zeros(len(h), dtype=np.int64)
+        gram[at] = grams
+        fits = np.zeros(len(h), dtype=bool)
+        fits[at] = True
+        # suffixes too short for a prefix share none; they stand alone among the groups
+        new = lcp < params.run
+        group = np.cumsum(new) - 1
+        full = fits[order]
+        pairs = np.unique(group[full] * np.int64(len(once)) + row[order[full]])   # group and page, once each
+        seen = np.bincount(pairs // len(once), minlength=int(new.sum()))
+        told = np.flatnonzero(seen >= max(1.0, _TOLD * params.share * len(once)))
+        return pa.table({"host": pa.array([key[0].as_py()] * len(told), pa.string()),
+                         "gram": pa.array(gram[order[np.flatnonzero(new)[told]]]), "seen": pa.array(seen[told].astype(np.int64)),
+                         "read": pa.array(np.full(len(told), len(once))), "of": pa.array(np.full(len(told), tab["of"][0].as_py()))})
+
+    told = dealt.groupBy("host", "shard").applyInArrow(run, "host string, gram long, seen long, read long, of long")
+    enough = F.greatest(F.lit(float(params.pages)), params.share * F.col("of"))
+    # in a shard that does not tell of it, a prefix stands on fewer of the pages than that part
+    counted = stash(told.groupBy("host", "gram").agg(F.sum("seen").alias("seen"), F.sum("read").alias("read"), F.max("of").alias("of"))
+                    .withColumn("sure", F.col("seen") >= enough)
+                    .filter(F.col("sure") | (F.col("seen") + _TOLD * params.share * (F.col("of") - F.col("read")) >= enough)))
+    doubtful = counted.filter(~F.col("sure")).select("host", "gram", "of")
 
     def grams(batches):
-        for rb in record_batches(batches, "text"):
-            tab = pa.Table.from_batches([rb])
-            h, row, first = _stream(tab)
-            w = windows(h, params.run)
-            ok = row[:len(w)] == row[params.run - 1:] if len(w) else np.zeros(0, dtype=bool)
-            at = np.flatnonzero(ok)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column("host").take(pa.array(row[at])), rb.column("id").take(pa.array(row[at])),
-                 pa.array(w[at].view(np.int64)), pa.array((at - first[row[at]]).astype(np.int32))],
-                names=["host", "id", "gram", "at"])
-
-    flat = pages.select("id", "host", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"))
-    covered = (flat.mapInArrow(grams, "host string, id long, gram long, at int")
-               .join(runs, ["host", "gram"], "left_semi").groupBy("id").agg(F.collect_set("at").alias("covered")))
+        for rb in _small(batches):
+            h, row, _ = _stream(unpack(rb.column("packed")))
+            at, gram = _page_windows(h, row, params.run)
+            yield pa.RecordBatch.from_arrays([rb.column("host").take(pa.array(row[at])), rb.column("page").take(pa.array(row[at])),
+                                              pa.array(gram)], names=["host", "page", "gram"])
+
+    anew = (pages.join(doubtful.select("host").distinct(), "host", "left_semi").select("host", "page", "packed")
+            .mapInArrow(grams, "host string, page long, gram long").join(doubtful, ["host", "gram"])
+            .dropDuplicates(["host", "gram", "page"]).groupBy("host", "gram").agg(F.count("*").alias("seen"), F.max("of").alias("of"))
+            .filter(F.col("seen") >= enough))
+    return counted.filter("sure").select("host", "gram", "seen").unionByName(anew.select("host", "gram", "seen"))
+
+
+def _kept(parts: list[tuple[int, int]], words: list[str], cover: np.ndarray, firm: np.ndarray, params: HtmlParams) -> list[str]:
+    """The texts of the main text; ``cover`` and ``firm`` tell which of the page's tokens repeats
+    cover, and which such on ``template`` pages."""
+    inside = any(r in (ARTICLE, TEXT) for r, _ in parts)
+    stays, n_stays, n_goes, n_copied, end = [], 0, 0, 0, 0
+    for region, n in parts:
+        at, end = end, end + n
+        if region == CHROME or inside and region == OPEN:
+            continue
+        text = " ".join(words[at:end])
+        marks = firm if inside else cover
+        goes = region != TEXT and bool(marks[at:end].all()) and not is_prose(text, params)
+        if goes:
+            n_goes += n
+        else:
+            n_stays, n_copied = n_stays + n, n_copied + int(marks[at:end].sum())
+        stays.append((goes, text))
+    if inside and (n_goes >= n_stays or 2 * n_copied > n_stays):     # a copy, not a page that shares a template
+        return [t for _, t in stays]
+    return [t for goes, t in stays if not goes]
+
+
+def _judged(cut: DataFrame, runs: DataFrame, params: HtmlParams) -> DataFrame:
+    """(id, url, text): every page by its blocks and its host's repeats."""
 
     def run(batches):
-        for rb in batches:
-            out = []
-            for parts, starts in zip(rb.column("parts").to_pylist(), rb.column("covered").to_pylist()):
-                gone = {a + i for a in starts or () for i in range(params.run)}
-                at, kept = 0, []
-                for p in parts:
-                    n = p["text"].count(" ") + 1
-                    if p["region"] == OPEN and (is_prose(p["text"], params) or not all(at + i in gone for i in range(n))):
-                        kept.append(p["text"])
-                    at += n
-                out.append(" ".join(kept))
-            yield pa.RecordBatch.from_arrays([rb.column("id"), pa.array(out, pa.string())], names=["id", "text"])
-
-    return pages.join(covered, "id", "left").select("id", "parts", "covered").mapInArrow(run, "id long, text string")
+        for rb in _small(batches):
+            parts, texts, out = rb.column("parts").to_pylist(), unpack(rb.column("packed")), []
+            h, row, first = _stream(texts)
+            at, gram = _page_windows(h, row, params.run)
+            cuts = np.searchsorted(at, first)
+            runs_of = rb.column("runs")
+            for i, page in enumerate(parts):
+                size = int(first[i + 1] - first[i])
+                cover, firm = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+                own = runs_of[i].values
+                if own is not None and cuts[i + 1] > cuts[i]:
+                    known, seen = own.field("gram").to_numpy(), own.field("seen").to_numpy()
+                    mine, places = gram[cuts[i]:cuts[i + 1]], at[cuts[i]:cuts[i + 1]] - first[i]
+                    for marks, of in ((cover, known), (firm, known[seen >= params.template])):
+                        hit = places[np.isin(mine, of)]
+                        for j in range(params.run):
+                            marks[hit + j] = True
+                out.append(" ".join(_kept([(p["region"], p["words"]) for p in page], texts[i].split(" "), cover, firm, params)))
+            yield pa.RecordBatch.from_arrays([rb.column("id"), rb.column("url"), pa.array(out, pa.string())], names=["id", "url", "text"])
+
+    known = stash(runs.groupBy("host").agg(F.collect_list(F.struct("gram", "seen")).alias("runs")))
+    return cut.join(known, "host", "left").select("id", "url", "parts", "packed", "runs").mapInArrow(run, "id long, url string, text string")
 
 
 def main_text(pages: DataFrame, params: HtmlParams | None = None, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html") -> DataFrame:
     """(id_col, url_col, text, n_chars), one row per row of ``pages``.
 
-    Null and empty html give an empty text, a null url the empty host. Rows
-    with a null id are extracted by structure alone. Pages of one content are
-    one page to the suffix array, whatever their ids; other columns are ignored.
+    Null and empty html give an empty text, a null url the empty host. Pages of one
+    content are one page to the suffix array, whatever their ids; other columns are ignored.
     """
     params = params or HtmlParams()
     cut = stash(cut_pages(pages, id_col, url_col, html_col))
-    outside = (cut.filter(F.col("id").isNotNull() & (F.size("parts") > 0))
-               .select("host", F.xxhash64("text", "parts").alias("page"),
-                      F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text")))
-    runs = stash(repeated_runs(outside, params))
-    settled = cut.filter(F.col("text").isNotNull()).select("id", "url", "text")
-    bare = cut.filter(F.col("text").isNull())
-    unsettled = bare.filter(F.col("id").isNotNull() & (F.size("parts") > 0))
-    rest = (bare.select("id", "url", F.array_join(F.transform(F.filter("parts", lambda p: p["region"] == OPEN),
-                                                              lambda p: p["text"]), " ").alias("plain"))
-            .join(_unique_text(unsettled.dropDuplicates(["id"]), runs, params).withColumnRenamed("text", "unique"), "id", "left")
-            .select("id", "url", F.coalesce("unique", "plain").alias("text")))
-    return settled.unionByName(rest).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
-                                            F.length("text").cast("long").alias("n_chars"))
+    distinct = cut.filter(F.col("first") & (F.col("words") > 0)).select("host", "page", "words", "packed")
+    return (_judged(cut, repeated_runs(distinct, params), params)
+            .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars")))
