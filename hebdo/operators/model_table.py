@@ -43,13 +43,13 @@ def ses_rows(df: DataFrame, keys: list[str], y: str = TARGET) -> DataFrame:
 def ar_rows(df: DataFrame, keys: list[str], y: str = TARGET, max_p: int = 2) -> DataFrame:
     """AR(p) of d-th differences: order (p, d), coefficients (c, phi...), state the last
     level and the last differences, newest first. NULL states (a gap among the last
-    weeks) stay and give NULL forecasts."""
+    weeks) and series without a fit (NULL coefficients) stay and give NULL forecasts."""
     lagged = li._ar_lags(df.select(*keys, "week", y), keys, y, max_p - 1, 1)
     recent = F.array(*[F.array(F.col(f"z{d}"), *[F.col(f"z{d}_l{i}") for i in range(1, max_p)]) for d in (0, 1)])
     last = lagged.groupBy(*keys).agg(
         F.max_by(F.struct(F.col("z0").alias("level"), recent.alias("recent")), "week").alias("_s"),
         F.min("week").alias("first_week"), F.max("week").alias("last_week"))
-    fits = attach(last, li.ar_order_selection(df, keys, y, max_p), keys, ["d", "p", "coef"]).where("coef is not null")
+    fits = attach(last, li.ar_order_selection(df, keys, y, max_p), keys, ["d", "p", "coef"])
     state = F.concat(F.array("_s.level"), F.slice(F.element_at("_s.recent", F.col("d") + 1), 1, F.col("p")))
     return _row(fits, keys, "ar", F.array("p", "d"), F.slice("coef", 1, F.col("p") + 1), state)
 
